@@ -6,7 +6,7 @@ schema a job expects; they do none of the job's work.  The same SQL text runs
 in Spark (``spark.sql`` with DataFrame arguments) and in DuckDB (the oracle),
 so both engines see identical inputs.
 
-Placeholders ``{events}``, ``{orders}`` ... name the base tables.
+Placeholders ``$events``, ``$orders`` ... name the base tables.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ SELECT
        ELSE CAST((event_id * 7) % 360 + 1 AS DOUBLE) END AS d,
   CAST(1 + user_id % 2 AS INT) AS irf,
   (event_id % 101 = 0) AS bad_data
-FROM {events}
+FROM $events
 """
 
 # ---------------------------------------------------------------------------
@@ -105,7 +105,7 @@ FROM (
   SELECT CAST(floor(id / 64800) AS INT) AS t,
          CAST(floor((id % 64800) / 360) AS INT) AS y,
          CAST(id % 360 AS INT) AS x
-  FROM {cells}
+  FROM @@cells@@
 ) g
 WHERE (x * 7 + y * 3) % 29 <> 0
 """
@@ -117,21 +117,39 @@ _CELLS = {
 
 
 def clim_sql(dialect: str) -> str:
-    return _CLIM_BODY.replace("{cells}", _CELLS[dialect])
+    return _CLIM_BODY.replace("@@cells@@", _CELLS[dialect])
 
 
-ADAPTERS: dict[str, tuple[str, tuple[str, ...]]] = {
-    "reports": (REPORTS_SQL, ("events",)),
-}
+_TABLE_TOKEN = re.compile(r"\$([a-z_]+)")
+
+
+def _params(text: str, kw: dict) -> str:
+    for k, v in kw.items():
+        text = text.replace(f"@@{k}@@", str(v))
+    return text
+
 
+def sql_for_duckdb(text: str, **kw) -> str:
+    """DuckDB text of an adapter: ``$table`` -> the pre-registered view."""
+    return _TABLE_TOKEN.sub(r"\1", _params(text, kw))
 
-def sql_for_duckdb(text: str) -> str:
-    """Replace ``{table}`` placeholders by the pre-registered view names."""
-    return re.sub(r"\{(\w+)\}", r"\1", text)
+
+def view(spark: SparkSession, sf_dir: str, text: str, **kw) -> DataFrame:
+    """Run an adapter in Spark: each ``$table`` is a temp view over the
+    parquet file of ``sf_dir`` (name derived from the directory)."""
+    text = _params(text, kw)
+    tag = re.sub(r"[^0-9a-zA-Z]", "_", sf_dir)
+    names = {}
+    for t in set(_TABLE_TOKEN.findall(text)):
+        name = f"tw_{t}_{tag}"
+        if not spark.catalog.tableExists(name):
+            load(spark, sf_dir, t).createOrReplaceTempView(name)
+        names[t] = name
+    return spark.sql(_TABLE_TOKEN.sub(lambda m: names[m.group(1)], text))
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(REPORTS_SQL, events=load(spark, sf_dir, "events"))
+    return view(spark, sf_dir, REPORTS_SQL)
 
 
 def climatology(spark: SparkSession) -> DataFrame:
@@ -145,3 +163,106 @@ def cte(name: str, dialect: str = "duckdb") -> str:
     if name == "clim":
         return f"clim AS ({clim_sql(dialect)})"
     raise KeyError(name)
+
+
+# ---------------------------------------------------------------------------
+# CDM header and observation tables (text at rest) from events
+# ---------------------------------------------------------------------------
+_DCK_CASE = ("CASE user_id % 7 WHEN 0 THEN 732 WHEN 1 THEN 926 WHEN 2 THEN 780 WHEN 3 THEN 992 "
+             "WHEN 4 THEN 701 WHEN 5 THEN 874 ELSE 720 END")
+
+HEADER_SQL = """
+SELECT
+  'ICOADS-30-' || CAST(event_id AS STRING) AS report_id,
+  CASE user_id % 6 WHEN 0 THEN NULL WHEN 1 THEN CAST(10000 + user_id AS STRING)
+       WHEN 2 THEN 'DB' || CAST(user_id AS STRING) WHEN 3 THEN '9K' || CAST(user_id AS STRING)
+       WHEN 4 THEN 'ab' || CAST(user_id AS STRING) ELSE '' END AS primary_station_id,
+  CASE WHEN event_id % 3 = 0 THEN '5' ELSE '1' END AS primary_station_id_scheme,
+  CASE user_id % 4 WHEN 0 THEN '2' WHEN 1 THEN '33' WHEN 2 THEN '5' ELSE '7' END AS platform_type,
+  CASE WHEN event_id % 53 = 0 THEN 'not a date'
+       ELSE '2024-' || lpad(CAST(1 + user_id % 12 AS STRING), 2, '0') || '-'
+            || lpad(CAST(least(day(ts), 28) AS STRING), 2, '0') || ' '
+            || lpad(CAST(hour(ts) AS STRING), 2, '0') || ':' || lpad(CAST(minute(ts) AS STRING), 2, '0')
+            || ':00' END AS report_timestamp,
+  CAST((user_id * 7) % 140 - 70 AS STRING) AS latitude,
+  CAST((user_id * 37) % 360 - 180 AS STRING) AS longitude,
+  CAST(event_id % 4 AS STRING) AS duplicate_status,
+  CASE WHEN event_id % 5 = 0 THEN '{ICOADS-30-' || CAST(event_id + 1 AS STRING) || '}' END AS duplicates,
+  CASE WHEN event_id % 11 = 0 THEN '2020-01-01. Corrected primary_station_id'
+       ELSE '2019-01-01. Initial release' END AS history,
+  '0' AS location_quality, '0' AS report_quality, '0' AS report_time_quality,
+  CAST(100 + user_id % 3 AS STRING) || '-' || CAST(@@dck_case@@ AS STRING) AS sid_dck,
+  CAST(@@dck_case@@ AS INT) AS dck
+FROM $events
+""".replace("@@dck_case@@", _DCK_CASE)
+
+OBS_SQL = """
+SELECT
+  'ICOADS-30-' || CAST(event_id AS STRING) AS report_id,
+  CAST(CAST(floor(value * 10) AS BIGINT) AS STRING) AS observation_value,
+  CAST(NULL AS STRING) AS quality_flag,
+  CAST(NULL AS STRING) AS primary_station_id
+FROM $events
+WHERE event_id % @@modulus@@ <> @@skip@@
+"""
+
+# corrections keyed by report_id; some ids do not exist in the header
+CORRECTIONS_SQL = """
+SELECT 'ICOADS-30-' || CAST(o_orderkey AS STRING) AS report_id,
+       'C' || CAST(o_custkey % 150 AS STRING) AS value,
+       CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' ELSE NULL END AS isChange
+FROM $orders
+WHERE o_orderkey % 3 <> 2
+"""
+
+DUPS_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS uid,
+       CAST(o_custkey % @@fmod@@ AS INT) AS flag,
+       CASE WHEN o_orderkey % 4 = 0
+            THEN '{' || CAST(o_orderkey + @@a@@ AS STRING) || ',' || CAST(o_orderkey + @@b@@ AS STRING) || '}'
+            WHEN o_orderkey % 4 = 1 THEN '{}' ELSE NULL END AS duplicates
+FROM $orders
+WHERE o_orderkey % @@sel@@ = 0
+"""
+
+IDFILE_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS uid,
+       rpad('N' || CAST(o_custkey AS STRING), 9, ' ') AS new_id,
+       '1' AS id_flag
+FROM $orders
+WHERE o_orderkey % 7 = 0
+"""
+
+DATEPOS_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS uid,
+       CAST(year(o_orderdate) AS STRING) || '-' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '-'
+         || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || ' '
+         || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS STRING), 2, '0')
+         AS new_date,
+       '1' AS date_flag,
+       CAST(o_custkey % 180 - 90 AS STRING) AS new_lat, '1' AS lat_flag,
+       CAST(o_custkey % 360 AS STRING) AS new_lon, '1' AS lon_flag
+FROM $orders
+WHERE o_orderkey % 9 = 0
+"""
+
+# ship metadata keyed by station id (J6): one row per distinct id (from customer)
+STATION_META_SQL = """
+SELECT CAST(10000 + c_custkey AS STRING) AS primary_station_id,
+       'M' || CAST(c_nationkey AS STRING) AS station_name,
+       CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(c_custkey % 9 AS STRING) END AS platform_sub_type
+FROM $customer
+WHERE c_custkey % 2 = 1
+"""
+
+DECK_PATTERNS_SQL = """
+SELECT CAST(n_nationkey * 0 + 926 AS INT) AS deck, '^[0-9]{5}$' AS pattern FROM $nation WHERE n_nationkey = 0
+UNION ALL
+SELECT CAST(926 AS INT) AS deck, '^[A-Z]{2}[0-9]+$' AS pattern FROM $nation WHERE n_nationkey = 1
+UNION ALL
+SELECT CAST(732 AS INT) AS deck, '^9K' AS pattern FROM $nation WHERE n_nationkey = 2
+"""
+
+
+def duck(text: str, **kw) -> str:
+    return sql_for_duckdb(text, **kw)
