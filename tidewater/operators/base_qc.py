@@ -82,19 +82,24 @@ def blocklist(df: DataFrame, id="id", dck="dck", yr="yr", mo="mo", lat="lat", lo
               pt="pt", out="pos_blklst") -> DataFrame:
     """(0,0) positions, C-MAN (PT 13), one named id, deck 732 boxes by
     year, all of deck 874, and 28 ids in 2005-11..2006-01."""
-    la, lo = F.col(lat), lon180(lon)
     d, y, m = F.col(dck), F.col(yr), F.col(mo)
-    boxes = _any(
-        (y == year) & _any(lo.between(DECK732_REGIONS[r][0], DECK732_REGIONS[r][2])
-                           & la.between(DECK732_REGIONS[r][1], DECK732_REGIONS[r][3]) for r in regs)
-        for year, regs in DECK732_YEARS.items()
-    )
+    # longitude normalised once (a column, so it is not re-inlined 17 times)
+    df = df.withColumn("_blk_lon", lon180(lon))
+    la, lo = F.col(lat), F.col("_blk_lon")
+    # regions containing the point, then overlap with the year's region list
+    inside = F.array_compact(F.array(*[
+        F.when(lo.between(b[0], b[2]) & la.between(b[1], b[3]), F.lit(r))
+        for r, b in DECK732_REGIONS.items()]))
+    year_regions = F.create_map(*[x for yy, regs in DECK732_YEARS.items()
+                                  for x in (F.lit(yy), F.array(*[F.lit(r) for r in regs]))])
+    listed = F.try_element_at(year_regions, y)
+    boxes = F.coalesce(F.arrays_overlap(inside, listed), F.lit(False))
     period = ((y == 2005) & m.isin(11, 12)) | ((y == 2006) & (m == 1))
     bad = (
         ((la == 0.0) & (lo == 0.0)) | (F.col(pt) == 13) | (F.col(id) == "SUPERIGORINA")
         | ((d == 732) & boxes) | (d == 874) | (period & F.col(id).isin(BLOCKED_IDS_2005))
     )
-    return df.withColumn(out, K.flag(bad))
+    return df.withColumn(out, K.flag(bad)).drop("_blk_lon")
 
 
 def platform_class(df: DataFrame, pt="pt", dck="dck") -> DataFrame:

@@ -8,6 +8,7 @@ statement of the same semantics over the same adapter views.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tune_session(spark: SparkSession) -> None:
+    """Runtime SQL settings the library's plans rely on.
+
+    Constraint propagation re-derives predicates through every projection of
+    the long window/expression pipelines here and dominated planning time
+    (seconds per query); the filters it would infer are written explicitly.
+    """
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune_session(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -143,3 +159,4 @@ def q_qc_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # register the other query families (they import ``register`` from here)
 from tidewater.plans import q_cdm  # noqa: E402,F401
+from tidewater.plans import q_track  # noqa: E402,F401

@@ -182,3 +182,64 @@ def wb(td: str, t: str, p: str) -> str:
 
 def dpd(td: str, t: str) -> str:
     return r1(f"({t}) - ({td})")
+
+
+# --- spherical geometry (degrees in, km / degrees out) -----------------------
+R_KM = 6371.0088
+
+
+def ang_dist(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    p1, l1, p2, l2 = (f"(({v}) * {RAD!r})" for v in (lat1, lon1, lat2, lon2))
+    dl = f"abs({l1} - {l2})"
+    b1 = f"(cos({p2}) * sin({dl}))"
+    b2 = f"(cos({p1}) * sin({p2}) - sin({p1}) * cos({p2}) * cos({dl}))"
+    return f"atan2(sqrt({b1} * {b1} + {b2} * {b2}), sin({p1}) * sin({p2}) + cos({p1}) * cos({p2}) * cos({dl}))"
+
+
+def dist(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return f"({ang_dist(lat1, lon1, lat2, lon2)} * {R_KM!r})"
+
+
+def fmod(a: str, b: float) -> str:
+    return f"fmod({a}, {b!r})"
+
+
+def course(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    d = ang_dist(lat1, lon1, lat2, lon2)
+    p1, l1, p2, l2 = (f"(({v}) * {RAD!r})" for v in (lat1, lon1, lat2, lon2))
+    ratio = f"((sin({p2}) - sin({p1}) * cos({d})) / (sin({d}) * cos({p1})))"
+    fb = fmod(f"atan2(sin({l1} - {l2}) * cos({p2}), cos({p1}) * sin({p2}) - sin({p1}) * cos({p2}) * cos({l1} - {l2}))", TWO_PI)
+    tc = (f"(CASE WHEN cos({p1}) < 0.0000001 THEN (CASE WHEN {p1} > 0 THEN {math.pi!r} ELSE {TWO_PI!r} END) "
+          f"WHEN sin({l2} - {l1}) > 0 THEN (CASE WHEN {ratio} BETWEEN -1.0 AND 1.0 THEN acos({ratio}) ELSE {fb} END) "
+          f"ELSE (CASE WHEN {ratio} BETWEEN -1.0 AND 1.0 THEN {TWO_PI!r} - acos({ratio}) ELSE {fb} END) END)")
+    return f"(CASE WHEN {d} <> 0 THEN {tc} / {RAD!r} ELSE 0.0 END)"
+
+
+def dest(lat1: str, lon1: str, crs: str, dkm: str) -> tuple[str, str]:
+    p1, l1 = f"(({lat1}) * {RAD!r})", f"(({lon1}) * {RAD!r})"
+    tc, dr = f"(({crs}) * {RAD!r})", f"(({dkm}) / {R_KM!r})"
+    lat = f"asin(sin({p1}) * cos({dr}) + cos({p1}) * sin({dr}) * cos({tc}))"
+    dlon = f"atan2(sin({tc}) * sin({dr}) * cos({p1}), cos({dr}) - sin({p1}) * sin({lat}))"
+    lon = f"({fmod(f'{l1} + {dlon} + {math.pi!r}', TWO_PI)} - {math.pi!r})"
+    return f"({lat} / {RAD!r})", f"({lon} / {RAD!r})"
+
+
+def interm(lat1: str, lon1: str, lat2: str, lon2: str, f_: str) -> tuple[str, str]:
+    d = ang_dist(lat1, lon1, lat2, lon2)
+    p1, l1, p2, l2 = (f"(({v}) * {RAD!r})" for v in (lat1, lon1, lat2, lon2))
+    a = f"(sin((1 - ({f_})) * {d}) / sin({d}))"
+    b = f"(sin(({f_}) * {d}) / sin({d}))"
+    x = f"({a} * cos({p1}) * cos({l1}) + {b} * cos({p2}) * cos({l2}))"
+    y = f"({a} * cos({p1}) * sin({l1}) + {b} * cos({p2}) * sin({l2}))"
+    z = f"({a} * sin({p1}) + {b} * sin({p2}))"
+    lat = f"(CASE WHEN {d} <> 0 THEN atan2({z}, sqrt({x} * {x} + {y} * {y})) / {RAD!r} ELSE ({lat1}) END)"
+    lon = f"(CASE WHEN {d} <> 0 THEN atan2({y}, {x}) / {RAD!r} ELSE ({lon1}) END)"
+    return lat, lon
+
+
+def jul_day(yr: str, mo: str, dy: str) -> str:
+    a = f"floor((14 - ({mo})) / 12)"
+    y = f"(({yr}) + 4800 - {a})"
+    m = f"(({mo}) + 12 * {a} - 3)"
+    return (f"(({dy}) + floor((153 * {m} + 2) / 5) + 365 * {y} + floor({y} / 4) - floor({y} / 100) "
+            f"+ floor({y} / 400) - 32045)")
