@@ -136,13 +136,13 @@ def prepare_reports(df: DataFrame) -> DataFrame:
 
 
 def attach_normals(df: DataFrame, clim: DataFrame, n: int = 73, res: float = 1.0) -> DataFrame:
-    """Climatological normals: SST, AT by MDS cells; DPT, AT2, SLP (+ st.
+    """Climatological normals ``<var>_norm`` (st. dev. ``<var>_sd``): SST, AT by MDS cells; DPT, AT2, SLP (+ st.
     dev.), SLP2, SHU, CRH, CWB, DPD by regular cells."""
-    out = grid_lookup(df, clim, {"sst": "sst_clim", "at": "at_clim"}, n=n, res=res, style="mds")
+    out = grid_lookup(df, clim, {"sst": "sst_norm", "at": "at_norm"}, n=n, res=res, style="mds")
     return grid_lookup(out, clim, {
-        "dpt": "dpt_clim", "dpt_sd": "dpt_sd", "at": "at2_clim", "at_sd": "at2_sd",
-        "slp": "slp_clim", "slp_sd": "slp_sd", "slp2": "slp2_clim", "shu": "shu_clim",
-        "crh": "crh_clim", "cwb": "cwb_clim", "dpd": "dpd_clim",
+        "dpt": "dpt_norm", "dpt_sd": "dpt_sd", "at": "at2_norm", "at_sd": "at2_sd",
+        "slp": "slp_norm", "slp_sd": "slp_sd", "slp2": "slp2_norm", "shu": "shu_norm",
+        "crh": "crh_norm", "cwb": "cwb_norm", "dpd": "dpd_norm",
     }, n=n, res=res, style="regular")
 
 
@@ -190,40 +190,40 @@ def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default")
         "pos_day": day,
         "sst_noval": K.value_check("sst"),
         "sst_freez": K.sst_freeze_check("sst", 0.0, sst_p["freezing_point"], sst_p["freeze_check_n_sigma"]),
-        "sst_clim": K.climatology_check("sst", "sst_clim", sst_p["maximum_anomaly"]),
-        "sst_nonorm": K.no_normal_check("sst_clim"),
+        "sst_clim": K.climatology_check("sst", "sst_norm", sst_p["maximum_anomaly"]),
+        "sst_nonorm": K.no_normal_check("sst_norm"),
         "sst_hardlimit": K.hard_limit("sst", sst_p["hard_limits"]),
         "at_noval": K.value_check("at"),
-        "at_clim": K.climatology_check("at", "at_clim", at_p["maximum_anomaly"]),
-        "at_nonorm": K.no_normal_check("at_clim"),
+        "at_clim": K.climatology_check("at", "at_norm", at_p["maximum_anomaly"]),
+        "at_nonorm": K.no_normal_check("at_norm"),
         "at_hardlimit": K.hard_limit("at", at_p["hard_limits"]),
-        "dpt_clim": K.climatology_plus_stdev_check("dpt", "dpt_clim", "dpt_sd",
+        "dpt_clim": K.climatology_plus_stdev_check("dpt", "dpt_norm", "dpt_sd",
                                                    dpt_p["minmax_standard_deviation"],
                                                    dpt_p["maximum_standardised_anomaly"]),
         "dpt_noval": K.value_check("dpt"),
-        "dpt_nonorm": K.no_normal_check("dpt_clim"),
+        "dpt_nonorm": K.no_normal_check("dpt_norm"),
         "dpt_ssat": K.supersat_check("dpt", "at2"),
         "slp_noval": K.value_check("slp"),
-        "slp_clim": K.climatology_plus_stdev_with_lowbar("slp", "slp_clim", "slp_sd",
+        "slp_clim": K.climatology_plus_stdev_with_lowbar("slp", "slp_norm", "slp_sd",
                                                          slp_p["maximum_standardised_anomaly"],
                                                          slp_p["lowbar"]),
-        "slp_nonorm": K.no_normal_check("slp_clim"),
+        "slp_nonorm": K.no_normal_check("slp_norm"),
         "w_noval": K.value_check("w"),
         "w_hardlimit": K.hard_limit("w", w_p["hard_limits"]),
         "w_consistency": K.wind_consistency("w", "d", w_p["variable_limit"]),
         "dpt_hardlimit": dpt_hard,
-        "at2_clim": K.climatology_plus_stdev_check("at2", "at2_clim", "at2_sd",
+        "at2_clim": K.climatology_plus_stdev_check("at2", "at2_norm", "at2_sd",
                                                    at_p["minmax_standard_deviation"],
                                                    at_p["maximum_standardised_anomaly"]),
         "at2_noval": K.value_check("at2"),
-        "at2_nonorm": K.no_normal_check("at2_clim"),
+        "at2_nonorm": K.no_normal_check("at2_norm"),
         "at2_hardlimit": K.hard_limit("at", at_p["hard_limits"]),
     }
     return out.withColumns(cols).drop("_day")
 
 
 def with_humidity(df: DataFrame) -> DataFrame:
-    return humidity_columns(df, "at", "dpt", "slp_clim")
+    return humidity_columns(df, "at", "dpt", "slp_norm")
 
 
 def qc_reports(reports: DataFrame, clim: DataFrame, params: dict | None = None,

@@ -5,10 +5,11 @@ masked cell.  A lookup computes the cell key of every report with the index
 expressions of :mod:`tidewater.functions.grid` and left-joins the field.
 
 Size policy: a field's row count is bounded by its declared geometry
-(``n * 180/res * 360/res``).  Only when that bound times the row width is
-under ``broadcast_limit_bytes`` is the field broadcast; otherwise Spark
-shuffles both sides on the cell key (and AQE may still demote to broadcast
-at run time from real statistics).
+(``n * 180/res * 360/res``).  The field is broadcast when that bound (times
+the row width) is under ``broadcast_limit_bytes`` AND the optimizer's size
+estimate of the report side is several times larger: at archive scale the
+reports dwarf any grid, so no report shuffle is spent on the lookup; on small
+inputs (tests) the cheaper shuffle join is kept.
 """
 
 from __future__ import annotations
@@ -19,18 +20,36 @@ from pyspark.sql import functions as F
 from tidewater.functions import grid as G
 from tidewater.functions.calendar import valid_day_2004
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# A 1-degree pentad field is ~4.7M cells; broadcasting it (a few hundred MB at
+# most, bounded by geometry) avoids shuffling the report table, which at scale
+# is the large side by many orders of magnitude.
+DEFAULT_BROADCAST_LIMIT = 512 * 1024 * 1024
 
 
 def grid_rows_bound(n: int, res: float) -> int:
     return int(n * round(180 / res) * round(360 / res))
 
 
+def plan_size_estimate(df: DataFrame) -> int:
+    """Optimizer size estimate (bytes) of a DataFrame; no job is run."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Connect)
+        return 0
+
+
 def sized_join_side(field: DataFrame, n: int, res: float, n_values: int,
-                    broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast-hint the field only when its geometric size bound is small."""
+                    broadcast_limit_bytes: int | None = None, other: DataFrame | None = None) -> DataFrame:
+    """Broadcast-hint the field only when its geometric size bound is small
+    and (when ``other`` is given) the other side is estimated much larger."""
+    if broadcast_limit_bytes is None:
+        broadcast_limit_bytes = DEFAULT_BROADCAST_LIMIT
     approx_bytes = grid_rows_bound(n, res) * (12 + 8 * max(n_values, 1))
-    return F.broadcast(field) if approx_bytes <= broadcast_limit_bytes else field
+    if approx_bytes > broadcast_limit_bytes:
+        return field
+    if other is not None and plan_size_estimate(other) < 4 * approx_bytes:
+        return field
+    return F.broadcast(field)
 
 
 def cell_keys(df: DataFrame, n: int, res: float, style: str, lat="lat", lon="lon",
@@ -55,7 +74,7 @@ def cell_keys(df: DataFrame, n: int, res: float, style: str, lat="lat", lon="lon
 
 def grid_lookup(df: DataFrame, field: DataFrame, values: dict[str, str], n: int = 73,
                 res: float = 1.0, style: str = "regular", lat="lat", lon="lon",
-                mo="mo", dy="dy", broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                mo="mo", dy="dy", broadcast_limit_bytes: int | None = None) -> DataFrame:
     """Left-join field columns ``values`` ({field_col: output_col}) onto df."""
     k = "_k"
     keyed = cell_keys(df, n, res, style, lat, lon, mo, dy, prefix=k)
@@ -63,7 +82,7 @@ def grid_lookup(df: DataFrame, field: DataFrame, values: dict[str, str], n: int
         F.col("t").alias(f"{k}t"), F.col("y").alias(f"{k}y"), F.col("x").alias(f"{k}x"),
         *[F.col(src).alias(dst) for src, dst in values.items()],
     )
-    side = sized_join_side(side, n, res, len(values), broadcast_limit_bytes)
+    side = sized_join_side(side, n, res, len(values), broadcast_limit_bytes, other=keyed)
     out = keyed.join(side, [f"{k}t", f"{k}y", f"{k}x"], "left")
     return out.drop(f"{k}t", f"{k}y", f"{k}x")
 

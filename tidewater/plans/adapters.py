@@ -100,7 +100,12 @@ SELECT t, y, x,
   CAST(0.5 AS DOUBLE) + CAST(x % 7 AS DOUBLE) * 0.6 AS dpt_sd,
   CAST(2 + y % 5 AS DOUBLE) AS slp_sd,
   CASE WHEN (x + y) % 31 = 0 THEN CAST(-1 AS DOUBLE)
-       ELSE CAST(0.5 AS DOUBLE) + CAST((x + y) % 4 AS DOUBLE) * 0.3 END AS sst_sd
+       ELSE CAST(0.5 AS DOUBLE) + CAST((x + y) % 4 AS DOUBLE) * 0.3 END AS sst_sd,
+  CASE WHEN (x + 2 * y) % 37 = 0 THEN NULL
+       ELSE CAST(0.3 AS DOUBLE) + CAST(x % 3 AS DOUBLE) * 0.1 END AS bud1,
+  CAST(0.2 AS DOUBLE) + CAST(y % 4 AS DOUBLE) * 0.1 AS bud2,
+  CASE WHEN (x * y) % 43 = 1 THEN CAST(-1 AS DOUBLE)
+       ELSE CAST(0.1 AS DOUBLE) + CAST((x + y) % 5 AS DOUBLE) * 0.1 END AS bud3
 FROM (
   SELECT CAST(floor(id / 64800) AS INT) AS t,
          CAST(floor((id % 64800) / 360) AS INT) AS y,

@@ -52,7 +52,7 @@ def register(name: str, oracle: str | None = None):
 def _qc_oracle_ctes() -> str:
     """CTE chain ending in ``qc`` = reports + normals + humidity + elev."""
     pent = f"(CASE WHEN {X.valid_day('2004', 'mo', 'dy')} AND lat IS NOT NULL AND lon IS NOT NULL THEN {X.pentad('mo', 'dy')} - 1 END)"
-    crh0 = X.rh("dpt", '"at"', "slp_clim")
+    crh0 = X.rh("dpt", '"at"', "slp_norm")
     sun, sun_last = X.sun_elevation_ctes("r3", "yr", "mo", "dy", "hr", "lat", "lon", 1.0)
     return f"""
 {A.cte('reports')},
@@ -61,14 +61,14 @@ r0 AS (SELECT * REPLACE (CASE WHEN dck = 701 AND yr < 1860 AND hr IS NULL THEN 0
               "at" AS at2 FROM reports),
 r1 AS (SELECT *, {pent} AS kt, {X.mds_y('lat')} AS my, {X.mds_x('lon')} AS mx,
               {X.reg_y('lat')} AS ry, {X.reg_x('lon')} AS rx FROM r0),
-r2 AS (SELECT r1.*, c1.sst AS sst_clim, c1."at" AS at_clim, c2.dpt AS dpt_clim, c2.dpt_sd AS dpt_sd,
-              c2."at" AS at2_clim, c2.at_sd AS at2_sd, c2.slp AS slp_clim, c2.slp_sd AS slp_sd
+r2 AS (SELECT r1.*, c1.sst AS sst_norm, c1."at" AS at_norm, c2.dpt AS dpt_norm, c2.dpt_sd AS dpt_sd,
+              c2."at" AS at2_norm, c2.at_sd AS at2_sd, c2.slp AS slp_norm, c2.slp_sd AS slp_sd
        FROM r1 LEFT JOIN clim c1 ON c1.t = r1.kt AND c1.y = r1.my AND c1.x = r1.mx
                LEFT JOIN clim c2 ON c2.t = r1.kt AND c2.y = r1.ry AND c2.x = r1.rx),
 r2h AS (SELECT *, {crh0} AS crh0 FROM r2),
-r3 AS (SELECT *, (slp_clim IS NOT NULL AND crh0 IS NOT NULL AND crh0 BETWEEN 0.0 AND 150.0) AS hum_ok FROM r2h),
+r3 AS (SELECT *, (slp_norm IS NOT NULL AND crh0 IS NOT NULL AND crh0 BETWEEN 0.0 AND 150.0) AS hum_ok FROM r2h),
 {sun},
-qc AS (SELECT *, CASE WHEN hum_ok THEN {X.sh('dpt', '"at"', 'slp_clim')} END AS shu,
+qc AS (SELECT *, CASE WHEN hum_ok THEN {X.sh('dpt', '"at"', 'slp_norm')} END AS shu,
               CASE WHEN hum_ok THEN crh0 END AS crh FROM {sun_last})"""
 
 
@@ -107,27 +107,27 @@ def _base_flags_sql() -> str:
   {X.f('dck IN (708, 780)')} AS w_wind_blacklist,
   {X.f('sst IS NULL')} AS sst_noval,
   {X.f('sst IS NOT NULL AND sst < -1.8')} AS sst_freez,
-  {X.f('sst IS NULL OR sst_clim IS NULL OR abs(sst - sst_clim) > 8.0')} AS sst_clim,
-  {X.f('sst_clim IS NULL')} AS sst_nonorm,
+  {X.f('sst IS NULL OR sst_norm IS NULL OR abs(sst - sst_norm) > 8.0')} AS sst_clim,
+  {X.f('sst_norm IS NULL')} AS sst_nonorm,
   {X.hard('sst', -5.0, 45.0)} AS sst_hardlimit,
   {X.f('"at" IS NULL')} AS at_noval,
-  {X.f('"at" IS NULL OR at_clim IS NULL OR abs("at" - at_clim) > 10.0')} AS at_clim,
-  {X.f('at_clim IS NULL')} AS at_nonorm,
+  {X.f('"at" IS NULL OR at_norm IS NULL OR abs("at" - at_norm) > 10.0')} AS at_clim,
+  {X.f('at_norm IS NULL')} AS at_nonorm,
   {X.hard('"at"', -80.0, 65.0)} AS at_hardlimit,
-  {X.f(f'dpt IS NULL OR dpt_clim IS NULL OR dpt_sd IS NULL OR abs(dpt - dpt_clim) / {sd("dpt_sd")} > 5.5')} AS dpt_clim,
+  {X.f(f'dpt IS NULL OR dpt_norm IS NULL OR dpt_sd IS NULL OR abs(dpt - dpt_norm) / {sd("dpt_sd")} > 5.5')} AS dpt_clim,
   {X.f('dpt IS NULL')} AS dpt_noval,
-  {X.f('dpt_clim IS NULL')} AS dpt_nonorm,
+  {X.f('dpt_norm IS NULL')} AS dpt_nonorm,
   {X.f('dpt IS NULL OR at2 IS NULL OR dpt > at2')} AS dpt_ssat,
   {X.f('slp IS NULL')} AS slp_noval,
-  {X.f('slp IS NULL OR slp_clim IS NULL OR slp_sd IS NULL OR (abs(slp - slp_clim) / slp_sd > 3.0 AND abs(slp - slp_clim) > 10.0)')} AS slp_clim,
-  {X.f('slp_clim IS NULL')} AS slp_nonorm,
+  {X.f('slp IS NULL OR slp_norm IS NULL OR slp_sd IS NULL OR (abs(slp - slp_norm) / slp_sd > 3.0 AND abs(slp - slp_norm) > 10.0)')} AS slp_clim,
+  {X.f('slp_norm IS NULL')} AS slp_nonorm,
   {X.f('w IS NULL')} AS w_noval,
   {X.hard('w', 0.0, 50.0)} AS w_hardlimit,
   {X.f('w IS NULL OR d IS NULL OR (d = 361 AND w <> 0) OR (d = 362 AND w > 4.0)')} AS w_consistency,
   {X.f(f"{X.hard('"at"', -80.0, 65.0)} = 1 OR {X.hard('dpt', -80.0, 65.0)} = 1 OR {X.hard('shu', 0.0, 500.0)} = 1 OR {X.hard('crh', 0.0, 150.0)} = 1")} AS dpt_hardlimit,
-  {X.f(f'at2 IS NULL OR at2_clim IS NULL OR at2_sd IS NULL OR abs(at2 - at2_clim) / {sd("at2_sd")} > 5.5')} AS at2_clim,
+  {X.f(f'at2 IS NULL OR at2_norm IS NULL OR at2_sd IS NULL OR abs(at2 - at2_norm) / {sd("at2_sd")} > 5.5')} AS at2_clim,
   {X.f('at2 IS NULL')} AS at2_noval,
-  {X.f('at2_clim IS NULL')} AS at2_nonorm,
+  {X.f('at2_norm IS NULL')} AS at2_nonorm,
   {X.hard('"at"', -80.0, 65.0)} AS at2_hardlimit"""
 
 
@@ -160,3 +160,4 @@ def q_qc_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # register the other query families (they import ``register`` from here)
 from tidewater.plans import q_cdm  # noqa: E402,F401
 from tidewater.plans import q_track  # noqa: E402,F401
+from tidewater.plans import q_buddy  # noqa: E402,F401
