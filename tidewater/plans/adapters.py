@@ -271,3 +271,44 @@ SELECT CAST(732 AS INT) AS deck, '^9K' AS pattern FROM $nation WHERE n_nationkey
 
 def duck(text: str, **kw) -> str:
     return sql_for_duckdb(text, **kw)
+
+
+# station reports (header fields + observed values), one per event
+STATION_REPORTS_SQL = """
+SELECT
+  CAST(2024 - (user_id % 4) * 17 AS STRING) || '-' || lpad(CAST(1 + user_id % 12 AS STRING), 2, '0') AS period,
+  CASE WHEN user_id % 10 = 0 THEN NULL ELSE 'V' || CAST(user_id AS STRING) END AS primary_station_id,
+  '1' AS primary_station_id_scheme,
+  CAST(event_id % 2 + 1 AS STRING) AS station_record_number,
+  CASE user_id % 4 WHEN 0 THEN '2' WHEN 1 THEN '33' WHEN 2 THEN '5' ELSE '7' END AS platform_type,
+  '2' AS station_type,
+  'Ship ' || CAST(user_id % 50 AS STRING) || CASE WHEN event_id % 9 = 0 THEN 'X' ELSE '' END AS station_name,
+  CASE WHEN user_id % 7 = 0 THEN NULL ELSE CAST(user_id % 5 AS STRING) END AS platform_sub_type,
+  '2024-01-' || lpad(CAST(day(ts) AS STRING), 2, '0') || ' ' || lpad(CAST(hour(ts) AS STRING), 2, '0')
+    || ':' || lpad(CAST(minute(ts) AS STRING), 2, '0') AS report_timestamp,
+  CAST((user_id * 7) % 140 - 70 AS DOUBLE) + CAST(event_id % 100 AS DOUBLE) / 100 AS latitude,
+  CAST((user_id * 37) % 360 - 180 AS DOUBLE) + CAST(event_id % 50 AS DOUBLE) / 100 AS longitude,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS at,
+  CASE WHEN user_id % 4 = 0 THEN NULL ELSE value END AS sst,
+  CASE WHEN event_id % 5 <> 0 THEN NULL ELSE value END AS wbt,
+  CASE WHEN event_id % 2 = 0 THEN NULL ELSE value END AS slp,
+  value AS w,
+  CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS d,
+  CASE WHEN user_id % 3 = 0 THEN NULL ELSE value END AS dpt,
+  CASE WHEN event_id % 4 = 0 THEN value END AS n,
+  CASE WHEN user_id % 5 = 0 THEN value END AS ww
+FROM $events
+"""
+
+SOURCE_TEMPLATE_SQL = """
+SELECT '10' || CAST(r_regionkey % 3 AS STRING) || '-' || CASE r_regionkey WHEN 0 THEN '732' WHEN 1 THEN '926'
+       WHEN 2 THEN '780' WHEN 3 THEN '992' ELSE '701' END AS source_key,
+       'Product ' || r_name AS product_name, 'Region ' || r_name AS description
+FROM $region
+"""
+
+CODE_MAP_SQL = """
+SELECT CAST(n_nationkey % 10 AS STRING) AS code,
+       CASE WHEN n_nationkey = 3 THEN '' ELSE 'type-' || n_name END AS value
+FROM $nation WHERE n_nationkey < 10
+"""
