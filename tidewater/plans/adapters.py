@@ -312,3 +312,25 @@ SELECT CAST(n_nationkey % 10 AS STRING) AS code,
        CASE WHEN n_nationkey = 3 THEN '' ELSE 'type-' || n_name END AS value
 FROM $nation WHERE n_nationkey < 10
 """
+
+
+# QC flag files (UID + 0/1 flags), one per parameter; each covers a subset
+# of the reports and has some missing flag values.
+QC_FILE_SQL = """
+SELECT CAST(event_id AS STRING) AS uid, @@cols@@
+FROM $events
+WHERE event_id % @@cover@@ <> 0
+"""
+
+
+def qc_file_sql(parameter: str, columns: list[str], cover: int) -> str:
+    cols = []
+    for i, c in enumerate(columns):
+        m = 7 + 3 * i
+        if c == "noval":
+            expr = "CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END"
+        else:
+            expr = (f"CASE WHEN event_id % {m * 11} = 1 THEN NULL "
+                    f"WHEN (event_id + {i}) % {m} = 0 THEN 1 ELSE 0 END")
+        cols.append(f"CAST({expr} AS INT) AS {c}")
+    return QC_FILE_SQL.replace("@@cols@@", ", ".join(cols)).replace("@@cover@@", str(cover))

@@ -162,3 +162,4 @@ from tidewater.plans import q_cdm  # noqa: E402,F401
 from tidewater.plans import q_track  # noqa: E402,F401
 from tidewater.plans import q_buddy  # noqa: E402,F401
 from tidewater.plans import q_summary  # noqa: E402,F401
+from tidewater.plans import q_level  # noqa: E402,F401
