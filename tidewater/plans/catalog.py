@@ -156,10 +156,3 @@ def q_qc_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 quicklook: number of reports per (flag, value) of the base QC."""
     return BQ.flag_counts(qc_frame(spark, sf_dir))
 
-
-# register the other query families (they import ``register`` from here)
-from tidewater.plans import q_cdm  # noqa: E402,F401
-from tidewater.plans import q_track  # noqa: E402,F401
-from tidewater.plans import q_buddy  # noqa: E402,F401
-from tidewater.plans import q_summary  # noqa: E402,F401
-from tidewater.plans import q_level  # noqa: E402,F401

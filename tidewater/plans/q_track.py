@@ -217,3 +217,19 @@ def q_predict_position(spark: SparkSession, sf: str) -> DataFrame:
     """Position predicted 6 h ahead from reported speed and course."""
     out = TR.predict_position(TR.decode_ship_motion(voyage_input(spark, sf)), 6.0)
     return out.select("uid", _r6("pred_lat"), _r6("pred_lon"))
+
+
+# --- W7 / W8: neighbour-greedy checks (no SQL oracle: order-dependent greedy;
+# tests/test_greedy.py checks them against a direct per-platform re-statement)
+@register("iquam_track")
+def q_iquam_track(spark: SparkSession, sf: str) -> DataFrame:
+    """iQuam track check flag per valid report."""
+    from tidewater.operators.greedy import iquam_track_check
+    return iquam_track_check(voyage_input(spark, sf)).select("uid", "iquam_track")
+
+
+@register("spike_check")
+def q_spike_check(spark: SparkSession, sf: str) -> DataFrame:
+    """SST spike check flag per valid report (generic IDs included)."""
+    from tidewater.operators.greedy import spike_check
+    return spike_check(voyage_input(spark, sf), "sst").select("uid", "sst_spike")
