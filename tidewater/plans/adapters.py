@@ -57,7 +57,7 @@ SELECT
             WHEN 4 THEN 701 WHEN 5 THEN 874 ELSE 720 END AS INT) AS dck,
   CAST(100 + user_id % 3 AS INT) AS sid,
   CAST(CASE WHEN user_id % 23 = 0 THEN 13 WHEN user_id % 11 = 0 THEN NULL
-            WHEN user_id % 5 = 0 THEN 7 WHEN user_id % 5 = 1 THEN 6
+            WHEN user_id % 5 = 2 THEN 7 WHEN user_id % 5 = 3 THEN 6
             ELSE user_id % 5 + 1 END AS INT) AS pt,
   CASE WHEN event_id % 23 = 0 THEN NULL
        ELSE CAST(floor(value * 7) % 300 AS DOUBLE) / 10 - 2
@@ -334,3 +334,63 @@ def qc_file_sql(parameter: str, columns: list[str], cover: int) -> str:
                     f"WHEN (event_id + {i}) % {m} = 0 THEN 1 ELSE 0 END")
         cols.append(f"CAST({expr} AS INT) AS {c}")
     return QC_FILE_SQL.replace("@@cols@@", ", ".join(cols)).replace("@@cover@@", str(cover))
+
+
+# daily background analysis on a 5-degree test grid for the four years the
+# reports use (K, with sea-ice fraction); land cells absent.  Keyed by
+# (yr, doy, y, x); y = 0 at the north, x = 0 at 180W.
+BACKGROUND_SQL = """
+SELECT yr, doy, y, x,
+  CAST(273.15 AS DOUBLE) + CAST(20 AS DOUBLE) - CAST(abs(y - 18) AS DOUBLE) * 0.8 + CAST(doy % 7 AS DOUBLE) * 0.1
+    AS analysed_sst,
+  CASE WHEN y < 4 OR y > 31 THEN CAST(0.5 AS DOUBLE) WHEN (x + doy) % 19 = 0 THEN CAST(0.1 AS DOUBLE) END
+    AS sea_ice_fraction
+FROM (
+  SELECT CAST(CASE CAST(floor(id / 948672) AS INT) WHEN 0 THEN 2024 WHEN 1 THEN 2007 WHEN 2 THEN 1990 ELSE 1973 END AS INT) AS yr,
+         CAST(floor((id % 948672) / 2592) AS INT) + 1 AS doy,
+         CAST(floor((id % 2592) / 72) AS INT) AS y,
+         CAST(id % 72 AS INT) AS x
+  FROM @@cells@@
+) g
+WHERE (x * 3 + y) % 17 <> 0
+"""
+
+_BG_CELLS = {"spark": "range(0, 3794688)", "duckdb": "(SELECT range AS id FROM range(0, 3794688))"}
+
+
+def background_sql(dialect: str) -> str:
+    return BACKGROUND_SQL.replace("@@cells@@", _BG_CELLS[dialect])
+
+
+# seasonal background error variance on the same 5-degree grid
+BGVAR_SQL = """
+SELECT season, y, x,
+  CASE WHEN (x + y) % 11 = 0 THEN CAST(0.5 AS DOUBLE)
+       ELSE CAST(0.01 AS DOUBLE) + CAST((x * y) % 7 AS DOUBLE) * 0.01 END AS bg_var
+FROM (
+  SELECT CASE CAST(floor(id / 2592) AS INT) WHEN 0 THEN 'DJF' WHEN 1 THEN 'MAM' WHEN 2 THEN 'JJA' ELSE 'SON' END AS season,
+         CAST(floor((id % 2592) / 72) AS INT) AS y, CAST(id % 72 AS INT) AS x
+  FROM @@cells@@
+) g
+"""
+
+_BGV_CELLS = {"spark": "range(0, 10368)", "duckdb": "(SELECT range AS id FROM range(0, 10368))"}
+
+
+def bgvar_sql(dialect: str) -> str:
+    return BGVAR_SQL.replace("@@cells@@", _BGV_CELLS[dialect])
+
+
+# drifter tracking output (UID + seven drifter flags, 9 = never set)
+TRACKING_SQL = """
+SELECT CAST(event_id AS STRING) AS uid,
+  CAST(CASE WHEN event_id % 41 = 0 THEN 1 ELSE 0 END AS INT) AS drf_agr,
+  CAST(CASE WHEN event_id % 43 = 0 THEN 1 ELSE 0 END AS INT) AS drf_spd,
+  CAST(CASE WHEN event_id % 47 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 9 ELSE 0 END AS INT) AS drf_tail1,
+  CAST(CASE WHEN event_id % 53 = 0 THEN 1 ELSE 0 END AS INT) AS drf_tail2,
+  CAST(CASE WHEN user_id % 9 = 0 THEN 1 ELSE 0 END AS INT) AS drf_bias,
+  CAST(CASE WHEN user_id % 11 = 0 THEN 1 ELSE 0 END AS INT) AS drf_noise,
+  CAST(CASE WHEN user_id % 13 = 0 THEN 9 ELSE 0 END AS INT) AS drf_short
+FROM $events
+WHERE user_id % 5 = 2
+"""

@@ -84,3 +84,20 @@ def q_apply_qc_to_observations(spark: SparkSession, sf: str) -> DataFrame:
     flags = CDM.merge_qc_flags(_frames(spark, sf))
     o = CDM.apply_qc_to_observations(A.view(spark, sf, A.OBS_SQL, modulus=13, skip=0), flags, "SST")
     return o.select("report_id", "quality_flag")
+
+
+_TRK = ["drf_agr", "drf_spd", "drf_tail1", "drf_tail2", "drf_bias", "drf_noise", "drf_short"]
+
+
+@register("merge_tracking_flags", f"""WITH h AS ({A.duck(A.HEADER_SQL)}), t0 AS ({A.duck(A.TRACKING_SQL)}),
+t AS (SELECT 'ICOADS-30-' || uid AS rid, {' + '.join(f'CASE WHEN {c} = 9 THEN 0 ELSE {c} END' for c in _TRK)} AS trk
+      FROM t0)
+SELECT h.report_id,
+  CASE WHEN t.trk IS NULL THEN '3' WHEN t.trk = 0 THEN '0' ELSE '1' END AS location_quality,
+  CASE WHEN t.trk > 0 THEN '1' ELSE h.report_quality END AS report_quality
+FROM h LEFT JOIN t ON h.report_id = t.rid""")
+def q_merge_tracking_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Drifter tracking flags summed into header location/report quality
+    (flag 9 = never set counts as untested)."""
+    out = CDM.merge_tracking_flags(A.view(spark, sf, A.HEADER_SQL), A.view(spark, sf, A.TRACKING_SQL))
+    return out.select("report_id", "location_quality", "report_quality")
