@@ -394,3 +394,43 @@ SELECT CAST(event_id AS STRING) AS uid,
 FROM $events
 WHERE user_id % 5 = 2
 """
+
+
+# ship-metadata editions: one edition per order year, one row per order
+EDITIONS_SQL = """
+SELECT
+  CAST(o_orderkey AS BIGINT) AS line,
+  CAST(year(o_orderdate) AS INT) AS edition,
+  CASE WHEN o_custkey % 97 = 0 THEN 'NULL' ELSE 'C' || CAST(o_custkey % 400 AS STRING) END AS call,
+  CASE o_orderkey % 6 WHEN 0 THEN 'SEA ' || CAST(o_custkey % 400 AS STRING) || ' STAR'
+       WHEN 1 THEN 'SEA ' || CAST(o_custkey % 400 AS STRING) || ' STARR'
+       WHEN 2 THEN '(EX) SEA ' || CAST(o_custkey % 400 AS STRING) || ' STAR'
+       WHEN 3 THEN 'OCEAN ' || CAST(o_custkey % 400 AS STRING) || ' WAVE'
+       WHEN 4 THEN 'SEA STAR (' || CAST(o_custkey % 7 AS STRING) || ')'
+       ELSE 'NO' END AS name,
+  CASE WHEN o_custkey % 4 = 0 THEN 'GB' ELSE 'NL' END AS rcnty,
+  CAST(CASE WHEN o_orderkey % 11 = 0 THEN -999999 ELSE CAST(substr(o_orderpriority, 1, 1) AS INT) END AS INT) AS vsslM,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'NULL' ELSE o_orderstatus END AS vssl,
+  CASE WHEN o_orderkey % 7 = 0 THEN CAST(-999999 AS DOUBLE) ELSE CAST(o_custkey % 30 AS DOUBLE) END AS platH,
+  CASE WHEN o_orderkey % 5 = 0 THEN CAST(-999999 AS DOUBLE) ELSE CAST(o_custkey % 25 AS DOUBLE) END AS anmH,
+  CASE o_orderkey % 5 WHEN 0 THEN '{' || CAST(o_orderkey % 10 AS STRING)
+       WHEN 1 THEN chr(CAST(65 + o_orderkey % 20 AS INT)) || CAST(o_orderkey % 10 AS STRING)
+       WHEN 2 THEN CAST(o_orderkey % 90 AS STRING) WHEN 3 THEN '' ELSE '-I' || CAST(o_orderkey % 10 AS STRING) END
+    AS packed,
+  CAST(o_custkey % 9 AS STRING) || ' ' || CAST(o_orderkey % 8 AS STRING)
+    || CASE WHEN o_orderkey % 3 = 0 THEN ',' || CAST(o_orderkey % 5 AS STRING) ELSE '' END AS brm,
+  CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey % 40 AS STRING) || 'P'
+       WHEN 1 THEN 's' || CAST(o_orderkey % 40 AS STRING) || '.5' WHEN 2 THEN 'X' ELSE NULL END AS anDC,
+  CAST(o_orderdate AS DATE) AS valid_from,
+  @@addm@@ AS valid_to
+FROM $orders
+"""
+
+_ADDM = {
+    "spark": "add_months(CAST(o_orderdate AS DATE), CAST(o_orderkey % 30 + 1 AS INT))",
+    "duckdb": "CAST(CAST(o_orderdate AS DATE) + to_months(CAST(o_orderkey % 30 + 1 AS INTEGER)) AS DATE)",
+}
+
+
+def editions_sql(dialect: str) -> str:
+    return EDITIONS_SQL.replace("@@addm@@", _ADDM[dialect])

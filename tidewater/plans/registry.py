@@ -8,6 +8,7 @@ from tidewater.plans import q_buddy  # noqa: F401
 from tidewater.plans import q_summary  # noqa: F401
 from tidewater.plans import q_level  # noqa: F401
 from tidewater.plans import q_drifter  # noqa: F401
+from tidewater.plans import q_meta  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES
