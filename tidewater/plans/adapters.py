@@ -434,3 +434,35 @@ _ADDM = {
 
 def editions_sql(dialect: str) -> str:
     return EDITIONS_SQL.replace("@@addm@@", _ADDM[dialect])
+
+
+# fixed-width report lines (108-char core + an ICOADS attachment) from lineitem
+LINES_SQL = """
+SELECT
+  lpad(CAST(year(l_shipdate) - (l_orderkey % 3) * 100 AS STRING), 4, ' ')
+  || lpad(CAST(month(l_shipdate) AS STRING), 2, ' ')
+  || lpad(CAST(CASE WHEN l_orderkey % 17 = 0 THEN 31 ELSE day(l_shipdate) END AS STRING), 2, ' ')
+  || CASE WHEN l_orderkey % 7 = 0 THEN '    ' ELSE lpad(CAST((l_linenumber * 331 + l_partkey) % 2400 AS STRING), 4, ' ') END
+  || lpad(CAST(l_partkey % 18001 - 9000 AS STRING), 5, ' ')
+  || lpad(CAST((l_suppkey * 977 + l_orderkey) % 36000 AS STRING), 6, ' ')
+  || '  ' || CASE WHEN l_orderkey % 5 = 0 THEN 'Z' ELSE '1' END || '1' || '2'
+  || CAST(l_orderkey % 10 AS STRING) || CAST(l_partkey % 10 AS STRING) || '  ' || '  '
+  || rpad('S' || CAST(l_suppkey AS STRING), 9, ' ') || '  ' || ' '
+  || lpad(CAST((l_partkey * 7) % 365 + 1 AS STRING), 3, ' ') || ' '
+  || lpad(CAST(CAST(floor(l_quantity * 10) AS BIGINT) % 1000 AS STRING), 3, ' ')
+  || repeat(' ', 6)
+  || lpad(CAST(9000 + CAST(floor(l_extendedprice) AS BIGINT) % 2000 AS STRING), 5, ' ')
+  || repeat(' ', 5)
+  || lpad(CAST(CAST(floor(l_discount * 1000) AS BIGINT) - 20 AS STRING), 4, ' ')
+  || repeat(' ', 6)
+  || lpad(CAST(CAST(floor(l_tax * 1000) AS BIGINT) - 30 AS STRING), 4, ' ')
+  || repeat(' ', 2)
+  || lpad(CAST(CAST(floor(l_tax * 2000) AS BIGINT) + 100 AS STRING), 4, ' ')
+  || repeat(' ', 19)
+  || ' 165' || ' ' || '   ' || '  '
+  || lpad(CAST(CASE l_suppkey % 4 WHEN 0 THEN 732 WHEN 1 THEN 926 WHEN 2 THEN 780 ELSE 992 END AS STRING), 3, '0')
+  || lpad(CAST(l_suppkey % 3 + 100 AS STRING), 3, '0')
+  || lpad(CAST(l_partkey % 8 AS STRING), 2, ' ')
+  || repeat(' ', 47) AS value
+FROM $lineitem
+"""
