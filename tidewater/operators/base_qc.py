@@ -135,10 +135,12 @@ def prepare_reports(df: DataFrame) -> DataFrame:
     return out.withColumn("ts", report_timestamp("yr", "mo", "dy", "hr"))
 
 
-def attach_normals(df: DataFrame, clim: DataFrame, n: int = 73, res: float = 1.0) -> DataFrame:
+def attach_normals(df: DataFrame, clim: DataFrame, n: int = 73, res: float = 1.0,
+                   extra_mds: dict[str, str] | None = None) -> DataFrame:
     """Climatological normals ``<var>_norm`` (st. dev. ``<var>_sd``): SST, AT by MDS cells; DPT, AT2, SLP (+ st.
     dev.), SLP2, SHU, CRH, CWB, DPD by regular cells."""
-    out = grid_lookup(df, clim, {"sst": "sst_norm", "at": "at_norm"}, n=n, res=res, style="mds")
+    out = grid_lookup(df, clim, {"sst": "sst_norm", "at": "at_norm", **(extra_mds or {})}, n=n, res=res,
+                      style="mds")
     return grid_lookup(out, clim, {
         "dpt": "dpt_norm", "dpt_sd": "dpt_sd", "at": "at2_norm", "at_sd": "at2_sd",
         "slp": "slp_norm", "slp_sd": "slp_sd", "slp2": "slp2_norm", "shu": "shu_norm",
@@ -227,10 +229,11 @@ def with_humidity(df: DataFrame) -> DataFrame:
 
 
 def qc_reports(reports: DataFrame, clim: DataFrame, params: dict | None = None,
-               preset: str = "default") -> DataFrame:
+               preset: str = "default", extra_mds: dict[str, str] | None = None) -> DataFrame:
     """Reports -> normals -> humidity -> base flags (the per-report stage of
-    the monthly QC job)."""
-    out = attach_normals(prepare_reports(reports), clim)
+    the monthly QC job).  ``extra_mds`` fetches more fields of the MDS cell
+    in the same join (e.g. the pentad st. dev. the buddy checks need)."""
+    out = attach_normals(prepare_reports(reports), clim, extra_mds=extra_mds)
     return base_qc(with_humidity(out), params, preset)
 
 

@@ -157,8 +157,18 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, REPORTS_SQL)
 
 
+_STATIC: dict[tuple[int, str], DataFrame] = {}
+
+
+def _static(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """Static reference fields (climatology, background), generated from a
+    deterministic range (measured: persisting them was slower than
+    regenerating, so they are not cached)."""
+    return spark.sql(sql)
+
+
 def climatology(spark: SparkSession) -> DataFrame:
-    return spark.sql(clim_sql("spark"))
+    return _static(spark, "clim", clim_sql("spark"))
 
 
 def cte(name: str, dialect: str = "duckdb") -> str:

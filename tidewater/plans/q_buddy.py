@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from tidewater.operators import base_qc as BQ
 from tidewater.operators import buddy as BU
 from tidewater.operators import track as TR
 from tidewater.plans import adapters as A
 from tidewater.plans import sqlx as X
 from tidewater.plans.catalog import _base_flags_sql, _qc_oracle_ctes, qc_frame, register
-from tidewater.plans.q_track import _track_sql
+from tidewater.plans.q_track import _track_sql, voyage_input
 from tidewater.params import DEFAULT_PARAMETERS
 
 MDS = DEFAULT_PARAMETERS["mds_buddy_check"]
@@ -24,10 +25,12 @@ SST_CANDIDATE = ["pos_is780", "pos_date", "pos_time", "pos_pos", "pos_blklst", "
 def sst_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Base-QC'd reports + track flag + SST anomaly, exploded to month runs,
     with MDS cells.  Track check input: reports passing date/time/pos/blklst."""
-    q = qc_frame(spark, sf)
-    valid = (F.col("pos_pos") == 0) & (F.col("pos_date") == 0) & (F.col("pos_time") == 0) & (F.col("pos_blklst") == 0)
-    trk = TR.track_check(q.where(valid).select("uid", "id", "yr", "mo", "dy", "hr", "lat", "lon", "ds", "vs",
-                                                 "pt", "dck", "ts")).select("uid", "trk")
+    q = BQ.qc_reports(A.reports(spark, sf), A.climatology(spark),
+                      extra_mds={"sst_sd": "sst_sd", "bud1": "bud1", "bud2": "bud2", "bud3": "bud3"})
+    # the track check needs only report fields and the four position flags,
+    # so it reads the reports directly instead of the climatology-joined frame
+    trk = TR.track_check(voyage_input(spark, sf).select("uid", "id", "yr", "mo", "dy", "hr", "lat", "lon", "ds",
+                                                          "vs", "pt", "dck", "ts")).select("uid", "trk")
     q = q.join(trk, "uid", "left").withColumn("sst_anom", F.col("sst") - F.col("sst_norm"))
     return BU.cell_columns(BU.with_target_months(q))
 
@@ -130,8 +133,8 @@ SELECT run_ym, x, y, p, round(bm, 6) AS buddy_mean, round(bsd, 6) AS buddy_sd FR
 def q_buddy_limits_sst(spark: SparkSession, sf: str) -> DataFrame:
     """A2: MDS buddy mean and limit per SST super-ob cell."""
     d = sst_frame(spark, sf)
-    so = BU.super_obs(d.where(_candidate(SST_CANDIDATE)), "sst_anom")
-    lim = BU.buddy_limits(so, A.climatology(spark), "sst_sd", MDS)
+    so = BU.super_obs(d.where(_candidate(SST_CANDIDATE)), "sst_anom", ["sst_sd"])
+    lim = BU.buddy_limits(so, None, "sst_sd", MDS)
     return lim.select("run_ym", "x", "y", "p", F.round("buddy_mean", 6).alias("buddy_mean"),
                       F.round("buddy_sd", 6).alias("buddy_sd"))
 
@@ -143,8 +146,7 @@ WHERE ex.run_ym = ex.own""")
 def q_buddy_check_sst(spark: SparkSession, sf: str) -> DataFrame:
     """A3: MDS buddy check flag for SST, reported in each report's own month."""
     d = sst_frame(spark, sf)
-    out = BU.mds_buddy_check(d, "sst_anom", _candidate(SST_CANDIDATE), A.climatology(spark), "sst_sd",
-                             MDS, "sst_bud")
+    out = BU.mds_buddy_check(d, "sst_anom", _candidate(SST_CANDIDATE), None, "sst_sd", MDS, "sst_bud")
     return out.where(F.col("month_match") == 1).select("uid", "sst_bud")
 
 
@@ -190,7 +192,7 @@ SELECT uid, CAST(CASE WHEN cand AND pg > 0 THEN least(floor(pg * 10), 9) ELSE 0
 def q_bayesian_buddy_sst(spark: SparkSession, sf: str) -> DataFrame:
     """A4 + A5: Bayesian buddy check flag (0..9) for SST."""
     d = sst_frame(spark, sf)
-    out = BU.bayesian_buddy_check(d, "sst", "sst_anom", _candidate(SST_CANDIDATE), A.climatology(spark),
+    out = BU.bayesian_buddy_check(d, "sst", "sst_anom", _candidate(SST_CANDIDATE), None,
                                   ("bud1", "bud2", "bud3"))
     return out.where(F.col("month_match") == 1).select("uid", "sst_bbud")
 
