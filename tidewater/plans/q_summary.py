@@ -181,3 +181,21 @@ def q_calendar_cells(spark: SparkSession, sf: str) -> DataFrame:
                     G.mds_yindex("lat").alias("mds_y"), G.mds_xindex(G.lon180("lon")).alias("mds_x"),
                     G.reg_yindex("lat").alias("reg_y"), G.reg_xindex("lon").alias("reg_x"),
                     ((F.lit(90.0) - F.col("lat")) / 0.25).cast("int").alias("q_y"))
+
+
+@register("robust_stats", f"""WITH {A.cte('reports')},
+r AS (SELECT id, sst, row_number() OVER (PARTITION BY id ORDER BY sst, uid) - 1 AS r,
+             count(*) OVER (PARTITION BY id) AS n FROM reports WHERE sst IS NOT NULL),
+b AS (SELECT *, CAST(floor(n / 10) AS BIGINT) AS k1, CASE WHEN n >= 4 THEN CAST(floor(n / 4) AS BIGINT) ELSE 0 END AS lo
+      FROM r),
+c AS (SELECT id, max(n) AS n, avg(CASE WHEN r >= k1 AND r < n - k1 THEN sst END) AS tm,
+             stddev_pop(CASE WHEN r >= k1 AND r < n - k1 THEN sst END) AS ts,
+             sum(CASE WHEN r >= lo AND r <= n - 1 - lo THEN sst END) AS s,
+             max(CASE WHEN r = lo THEN sst END) AS vl, max(CASE WHEN r = n - 1 - lo THEN sst END) AS vh, max(lo) AS lw
+      FROM b GROUP BY id)
+SELECT id, n, round(tm, 6) AS trimmed_mean, round(ts, 6) AS trimmed_std,
+       round((s + (vl + vh) * lw) / n, 6) AS winsorised_mean FROM c""")
+def q_robust_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: trimmed mean/std (trim 10) and winsorised mean of SST per platform."""
+    out = SU.robust_stats(A.reports(spark, sf), "sst", "id", trim=10)
+    return out.select("id", "n", *[F.round(c, 6).alias(c) for c in ("trimmed_mean", "trimmed_std", "winsorised_mean")])
