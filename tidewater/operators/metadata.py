@@ -305,3 +305,28 @@ def link_editions(df: DataFrame, check: list[str], numeric: list[str], threshold
         return out[[f.name for f in schema.fields]]
 
     return d.groupBy(country, "call").applyInPandas(run, schema)
+
+
+# --- C17: instrument identifiers ----------------------------------------------------
+def instrument_ids(df: DataFrame, specs: dict[str, tuple[str, list[str], list[str]]],
+                   uid: str = "uid", record: str = "record_number") -> DataFrame:
+    """For each output column: '<uid>-<record>-<suffix>' when any listed
+    numeric field is present or any listed text field is not 'NULL', else
+    ''.  ``specs`` = {out: (suffix, numeric fields, text fields)}."""
+    cols = {}
+    for out, (suffix, nums, texts) in specs.items():
+        present = reduce(lambda a, b: a | b,
+                         [F.col(c).isNotNull() for c in nums]
+                         + [F.coalesce(F.col(c) != MISSING_TEXT, F.lit(True)) for c in texts])
+        cols[out] = F.when(present, F.concat_ws("-", F.col(uid), F.col(record).cast("string"), F.lit(suffix))) \
+            .otherwise(F.lit(""))
+    return df.withColumns(cols)
+
+
+def repair_anemometer_side(df: DataFrame, dist2: str = "anemometer2_distance_centreline",
+                           side1: str = "anemometer1_side") -> DataFrame:
+    """A letter at the start of the second anemometer's distance is really
+    the first anemometer's side: move it there and blank the distance."""
+    bad = F.coalesce(F.col(dist2).rlike("^[a-zA-Z]"), F.lit(False))
+    return df.withColumns({side1: F.when(bad, F.col(dist2)).otherwise(F.col(side1)),
+                           dist2: F.when(bad, F.lit(None)).otherwise(F.col(dist2))})

@@ -129,3 +129,28 @@ def q_link_editions(spark: SparkSession, sf: str) -> DataFrame:
     (country, call sign)."""
     out = MD.link_editions(editions(spark, sf).drop("packed", "brm", "anDC"), CHECK, NUMERIC)
     return out.select("rcnty", "call", "record_number", "name", "alt_names", "valid_from", "valid_to", *CHECK)
+
+
+_SPECS = {"thermometer1_id": ("TH1", ["platH_n"], []), "hygrometer1_id": ("HY1", [], ["vssl"]),
+          "anemometer1_id": ("AN1", ["anmH_n"], ["anDC"])}
+
+
+@register("instrument_ids", f"""WITH e AS ({_ED}),
+u AS (SELECT *, call || '-' || {_phonetic_sql('name')} || '-' || rcnty AS uid, 1 AS record_number,
+             CASE WHEN platH = -999999 THEN NULL ELSE platH END AS platH_n,
+             CASE WHEN anmH = -999999 THEN NULL ELSE anmH END AS anmH_n FROM e)
+SELECT line,
+  CASE WHEN platH_n IS NOT NULL THEN uid || '-1-TH1' ELSE '' END AS thermometer1_id,
+  CASE WHEN coalesce(vssl <> 'NULL', true) THEN uid || '-1-HY1' ELSE '' END AS hygrometer1_id,
+  CASE WHEN anmH_n IS NOT NULL OR coalesce(anDC <> 'NULL', true) THEN uid || '-1-AN1' ELSE '' END AS anemometer1_id
+FROM u""")
+def q_instrument_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """C17: instrument identifiers for records with any instrument attribute."""
+    e = editions(spark, sf)
+    e = e.withColumns({
+        "uid": F.concat_ws("-", F.col("call"), MD.phonetic("name"), F.col("rcnty")),
+        "record_number": F.lit(1),
+        "platH_n": F.when(F.col("platH") == -999999, F.lit(None)).otherwise(F.col("platH")),
+        "anmH_n": F.when(F.col("anmH") == -999999, F.lit(None)).otherwise(F.col("anmH")),
+    })
+    return MD.instrument_ids(e, _SPECS).select("line", *_SPECS)
