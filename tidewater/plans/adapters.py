@@ -476,3 +476,15 @@ SELECT
   || repeat(' ', 47) AS value
 FROM $lineitem
 """
+
+
+UNIT_CORRECTIONS_SQL = """
+SELECT CAST(1995 + n_nationkey % 7 AS INT) AS edition,
+       CASE WHEN n_nationkey < 7 THEN 'GB' ELSE 'NL' END AS rcnty,
+       'platH' AS field, CAST(0.3048 AS DOUBLE) AS factor, CAST(n_nationkey % 2 AS INT) AS all_values
+FROM $nation WHERE n_nationkey < 14
+UNION ALL
+SELECT CAST(1995 + n_nationkey AS INT) AS edition, 'GB' AS rcnty, 'anmH' AS field, CAST(10 AS DOUBLE) AS factor,
+       CAST(0 AS INT) AS all_values
+FROM $nation WHERE n_nationkey < 7
+"""

@@ -154,3 +154,52 @@ def q_instrument_ids(spark: SparkSession, sf: str) -> DataFrame:
         "anmH_n": F.when(F.col("anmH") == -999999, F.lit(None)).otherwise(F.col("anmH")),
     })
     return MD.instrument_ids(e, _SPECS).select("line", *_SPECS)
+
+
+_RANGES = {"platH": (0.0, 25.0), "anmH": (0.0, 20.0)}
+
+
+def _corr_sql() -> str:
+    c = A.duck(A.UNIT_CORRECTIONS_SQL)
+    parts = []
+    for f, (lo, hi) in _RANGES.items():
+        parts.append(f"""(SELECT edition, rcnty, factor AS f_{f}, all_values AS a_{f} FROM ({c}) WHERE field = '{f}') k_{f}""")
+    return parts
+
+
+def _corrected_sql() -> str:
+    kp, ka = _corr_sql()
+    exprs = []
+    for f, (lo, hi) in _RANGES.items():
+        present = f"({f} IS NOT NULL AND abs({f} + 999999.0) >= 1e-6)"
+        hit = (f"(f_{f} IS NOT NULL AND ((a_{f} = 1 AND {present}) OR "
+               f"(a_{f} = 0 AND {present} AND NOT ({f} BETWEEN {lo} AND {hi}))))")
+        exprs.append(f"CASE WHEN {hit} THEN {f} * f_{f} ELSE {f} END AS {f}")
+    return f"""SELECT e.line, e.edition, e.rcnty, {', '.join(exprs)}
+FROM ({_ED}) e LEFT JOIN {kp} ON k_platH.edition = e.edition AND k_platH.rcnty = e.rcnty
+              LEFT JOIN {ka} ON k_anmH.edition = e.edition AND k_anmH.rcnty = e.rcnty"""
+
+
+@register("correct_units", f"SELECT line, round(platH, 6) AS platH, round(anmH, 6) AS anmH FROM ({_corrected_sql()})")
+def q_correct_units(spark: SparkSession, sf: str) -> DataFrame:
+    """C14: per edition/country unit corrections of heights."""
+    out = MD.correct_units(editions(spark, sf), A.view(spark, sf, A.UNIT_CORRECTIONS_SQL), _RANGES)
+    return out.select("line", F.round("platH", 6).alias("platH"), F.round("anmH", 6).alias("anmH"))
+
+
+def _audit_sql() -> str:
+    un = " UNION ALL ".join(
+        f"SELECT edition, rcnty, '{f}' AS field, {f} AS v, {lo} AS lo, {hi} AS hi FROM c" for f, (lo, hi) in _RANGES.items())
+    return f"""WITH c AS ({_corrected_sql()}), s AS ({un})
+SELECT edition, rcnty, field, count(*) AS n,
+       sum(CASE WHEN v IS NOT NULL AND abs(v + 999999.0) >= 1e-6 AND NOT (v BETWEEN lo AND hi) THEN 1 ELSE 0 END) AS n_bad,
+       sum(CASE WHEN v IS NOT NULL AND abs(v + 999999.0) >= 1e-6 AND NOT (v BETWEEN lo AND hi) THEN 1 ELSE 0 END) / count(*) > 0.05
+         AND count(*) > 10 AS large
+FROM s GROUP BY 1, 2, 3"""
+
+
+@register("range_audit", _audit_sql())
+def q_range_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """C14: audit of out-of-range values per edition, country and field."""
+    out = MD.correct_units(editions(spark, sf), A.view(spark, sf, A.UNIT_CORRECTIONS_SQL), _RANGES)
+    return MD.range_audit(out, _RANGES)
