@@ -488,3 +488,17 @@ SELECT CAST(1995 + n_nationkey AS INT) AS edition, 'GB' AS rcnty, 'anmH' AS fiel
        CAST(0 AS INT) AS all_values
 FROM $nation WHERE n_nationkey < 7
 """
+
+
+# release configuration: one global row (sid_dck NULL) and one row per source
+RELEASE_CONFIG_SQL = """
+SELECT CASE WHEN r_regionkey = 0 THEN NULL
+            ELSE CAST(99 + r_regionkey AS STRING) || '-' || CASE r_regionkey WHEN 1 THEN '732' WHEN 2 THEN '926'
+                 WHEN 3 THEN '780' ELSE '992' END END AS sid_dck,
+       CAST(CASE WHEN r_regionkey = 0 THEN 1980 ELSE 1960 + r_regionkey * 5 END AS INT) AS year_init,
+       CAST(CASE WHEN r_regionkey = 0 THEN 2020 ELSE 2030 - r_regionkey * 3 END AS INT) AS year_end,
+       r_regionkey = 4 AS exclude,
+       split(CASE WHEN r_regionkey = 0 THEN 'observations-wbt' WHEN r_regionkey = 2 THEN 'observations-slp,observations-at'
+                  ELSE '' END, ',') AS params_exclude
+FROM $region
+"""

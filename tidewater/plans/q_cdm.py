@@ -329,3 +329,30 @@ def q_id_difference(spark: SparkSession, sf: str) -> DataFrame:
     a = A.view(spark, sf, A.OBS_SQL, modulus=13, skip=0).select("report_id")
     b = A.view(spark, sf, A.OBS_SQL, modulus=7, skip=3).select("report_id")
     return a.join(b, "report_id", "left_anti").distinct()
+
+
+# --- P11 -------------------------------------------------------------------------
+TABLES = ["header", "observations-at", "observations-sst", "observations-slp", "observations-wbt"]
+
+
+@register("select_release", f"""WITH {A.cte('reports')},
+inv AS (SELECT DISTINCT CAST(sid AS VARCHAR) || '-' || CAST(dck AS VARCHAR) AS sid_dck, yr AS year FROM reports),
+t AS (SELECT inv.*, unnest(['{"', '".join(TABLES)}']) AS "table" FROM inv),
+cfg AS ({A.duck(A.RELEASE_CONFIG_SQL)}),
+g AS (SELECT year_init AS g0, year_end AS g1, params_exclude AS gx FROM cfg WHERE sid_dck IS NULL),
+p AS (SELECT sid_dck AS sd, year_init AS p0, year_end AS p1, exclude AS pex, params_exclude AS px
+      FROM cfg WHERE sid_dck IS NOT NULL)
+SELECT t.sid_dck, t.year, t."table",
+  NOT (NOT (t.year BETWEEN greatest(coalesce(p0, g0), g0) AND least(coalesce(p1, g1), g1))
+       OR coalesce(pex, false)
+       OR list_contains(list_concat(coalesce(px, []), coalesce(gx, [])), t."table")) AS included
+FROM t CROSS JOIN g LEFT JOIN p ON t.sid_dck = p.sd""")
+def q_select_release(spark: SparkSession, sf: str) -> DataFrame:
+    """Release inventory (source, year, table) marked included or
+    excluded by the per-source and global periods and exclusions."""
+    r = _reports(spark, sf)
+    inv = r.select(F.concat_ws("-", F.col("sid").cast("string"), F.col("dck").cast("string")).alias("sid_dck"),
+                   F.col("yr").alias("year")).distinct()
+    inv = inv.withColumn("table", F.explode(F.array(*[F.lit(t) for t in TABLES])))
+    out = SEL.select_release(inv, A.view(spark, sf, A.RELEASE_CONFIG_SQL))
+    return out.select("sid_dck", "year", "table", "included")
