@@ -42,11 +42,12 @@ def station_month(df: DataFrame, variables: list[tuple[str, int]] | None = None,
     return s.withColumn("observed_variables", F.array_join(codes, ","))
 
 
-def station_year(monthly: DataFrame) -> DataFrame:
-    """Roll monthly station records up to one per (station, record):
-    time extent and bbox, union of observed-variable codes (ascending), the
-    earliest name as station_name and other names as alternative_name."""
-    keys = ["primary_station_id", "station_record_number"]
+def station_year(monthly: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Roll monthly station records up to one per (station, record)
+    (and ``by``, e.g. the year): time extent and bbox, union of
+    observed-variable codes (ascending), the earliest name as station_name
+    and other names as alternative_name."""
+    keys = [*(by or []), "primary_station_id", "station_record_number"]
     named = monthly.withColumn("_codes", F.split(F.col("observed_variables"), ","))
     agg = named.groupBy(*keys).agg(
         F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
@@ -175,3 +176,38 @@ def robust_stats(df: DataFrame, value: str, key: str = "id", trim: int = 100, ti
         F.max("_lo").alias("_lw"))
     w = (F.col("_s") + (F.col("_vl") + F.col("_vh")) * F.col("_lw")) / F.col("n")
     return out.select(key, "n", "trimmed_mean", "trimmed_std", w.alias("winsorised_mean"))
+
+
+def station_all(yearly: DataFrame) -> DataFrame:
+    """All-years roll-up of yearly station records per (station,
+    record): extent, bbox, observed-variable codes as a numerically sorted
+    brace list, the earliest name as station_name and every other name
+    (and earlier alternative names, 'NULL' ignored) as a sorted brace list;
+    ``consistent`` is false when the platform type was not unique (the
+    reference asserts instead of reporting)."""
+    keys = ["primary_station_id", "station_record_number"]
+    alt = F.filter(F.split(F.coalesce(F.col("alternative_name"), F.lit("")), ","),
+                   lambda x: (x != "") & (x != "NULL"))
+    d = yearly.withColumns({"_codes": F.transform(F.filter(F.split(F.col("observed_variables"), ","),
+                                                           lambda c: c != ""), lambda c: c.cast("int")),
+                            "_alt": alt})
+    agg = d.groupBy(*keys).agg(
+        F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
+        F.min("bbox_min_lon").alias("bbox_min_lon"), F.max("bbox_max_lon").alias("bbox_max_lon"),
+        F.min("bbox_min_lat").alias("bbox_min_lat"), F.max("bbox_max_lat").alias("bbox_max_lat"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_codes")))).alias("_codes"),
+        F.min_by("station_name", F.struct("start_date", "station_name")).alias("station_name"),
+        F.collect_set("station_name").alias("_names"),
+        F.flatten(F.collect_list("_alt")).alias("_alts"),
+        F.min(F.col("unique_platform_type").cast("int")).alias("_uniq"),
+    )
+    others = F.array_sort(F.array_distinct(F.filter(F.concat("_names", "_alts"),
+                                                    lambda n: n != F.col("station_name"))))
+    return agg.select(
+        *keys, "start_date", "end_date", "bbox_min_lon", "bbox_max_lon", "bbox_min_lat", "bbox_max_lat",
+        F.concat(F.lit("{"), F.array_join(F.transform("_codes", lambda c: c.cast("string")), ","), F.lit("}"))
+        .alias("observed_variables"),
+        "station_name",
+        F.concat(F.lit("{"), F.array_join(others, ","), F.lit("}")).alias("alternative_name"),
+        (F.col("_uniq") == 1).alias("consistent"),
+    )

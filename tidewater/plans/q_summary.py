@@ -199,3 +199,41 @@ def q_robust_stats(spark: SparkSession, sf: str) -> DataFrame:
     """A10: trimmed mean/std (trim 10) and winsorised mean of SST per platform."""
     out = SU.robust_stats(A.reports(spark, sf), "sst", "id", trim=10)
     return out.select("id", "n", *[F.round(c, 6).alias(c) for c in ("trimmed_mean", "trimmed_std", "winsorised_mean")])
+
+
+_YEAR_SQL = f"""st AS ({_ST}), {_STATION_MONTH_SQL},
+y AS (SELECT substr(period, 1, 4) AS year, primary_station_id, station_record_number, min(start_date) AS start_date,
+        max(end_date) AS end_date, min(bbox_min_lon) AS bbox_min_lon, max(bbox_max_lon) AS bbox_max_lon,
+        min(bbox_min_lat) AS bbox_min_lat, max(bbox_max_lat) AS bbox_max_lat,
+        list_sort(list_distinct(flatten(list(string_split(observed_variables, ','))))) AS codes,
+        first(station_name ORDER BY start_date, station_name) AS station_name,
+        list_sort(list_distinct(list(station_name))) AS names, count(DISTINCT platform_type) AS npt
+      FROM sm GROUP BY 1, 2, 3),
+yy AS (SELECT year, primary_station_id, station_record_number, start_date, end_date, bbox_min_lon, bbox_max_lon,
+         bbox_min_lat, bbox_max_lat, array_to_string(list_filter(codes, lambda c: c <> ''), ',') AS observed_variables,
+         station_name, array_to_string(list_filter(names, lambda n: n <> station_name), ',') AS alternative_name,
+         npt = 1 AS unique_platform_type FROM y)"""
+
+
+@register("station_all", f"""WITH {_YEAR_SQL},
+a AS (SELECT primary_station_id, station_record_number, min(start_date) AS start_date, max(end_date) AS end_date,
+        min(bbox_min_lon) AS bbox_min_lon, max(bbox_max_lon) AS bbox_max_lon, min(bbox_min_lat) AS bbox_min_lat,
+        max(bbox_max_lat) AS bbox_max_lat,
+        list_sort(list_distinct(flatten(list(list_transform(list_filter(string_split(observed_variables, ','),
+          lambda c: c <> ''), lambda c: CAST(c AS INTEGER)))))) AS codes,
+        first(station_name ORDER BY start_date, station_name) AS station_name,
+        list_distinct(list(station_name)) AS names,
+        flatten(list(list_filter(string_split(coalesce(alternative_name, ''), ','), lambda x: x <> '' AND x <> 'NULL')))
+          AS alts,
+        min(CAST(unique_platform_type AS INTEGER)) AS uq
+      FROM yy GROUP BY 1, 2)
+SELECT primary_station_id, station_record_number, start_date, end_date, bbox_min_lon, bbox_max_lon, bbox_min_lat,
+  bbox_max_lat, '{{' || array_to_string(codes, ',') || '}}' AS observed_variables, station_name,
+  '{{' || array_to_string(list_sort(list_distinct(list_filter(list_concat(names, alts), lambda n: n <> station_name))), ',')
+  || '}}' AS alternative_name, uq = 1 AS consistent
+FROM a""")
+def q_station_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly -> yearly -> all-years station records."""
+    monthly = SU.station_month(_stations(spark, sf), by=["period"]).withColumn("year", F.substring("period", 1, 4))
+    yearly = SU.station_year(monthly, by=["year"])
+    return SU.station_all(yearly)
