@@ -139,9 +139,38 @@ def sql_for_duckdb(text: str, **kw) -> str:
     return _TABLE_TOKEN.sub(r"\1", _params(text, kw))
 
 
+_MATERIALISED: dict[tuple, str] = {}
+
+
+def _materialise(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Write an adapter's output once per session as a parquet table in the
+    shared checkpoint folder and read it back.  Operators then see plain
+    columns (as they would reading the archive), instead of the adapter's
+    expressions being re-inlined into every use."""
+    import uuid
+
+    from tidewater.session import ensure_checkpoint_dir
+
+    k = (id(spark), *key)
+    path = _MATERIALISED.get(k)
+    if path is None:
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        path = f"{base}/tidewater_inputs/{uuid.uuid4().hex}"
+        # several files, as an archive has: the scan then runs in parallel
+        n = max(1, spark.sparkContext.defaultParallelism)
+        build().repartition(n).write.mode("overwrite").parquet(path)
+        _MATERIALISED[k] = path
+    return spark.read.parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, text: str, **kw) -> DataFrame:
-    """Run an adapter in Spark: each ``$table`` is a temp view over the
-    parquet file of ``sf_dir`` (name derived from the directory)."""
+    """Run an adapter in Spark (materialised once per session): each
+    ``$table`` is a temp view over the parquet file of ``sf_dir``."""
+    return _materialise(spark, ("view", sf_dir, text, tuple(sorted(kw.items()))),
+                        lambda: _view_now(spark, sf_dir, text, **kw))
+
+
+def _view_now(spark: SparkSession, sf_dir: str, text: str, **kw) -> DataFrame:
     text = _params(text, kw)
     tag = re.sub(r"[^0-9a-zA-Z]", "_", sf_dir)
     names = {}
@@ -161,10 +190,9 @@ _STATIC: dict[tuple[int, str], DataFrame] = {}
 
 
 def _static(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    """Static reference fields (climatology, background), generated from a
-    deterministic range (measured: persisting them was slower than
-    regenerating, so they are not cached)."""
-    return spark.sql(sql)
+    """Static reference fields (climatology, background): generated from a
+    deterministic range once per session and stored as a table."""
+    return _materialise(spark, ("static", name), lambda: spark.sql(sql))
 
 
 def climatology(spark: SparkSession) -> DataFrame:
