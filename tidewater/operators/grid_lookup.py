@@ -100,48 +100,60 @@ def as_grid_table(df: DataFrame, n: int, res: float, value: str = "value",
         F.col("value").isNotNull() & (F.col("t") < n))
 
 
-def bilinear_lookup(df: DataFrame, field: DataFrame, value: str, out: str, n: int = 73,
-                    res: float = 1.0, lat="lat", lon="lon", mo="mo", dy="dy") -> DataFrame:
-    """Bilinear interpolation between the four surrounding cell centres.
-
-    The four corners are exploded per report and fetched with ONE equi-join;
-    missing corners are filled from their neighbours along the same row (then
-    the same column), as the reference fills masked corners before weighting.
+def _corners(lat: Column, lon: Column, max90: bool):
+    """Centres (x1, x2, y1, y2) of the four 1-degree cells around a point."""
+    x2 = G.xindex_to_lon(G.reg_xindex(lon + 0.5))
+    x2 = F.when(x2 < lon, x2 + 360.0).otherwise(x2)
+    x1 = G.xindex_to_lon(G.reg_xindex(lon - 0.5))
+    x1 = F.when(x1 > lon, x1 - 360.0).otherwise(x1)
+    y2 = F.when(lat + 0.5 <= 90, G.yindex_to_lat(G.reg_yindex(lat + 0.5))).otherwise(F.lit(89.5 if max90 else 90.5))
+    y1 = F.when(lat - 0.5 >= -90, G.yindex_to_lat(G.reg_yindex(lat - 0.5))).otherwise(F.lit(-89.5 if max90 else -90.5))
+    return x1, x2, y1, y2
+
+
+def bilinear_lookup(df: DataFrame, field: DataFrame, value: str, out: str, key: str = "uid", n: int = 73,
+                    lat="lat", lon="lon", mo="mo", dy="dy") -> DataFrame:
+    """Bilinear interpolation of a 1-degree field at each report.
+
+    Four probes 0.001 degrees around the point (north probes only below 90,
+    south only above -90) must find at least one value, else NULL.  The four
+    surrounding cell centres are looked up; a missing corner is filled from
+    the mean of its two neighbours, else the opposite corner (in the order
+    q11, q22, q12, q21); the value is interpolated with the polar rows
+    extended to +-90.5.  All eight lookups of a report are exploded and
+    fetched with ONE equi-join, then pivoted back by a group-by on ``key``.
     """
-    ny, nx = int(round(180 / res)), int(round(360 / res))
     la, lo = F.col(lat), G.lon180(F.col(lon))
-    # fractional cell coordinates measured from cell centres
-    fy = (F.lit(90.0) - la) / res - 0.5
-    fx = (lo + 180.0) / res - 0.5
-    y0 = F.floor(fy).cast("int")
-    x0 = F.floor(fx).cast("int")
     ok = valid_day_2004(mo, dy) & la.isNotNull() & lo.isNotNull()
-    base = df.withColumn("_rid", F.monotonically_increasing_id()).withColumns({
-        "_t": F.when(ok, G.time_index(n, F.col(mo), F.col(dy))) if n != 1 else F.when(ok, F.lit(0)),
-        "_y0": y0, "_x0": x0, "_wy": fy - F.floor(fy), "_wx": fx - F.floor(fx),
-    })
-    corners = base.select(
-        "_rid", "_t", "_y0", "_x0",
-        F.explode(F.array(*[F.struct(F.lit(dyy).alias("dy"), F.lit(dxx).alias("dx"))
-                            for dyy in (0, 1) for dxx in (0, 1)])).alias("c"),
-    ).select(
-        "_rid", F.col("_t").alias("t"),
-        F.least(F.greatest(F.col("_y0") + F.col("c.dy"), F.lit(0)), F.lit(ny - 1)).alias("y"),
-        F.pmod(F.col("_x0") + F.col("c.dx"), F.lit(nx)).alias("x"),
-        (F.col("c.dy") * 2 + F.col("c.dx")).alias("corner"),
-    )
-    vals = corners.join(field.select("t", "y", "x", F.col(value).alias("_v")), ["t", "y", "x"], "left")
-    piv = vals.groupBy("_rid").agg(*[
-        F.max(F.when(F.col("corner") == i, F.col("_v"))).alias(f"_c{i}") for i in range(4)
-    ])
-    c0, c1, c2, c3 = (F.col(f"_c{i}") for i in range(4))
-    # fill a missing corner from its row partner, then from its column partner
-    f0 = F.coalesce(c0, c1, c2, c3)
-    f1 = F.coalesce(c1, c0, c3, c2)
-    f2 = F.coalesce(c2, c3, c0, c1)
-    f3 = F.coalesce(c3, c2, c1, c0)
-    joined = base.join(piv, "_rid", "left")
-    wy, wx = F.col("_wy"), F.col("_wx")
-    interp = (f0 * (1 - wx) * (1 - wy) + f1 * wx * (1 - wy) + f2 * (1 - wx) * wy + f3 * wx * wy)
-    return joined.withColumn(out, interp).drop(
-        "_rid", "_t", "_y0", "_x0", "_wy", "_wx", "_c0", "_c1", "_c2", "_c3")
+    t = F.when(ok, G.time_index(n, F.col(mo), F.col(dy))) if n != 1 else F.when(ok, F.lit(0))
+    x1, x2, y1, y2 = _corners(la, lo, True)
+    pts = [("p1", la + 0.001, lo + 0.001, la + 0.001 < 90), ("p2", la + 0.001, lo - 0.001, la + 0.001 < 90),
+           ("p3", la - 0.001, lo + 0.001, la - 0.001 > -90), ("p4", la - 0.001, lo - 0.001, la - 0.001 > -90),
+           ("q11", y1, x1, F.lit(True)), ("q22", y2, x2, F.lit(True)), ("q12", y2, x1, F.lit(True)),
+           ("q21", y1, x2, F.lit(True))]
+    probes = df.select(F.col(key).alias("_key"), t.alias("t"), F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), G.reg_yindex(py).alias("y"), G.reg_xindex(px).alias("x"),
+                 use.alias("use")) for name, py, px, use in pts])).alias("_p"))
+    probes = probes.where(F.col("_p.use")).select("_key", "t", F.col("_p.name").alias("name"),
+                                                  F.col("_p.y").alias("y"), F.col("_p.x").alias("x"))
+    vals = probes.join(field.select("t", "y", "x", F.col(value).alias("_v")), ["t", "y", "x"], "left")
+    piv = vals.groupBy("_key").agg(*[F.max(F.when(F.col("name") == nm, F.col("_v"))).alias(f"_{nm}")
+                                     for nm, *_ in pts])
+    q11, q22, q12, q21 = (F.col(f"_q{c}") for c in ("11", "22", "12", "21"))
+
+    def mean2(a, b):
+        return F.when(a.isNotNull() & b.isNotNull(), (a + b) / 2.0).otherwise(F.coalesce(a, b))
+
+    f11 = F.coalesce(q11, mean2(q12, q21), q22)
+    f22 = F.coalesce(q22, mean2(q12, q21), q11)
+    f12 = F.coalesce(q12, mean2(q11, q22), q21)
+    f21 = F.coalesce(q21, mean2(q11, q22), q12)
+    any_probe = F.col("_p1").isNotNull() | F.col("_p2").isNotNull() | F.col("_p3").isNotNull() | F.col("_p4").isNotNull()
+    piv = piv.select("_key", any_probe.alias("_any"), f11.alias("_f11"), f22.alias("_f22"), f12.alias("_f12"),
+                     f21.alias("_f21"))
+    j = df.join(piv, F.col(key) == F.col("_key"), "left")
+    bx1, bx2, by1, by2 = _corners(la, lo, False)
+    val = (F.col("_f11") * (bx2 - lo) * (by2 - la) + F.col("_f21") * (lo - bx1) * (by2 - la)
+           + F.col("_f12") * (bx2 - lo) * (la - by1) + F.col("_f22") * (lo - bx1) * (la - by1)) \
+        / ((bx2 - bx1) * (by2 - by1))
+    return j.withColumn(out, F.when(F.col("_any"), val)).drop("_key", "_any", "_f11", "_f22", "_f12", "_f21")

@@ -237,3 +237,53 @@ def q_station_all(spark: SparkSession, sf: str) -> DataFrame:
     monthly = SU.station_month(_stations(spark, sf), by=["period"]).withColumn("year", F.substring("period", 1, 4))
     yearly = SU.station_year(monthly, by=["year"])
     return SU.station_all(yearly)
+
+
+def _corners_sql(lat: str, lo: str, max90: bool) -> tuple[str, str, str, str]:
+    def xl(e):  # xindex -> cell-centre longitude
+        return f"({X.reg_x(e)} - 180 + 0.5)"
+
+    def yl(e):
+        return f"(90 - {X.reg_y(e)} - 0.5)"
+    x2 = f"(CASE WHEN {xl(f'{lo} + 0.5')} < {lo} THEN {xl(f'{lo} + 0.5')} + 360.0 ELSE {xl(f'{lo} + 0.5')} END)"
+    x1 = f"(CASE WHEN {xl(f'{lo} - 0.5')} > {lo} THEN {xl(f'{lo} - 0.5')} - 360.0 ELSE {xl(f'{lo} - 0.5')} END)"
+    y2 = f"(CASE WHEN {lat} + 0.5 <= 90 THEN {yl(f'{lat} + 0.5')} ELSE {89.5 if max90 else 90.5} END)"
+    y1 = f"(CASE WHEN {lat} - 0.5 >= -90 THEN {yl(f'{lat} - 0.5')} ELSE {-89.5 if max90 else -90.5} END)"
+    return x1, x2, y1, y2
+
+
+def _interp_sql() -> str:
+    t = (f"CASE WHEN {X.valid_day('2004', 'mo', 'dy')} AND lat IS NOT NULL AND lon IS NOT NULL "
+         f"THEN {X.pentad('mo', 'dy')} - 1 END")
+    x1, x2, y1, y2 = _corners_sql("lat", "lo", True)
+    probes = [("p1", "lat + 0.001", "lo + 0.001", "lat + 0.001 < 90"), ("p2", "lat + 0.001", "lo - 0.001", "lat + 0.001 < 90"),
+              ("p3", "lat - 0.001", "lo + 0.001", "lat - 0.001 > -90"), ("p4", "lat - 0.001", "lo - 0.001", "lat - 0.001 > -90"),
+              ("q11", "y1", "x1", "true"), ("q22", "y2", "x2", "true"), ("q12", "y2", "x1", "true"), ("q21", "y1", "x2", "true")]
+    pr = " UNION ALL ".join(f"SELECT uid, t, '{n}' AS name, {X.reg_y(py)} AS y, {X.reg_x(px)} AS x FROM c WHERE {cond}"
+                            for n, py, px, cond in probes)
+    piv = ", ".join(f"max(CASE WHEN name = '{n}' THEN v END) AS {n}" for n, *_ in probes)
+    m2 = lambda a, b: f"(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN ({a} + {b}) / 2.0 ELSE coalesce({a}, {b}) END)"
+    bx1, bx2, by1, by2 = _corners_sql("lat", "lo", False)
+    return f"""WITH {A.cte('reports')}, {A.cte('clim')},
+b AS (SELECT uid, mo, dy, lat, {X.lon180('lon')} AS lo, {t} AS t FROM reports),
+c AS (SELECT *, {x1} AS x1, {x2} AS x2, {y1} AS y1, {y2} AS y2 FROM b),
+pr AS ({pr}),
+v AS (SELECT pr.uid, pr.name, clim.sst AS v FROM pr LEFT JOIN clim ON clim.t = pr.t AND clim.y = pr.y AND clim.x = pr.x),
+pv AS (SELECT uid, {piv} FROM v GROUP BY uid),
+f AS (SELECT uid, (p1 IS NOT NULL OR p2 IS NOT NULL OR p3 IS NOT NULL OR p4 IS NOT NULL) AS anyp,
+        coalesce(q11, {m2('q12', 'q21')}, q22) AS f11, coalesce(q22, {m2('q12', 'q21')}, q11) AS f22,
+        coalesce(q12, {m2('q11', 'q22')}, q21) AS f12, coalesce(q21, {m2('q11', 'q22')}, q12) AS f21 FROM pv),
+g AS (SELECT b.uid, b.lat, b.lo, f.*, {bx1} AS bx1, {bx2} AS bx2, {by1} AS by1, {by2} AS by2
+      FROM b LEFT JOIN f ON b.uid = f.uid)
+SELECT uid, round(CASE WHEN anyp THEN (f11 * (bx2 - lo) * (by2 - lat) + f21 * (lo - bx1) * (by2 - lat)
+       + f12 * (bx2 - lo) * (lat - by1) + f22 * (lo - bx1) * (lat - by1)) / ((bx2 - bx1) * (by2 - by1)) END, 6)
+       AS sst_interp FROM g"""
+
+
+@register("clim_interpolated", _interp_sql())
+def q_clim_interpolated(spark: SparkSession, sf: str) -> DataFrame:
+    """SST climatology bilinearly interpolated to each report."""
+    from tidewater.operators.grid_lookup import bilinear_lookup
+    r = A.reports(spark, sf).select("uid", "lat", "lon", "mo", "dy")
+    out = bilinear_lookup(r, A.climatology(spark), "sst", "sst_interp", key="uid")
+    return out.select("uid", F.round("sst_interp", 6).alias("sst_interp"))
