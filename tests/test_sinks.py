@@ -46,3 +46,23 @@ def test_flag_block_prints_nine(spark):
     df = spark.createDataFrame([("a", 1, None, 1), ("b", 0, 1, 0)], "uid string, sst_bud int, sst_clim int, month_match int")
     rows = {r["UID"]: (r["bud"], r["clim"]) for r in K.flag_block(df, "SST", ["bud", "clim"]).collect()}
     assert rows == {"a": (1, 9)}
+
+
+def test_read_edition_delimited_and_fixed(spark):
+    import os
+
+    from tidewater.sources.editions import read_edition
+
+    d = tempfile.mkdtemp(prefix="tw-ed-")
+    rows = ["ÅRHUS;12.00;3,5;ot", "BELLE ÎLE;NA;-4/5;", ";OT;12 M;abc"]
+    with open(os.path.join(d, "ed.txt"), "w", encoding="iso-8859-1") as fh:
+        fh.write("\n".join(rows) + "\n")
+    cols = [("name", "object", 10), ("vsslM", "int", 5), ("platH", "float", 6), ("call", "object", 3)]
+    got = [tuple(r) for r in read_edition(spark, d, cols).collect()]
+    assert sorted(got) == sorted([("ÅRHUS", 12, 3.5, "OT"), ("BELLE ÎLE", -999999, 4.5, "NULL"),
+                                  ("NULL", 0, 12.0, "ABC")])
+    f = tempfile.mkdtemp(prefix="tw-edf-")
+    with open(os.path.join(f, "ed.txt"), "w", encoding="iso-8859-1") as fh:
+        fh.write("ÅRHUS     12.00   3,5ot \n" + "          NA     -4/5   \n")
+    got = sorted(tuple(r) for r in read_edition(spark, f, cols, fmt="fixed").collect())
+    assert got == sorted([("ÅRHUS", 12, 3.5, "OT"), ("NULL", -999999, 4.5, "NULL")])
