@@ -153,6 +153,11 @@ def _materialise(spark: SparkSession, key: tuple, build) -> DataFrame:
 
     k = (id(spark), *key)
     path = _MATERIALISED.get(k)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder gone (new session, cleaned scratch): rebuild
+            path = None
     if path is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/tidewater_inputs/{uuid.uuid4().hex}"
