@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 from tidewater.functions import grid as G
 from tidewater.functions.calendar import valid_day_2004
 
-# A 1-degree pentad field is ~4.7M cells; broadcasting it (a few hundred MB at
-# most, bounded by geometry) avoids shuffling the report table, which at scale
-# is the large side by many orders of magnitude.
-DEFAULT_BROADCAST_LIMIT = 512 * 1024 * 1024
+# A 1-degree pentad field is ~4.7M cells; broadcasting it (bounded by geometry)
+# avoids shuffling the report table, which at scale is the large side by many
+# orders of magnitude.  Building a broadcast needs driver memory, so the limit
+# is a session setting: 64 MB by default (safe for a 1 GB driver), raise
+# ``spark.tidewater.gridBroadcastBytes`` (e.g. to 512 MB) on clusters whose
+# driver can hold the grid.
+DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_CONF = "spark.tidewater.gridBroadcastBytes"
 
 
 def grid_rows_bound(n: int, res: float) -> int:
@@ -43,12 +47,15 @@ def sized_join_side(field: DataFrame, n: int, res: float, n_values: int,
     """Broadcast-hint the field only when its geometric size bound is small
     and (when ``other`` is given) the other side is estimated much larger."""
     if broadcast_limit_bytes is None:
-        broadcast_limit_bytes = DEFAULT_BROADCAST_LIMIT
+        conf = field.sparkSession.conf.get(BROADCAST_CONF, None)
+        broadcast_limit_bytes = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
     approx_bytes = grid_rows_bound(n, res) * (12 + 8 * max(n_values, 1))
+    # not broadcasting is stated explicitly: compressed grid files look tiny
+    # to the planner's automatic broadcast, but expand far beyond it in memory
     if approx_bytes > broadcast_limit_bytes:
-        return field
+        return field.hint("merge")
     if other is not None and plan_size_estimate(other) < 4 * approx_bytes:
-        return field
+        return field.hint("merge")
     return F.broadcast(field)
 
 

@@ -30,6 +30,14 @@ def tune_session(spark: SparkSession) -> None:
     (seconds per query); the filters it would infer are written explicitly.
     """
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    # static size estimates of compressed files understate in-memory size:
+    # broadcast only by explicit, size-checked hints or by AQE from the
+    # measured shuffle size of a stage
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
+    from tidewater.session import ship_package
+
+    ship_package(spark)
 
 
 def register(name: str, oracle: str | None = None):
