@@ -117,3 +117,42 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ring import shard_documents
 
     return shard_documents(C.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    from .langid import learn, predict
+
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", C.held_out(F.col("doc_id")))
+    return predict(docs, learn(docs.where("not held_out")), F.col("text"), ["doc_id", "held_out"])
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    """Classifier learned from the labelled documents that are not held out."""
+    from .toxicity import learn
+
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text").where(~C.held_out(F.col("doc_id")))
+    labels = C.table(spark, sf_dir, "labels").select("doc_id", "toxic").distinct()
+    return learn(docs.join(labels, "doc_id"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows that are not held out."""
+    from .toxicity import score
+
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", C.held_out(F.col("doc_id")).alias("held_out"))
+    return score(docs, toxicity_model(spark, sf_dir), F.col("text"), ["doc_id", "held_out"])
+
+
+@query("op5_setsketch_near_dups")
+def op5_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a similarity of 0.8 or more."""
+    from .setsketch import near_duplicates
+
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = near_duplicates(docs, F.col("text"), shingle=4, threshold=0.8)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
