@@ -156,3 +156,12 @@ def op5_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(docs, F.col("text"), shingle=4, threshold=0.8)
     return out.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that 20-word windows repeat from earlier text, removed."""
+    from .substring import remove_repeats
+
+    out = remove_repeats(C.table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
