@@ -165,3 +165,24 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = remove_repeats(C.table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_OP9_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op9_exact_top_k", _OP9_SQL)
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector with all other vectors."""
+    from .topk import top_k
+
+    rows = C.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(rows, F.col("vec_id") % 50 == 0, k=5)
