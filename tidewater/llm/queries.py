@@ -186,3 +186,34 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = C.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
+_OP10_SQL = r"""
+WITH dw AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+iw AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+i AS (SELECT item_id, w, len(w) AS size, least(len(w), 5) AS g FROM iw WHERE len(w) > 0),
+ig AS (SELECT item_id, size, g, size - g + 1 AS n_all, unnest(list_transform(range(1, size - g + 2), lambda p: array_to_string(w[p:p + g - 1], ' '))) AS h FROM i),
+ic AS (SELECT item_id, size, g, n_all, h, count(*) AS c FROM ig GROUP BY ALL),
+sizes AS (SELECT DISTINCT g FROM i),
+dg AS (SELECT doc_id, len(w) AS n, g, unnest(range(0, greatest(len(w) - g + 1, 1))) AS pos,
+              unnest(list_transform(range(1, greatest(len(w) - g + 1, 1) + 1), lambda p: array_to_string(w[p:p + g - 1], ' '))) AS h
+       FROM dw, sizes WHERE len(w) > 0),
+s AS (SELECT DISTINCT dg.doc_id, dg.n, ic.item_id, ic.size, ic.g, ic.n_all, greatest(least(dg.pos, dg.n - ic.size), 0) AS st
+      FROM dg JOIN ic USING (h, g)),
+win AS (SELECT s.doc_id, s.item_id, s.st, s.n_all, s.g, dg.h, count(*) AS c, greatest(least(s.size, s.n) - s.g + 1, 1) AS w_all
+        FROM s JOIN dg ON dg.doc_id = s.doc_id AND dg.g = s.g AND dg.pos BETWEEN s.st AND s.st + s.size - s.g
+        GROUP BY ALL),
+sh AS (SELECT win.doc_id, win.item_id, win.st, win.n_all, win.w_all, sum(least(win.c, ic.c)) AS both_n
+       FROM win JOIN ic USING (item_id, h) GROUP BY ALL),
+ok AS (SELECT *, both_n / (n_all + w_all - both_n) AS sim FROM sh WHERE both_n * 100 >= (n_all + w_all - both_n) * 80)
+SELECT doc_id, item_id, max(sim)::DOUBLE AS similarity, arg_min(st, (-sim, st))::BIGINT AS start_word FROM ok GROUP BY doc_id, item_id
+"""
+
+
+@query("op10_simhash_decontaminate", _OP10_SQL)
+def op10_simhash_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) whose item-sized window is 0.8 similar or more."""
+    from .decontam import find_leaks
+
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, C.table(spark, sf_dir, "benchmark").select("item_id", "text"))
