@@ -217,3 +217,18 @@ def op10_simhash_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_leaks(docs, C.table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+#: Conversation -7 of the contract: (turn, role); both say the same.
+EXTRA_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op4_prefix_tree_chat")
+def op4_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations (and -7) as a prefix tree, read back from its nodes."""
+    from .chat import format_tree, read_back
+
+    rows = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    return read_back(*format_tree(rows.unionByName(extra)))
