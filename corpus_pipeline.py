@@ -10,9 +10,76 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm import common, decontam, mixing, ring, setsketch, toxicity
+from tidewater.llm.queries import quality_weights
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def _shield(docs: DataFrame, used: list[str]) -> DataFrame:
+    """Columns that a stage does not use get names that no operator has."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"in__{c}") for c in docs.columns])
+
+
+def _unshield(out: DataFrame, docs: DataFrame, used: list[str]) -> DataFrame:
+    return out.select(*[F.col(c if c in used else f"`in__{c}`").alias(c) for c in docs.columns])
+
+
+def _id(column: str = "doc_id"):
+    return F.coalesce(F.col(column).cast("long"), F.lit(common.LAST_ID))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier (learned from ``labels`` that
+    are not held out) does not predict as toxic."""
+    used = ["doc_id", "text"]
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").distinct()
+    known = docs.select("doc_id", "text").where(~common.held_out(F.col("doc_id"))).join(labels, "doc_id")
+    rows = _shield(docs, used)
+    scored = toxicity.score(rows, toxicity.learn(known), F.col("text"), rows.columns)
+    return _unshield(scored.where("predicted = 0"), docs, used)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each component of texts whose 5-word
+    shingle sets are 0.8 similar; a repeated row stays once."""
+    found = setsketch.near_duplicates(docs.select("doc_id", "text"), F.col("text"), shingle=5, threshold=0.8)
+    first = found.select(_id().alias("k__"), "component_id").where("k__ = component_id").select("k__").distinct()
+    rows = docs.withColumns({"k__": _id(), "t__": F.sha2(F.col("text").cast("binary"), 256)})
+    return rows.join(first, "k__", "left_semi").dropDuplicates(["k__", "t__"]).select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = common.table(spark, sf_dir, "benchmark").select("item_id", "text")
+    leaks = decontam.find_leaks(docs.select("doc_id", "text"), items)
+    return docs.withColumn("k__", _id()).join(leaks.select(_id().alias("k__")).distinct(), "k__", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: every document as often as it is taken."""
+    used = ["doc_id", "text", "source"]
+    quality = quality_weights(common.table(spark, sf_dir, "labels"))
+    rows = _shield(docs, used).join(quality, "doc_id", "left")
+    mixed = mixing.mix_to_targets(rows, common.word_count(F.col("text")), F.coalesce("__quality", F.lit(1.0)))
+    taken = mixed.where("copies > 0").withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return _unshield(taken, docs, used)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every row of the mix."""
+    return ring.shard_documents(docs.select("doc_id", "text"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
 
 #: Model scores and sketches are not SQL; tests/llm holds the brute-force checks.
 ORACLE_SQL: str | None = None
@@ -20,8 +87,6 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; rows of the last one."""
-    from tidewater.llm import common
-
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = common.materialise(stage(spark, docs, sf_dir), f"stage-{name}")
