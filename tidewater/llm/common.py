@@ -42,12 +42,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(crc, F.lit(5)) == 0, F.lit(True))
 
 
+#: Rows that Arrow hands to Python at once while a table is written: whole
+#: texts and sets are long, so fewer than Spark's 10,000.
+ARROW_ROWS = 1000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, and what it computed is never computed twice."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(_ARROW)
+    spark.conf.set(_ARROW, str(min(int(before), ARROW_ROWS)) if int(before) > 0 else str(ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -49,9 +49,10 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.02, 20.0
 #: Estimates may lie this far below the threshold (about five standard deviations).
 SLACK = 0.2
-MAX_ROUNDS = 8
-#: All remaining pairs are tested once there are fewer than this many for each text.
-FEW = 2
+MAX_ROUNDS = 6
+#: All remaining pairs are tested once their buckets hold at most this many
+#: for each bucket row.
+FEW = 1
 _PIECE = 2048
 _TURN = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -197,7 +198,7 @@ def near_duplicates(docs: DataFrame, text: Column, shingle: int = 5, threshold:
         left = open_keys.agg(F.sum("open").alias("n")).first()["n"] or 0
         if left == 0 and turn:
             break
-        last = turn > 0 and (left <= FEW * total or turn == MAX_ROUNDS)
+        last = turn > 0 and (left <= FEW * BANDS * total or turn == MAX_ROUNDS)
         members = rows.join(open_keys, "key")
         if last:
             other = rows.join(open_keys.select("key"), "key").select("key", F.col("rid").alias("b"), F.col("label").alias("lb"))
