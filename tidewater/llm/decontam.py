@@ -24,8 +24,8 @@ Spark joins by shuffle.  What is grouped by document is bounded by its length.
 
 Edge cases: null, blank and empty texts and items match nothing; an item of
 fewer than 5 words is one shingle; a document shorter than the item is one
-window; rows that share an id count as one document that holds what any of
-them holds; equal similarities report the earliest window; null ids count as
+window; rows that share an id are searched each by itself and report what any
+of them holds; of equally similar windows the last is reported; null ids count as
 one document and come back null; empty tables give no rows.
 """
 
@@ -91,32 +91,32 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
     seeds = materialise(bench.select(F.explode("grams").alias("h"), "size", "gram").distinct(), "seeds")
     if seeds.count() <= MAX_BROADCAST:
         seeds = F.broadcast(seeds)
-    pages = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), lower_words(F.col(text)).alias("words"))
-    pages = pages.where("words is not null")
+    pages = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("t"),
+                        lower_words(F.col(text)).alias("words")).where("words is not null")
 
     # 1. windows where shingles of items of their size lie dense enough
     hits = None
     for g in gram_sizes or [SHINGLE]:
-        at = pages.select("doc", F.size("words").alias("n"), F.posexplode(grams(F.col("words"), g)).alias("pos", "h"))
-        part = at.join(seeds.where(F.col("gram") == g), "h").select("doc", "n", "size", "gram", "pos")
+        at = pages.select("doc", "t", F.size("words").alias("n"), F.posexplode(grams(F.col("words"), g)).alias("pos", "h"))
+        part = at.join(seeds.where(F.col("gram") == g), "h").select("doc", "t", "n", "size", "gram", "pos")
         hits = part if hits is None else hits.unionByName(part)
     span = F.col("size") - F.col("gram")
     need = enough(F.least(F.col("size"), F.col("n")) - F.col("gram") + 1, hundredths)
     start = F.greatest(F.least(F.col("pos"), F.col("n") - F.col("size")), F.lit(0))
     dense = (
-        hits.groupBy("doc", "n", "size", "gram").agg(F.sort_array(F.collect_list("pos")).alias("all"))
+        hits.groupBy("doc", "t", "n", "size", "gram").agg(F.sort_array(F.collect_list("pos")).alias("all"))
         .withColumn("need", F.when(F.col("n") < F.col("size"), F.lit(1)).otherwise(need))
         .withColumn("pos", F.filter("all", lambda p, i: F.coalesce(
             F.get("all", i + F.col("need") - 1) - p <= span, F.lit(False))))
-        .select("doc", "n", "size", "gram", F.explode("pos").alias("pos"))
-        .select("doc", "size", "gram", start.alias("start")).distinct()
+        .select("doc", "t", "n", "size", "gram", F.explode("pos").alias("pos"))
+        .select("doc", "t", "size", "gram", start.alias("start")).distinct()
     )
+    key = ["doc", "t", "size", "start"]
     windows = materialise(
-        pages.join(dense, "doc").select("doc", "size", "gram", "start",
-                                        F.slice("words", F.col("start") + 1, F.col("size")).alias("words")), "windows")
+        pages.join(dense, ["doc", "t"])
+        .select(*key, "gram", F.slice("words", F.col("start") + 1, F.col("size")).alias("words")).dropDuplicates(key), "windows")
 
     # 2. fingerprints
-    key = ["doc", "size", "start"]
     marks = simhash(windows.select(*key, F.explode("words").alias("w")), key, "w")
     item_marks = simhash(bench.select("item_id", "size", F.explode("words").alias("w")), ["item_id", "size"], "w")
 
@@ -147,7 +147,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
     either = F.col("all") + F.col("i_all") - F.col("both")
     best = (
         shared.where(F.col("both") * 100 >= either * hundredths)
-        .groupBy("doc", "item_id").agg(F.max(F.struct((F.col("both") / either).alias("s"), (-F.col("start")).alias("p"))).alias("b"))
+        .groupBy("doc", "item_id").agg(F.max(F.struct((F.col("both") / either).alias("s"), "start")).alias("b"))
     )
     return best.select(F.when(F.col("doc") != LAST_ID, F.col("doc")).alias("doc_id"), "item_id",
-                       F.col("b.s").alias("similarity"), (-F.col("b.p")).cast("long").alias("start_word"))
+                       F.col("b.s").alias("similarity"), F.col("b.start").cast("long").alias("start_word"))

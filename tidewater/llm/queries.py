@@ -206,7 +206,7 @@ win AS (SELECT s.doc_id, s.item_id, s.st, s.n_all, s.g, dg.h, count(*) AS c, gre
 sh AS (SELECT win.doc_id, win.item_id, win.st, win.n_all, win.w_all, sum(least(win.c, ic.c)) AS both_n
        FROM win JOIN ic USING (item_id, h) GROUP BY ALL),
 ok AS (SELECT *, both_n / (n_all + w_all - both_n) AS sim FROM sh WHERE both_n * 100 >= (n_all + w_all - both_n) * 80)
-SELECT doc_id, item_id, max(sim)::DOUBLE AS similarity, arg_min(st, (-sim, st))::BIGINT AS start_word FROM ok GROUP BY doc_id, item_id
+SELECT doc_id, item_id, max(sim)::DOUBLE AS similarity, arg_max(st, (sim, st))::BIGINT AS start_word FROM ok GROUP BY doc_id, item_id
 """
 
 
