@@ -246,43 +246,39 @@ FROM $events
 
 OBS_SQL = """
 SELECT
-  'ICOADS-30-' || CAST(event_id AS STRING) AS report_id,
+  'ICOADS-30-' || CASE WHEN event_id % @@modulus@@ = @@skip@@ THEN 'none-' ELSE '' END || CAST(event_id AS STRING) AS report_id,
   CAST(CAST(floor(value * 10) AS BIGINT) AS STRING) AS observation_value,
   CAST(NULL AS STRING) AS quality_flag,
   CAST(NULL AS STRING) AS primary_station_id
 FROM $events
-WHERE event_id % @@modulus@@ <> @@skip@@
 """
 
 # corrections keyed by report_id; some ids do not exist in the header
 CORRECTIONS_SQL = """
-SELECT 'ICOADS-30-' || CAST(o_orderkey AS STRING) AS report_id,
+SELECT 'ICOADS-30-' || CASE WHEN o_orderkey % 3 = 2 THEN 'none-' ELSE '' END || CAST(o_orderkey AS STRING) AS report_id,
        'C' || CAST(o_custkey % 150 AS STRING) AS value,
        CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' ELSE NULL END AS isChange
 FROM $orders
-WHERE o_orderkey % 3 <> 2
 """
 
 DUPS_SQL = """
-SELECT CAST(o_orderkey AS STRING) AS uid,
+SELECT CASE WHEN o_orderkey % @@sel@@ = 0 THEN '' ELSE 'none-' END || CAST(o_orderkey AS STRING) AS uid,
        CAST(o_custkey % @@fmod@@ AS INT) AS flag,
        CASE WHEN o_orderkey % 4 = 0
             THEN '{' || CAST(o_orderkey + @@a@@ AS STRING) || ',' || CAST(o_orderkey + @@b@@ AS STRING) || '}'
             WHEN o_orderkey % 4 = 1 THEN '{}' ELSE NULL END AS duplicates
 FROM $orders
-WHERE o_orderkey % @@sel@@ = 0
 """
 
 IDFILE_SQL = """
-SELECT CAST(o_orderkey AS STRING) AS uid,
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'none-' END || CAST(o_orderkey AS STRING) AS uid,
        rpad('N' || CAST(o_custkey AS STRING), 9, ' ') AS new_id,
        '1' AS id_flag
 FROM $orders
-WHERE o_orderkey % 7 = 0
 """
 
 DATEPOS_SQL = """
-SELECT CAST(o_orderkey AS STRING) AS uid,
+SELECT CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE 'none-' END || CAST(o_orderkey AS STRING) AS uid,
        CAST(year(o_orderdate) AS STRING) || '-' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '-'
          || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || ' '
          || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS STRING), 2, '0')
@@ -291,24 +287,20 @@ SELECT CAST(o_orderkey AS STRING) AS uid,
        CAST(o_custkey % 180 - 90 AS STRING) AS new_lat, '1' AS lat_flag,
        CAST(o_custkey % 360 AS STRING) AS new_lon, '1' AS lon_flag
 FROM $orders
-WHERE o_orderkey % 9 = 0
 """
 
 # ship metadata keyed by station id (J6): one row per distinct id (from customer)
 STATION_META_SQL = """
-SELECT CAST(10000 + c_custkey AS STRING) AS primary_station_id,
+SELECT CASE WHEN c_custkey % 2 = 1 THEN '' ELSE 'none-' END || CAST(10000 + c_custkey AS STRING) AS primary_station_id,
        'M' || CAST(c_nationkey AS STRING) AS station_name,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(c_custkey % 9 AS STRING) END AS platform_sub_type
 FROM $customer
-WHERE c_custkey % 2 = 1
 """
 
 DECK_PATTERNS_SQL = """
-SELECT CAST(n_nationkey * 0 + 926 AS INT) AS deck, '^[0-9]{5}$' AS pattern FROM $nation WHERE n_nationkey = 0
-UNION ALL
-SELECT CAST(926 AS INT) AS deck, '^[A-Z]{2}[0-9]+$' AS pattern FROM $nation WHERE n_nationkey = 1
-UNION ALL
-SELECT CAST(732 AS INT) AS deck, '^9K' AS pattern FROM $nation WHERE n_nationkey = 2
+SELECT CAST(CASE WHEN n_nationkey < 2 THEN 926 WHEN n_nationkey = 2 THEN 732 ELSE 2000 + n_nationkey END AS INT) AS deck,
+       CASE n_nationkey WHEN 0 THEN '^[0-9]{5}$' WHEN 1 THEN '^[A-Z]{2}[0-9]+$' WHEN 2 THEN '^9K' ELSE '^Q' END AS pattern
+FROM $nation
 """
 
 
@@ -351,18 +343,17 @@ FROM $region
 """
 
 CODE_MAP_SQL = """
-SELECT CAST(n_nationkey % 10 AS STRING) AS code,
+SELECT CAST(CASE WHEN n_nationkey < 10 THEN n_nationkey ELSE 100 + n_nationkey END AS STRING) AS code,
        CASE WHEN n_nationkey = 3 THEN '' ELSE 'type-' || n_name END AS value
-FROM $nation WHERE n_nationkey < 10
+FROM $nation
 """
 
 
 # QC flag files (UID + 0/1 flags), one per parameter; each covers a subset
 # of the reports and has some missing flag values.
 QC_FILE_SQL = """
-SELECT CAST(event_id AS STRING) AS uid, @@cols@@
+SELECT CASE WHEN event_id % @@cover@@ = 0 THEN 'none-' ELSE '' END || CAST(event_id AS STRING) AS uid, @@cols@@
 FROM $events
-WHERE event_id % @@cover@@ <> 0
 """
 
 
@@ -426,7 +417,7 @@ def bgvar_sql(dialect: str) -> str:
 
 # drifter tracking output (UID + seven drifter flags, 9 = never set)
 TRACKING_SQL = """
-SELECT CAST(event_id AS STRING) AS uid,
+SELECT CASE WHEN user_id % 5 = 2 THEN '' ELSE 'none-' END || CAST(event_id AS STRING) AS uid,
   CAST(CASE WHEN event_id % 41 = 0 THEN 1 ELSE 0 END AS INT) AS drf_agr,
   CAST(CASE WHEN event_id % 43 = 0 THEN 1 ELSE 0 END AS INT) AS drf_spd,
   CAST(CASE WHEN event_id % 47 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 9 ELSE 0 END AS INT) AS drf_tail1,
@@ -435,7 +426,6 @@ SELECT CAST(event_id AS STRING) AS uid,
   CAST(CASE WHEN user_id % 11 = 0 THEN 1 ELSE 0 END AS INT) AS drf_noise,
   CAST(CASE WHEN user_id % 13 = 0 THEN 9 ELSE 0 END AS INT) AS drf_short
 FROM $events
-WHERE user_id % 5 = 2
 """
 
 
@@ -502,24 +492,36 @@ SELECT
   || repeat(' ', 2)
   || lpad(CAST(CAST(floor(l_tax * 2000) AS BIGINT) + 100 AS STRING), 4, ' ')
   || repeat(' ', 19)
-  || ' 165' || ' ' || '   ' || '  '
-  || lpad(CAST(CASE l_suppkey % 4 WHEN 0 THEN 732 WHEN 1 THEN 926 WHEN 2 THEN 780 ELSE 992 END AS STRING), 3, '0')
-  || lpad(CAST(l_suppkey % 3 + 100 AS STRING), 3, '0')
-  || lpad(CAST(l_partkey % 8 AS STRING), 2, ' ')
-  || repeat(' ', 47) AS value
+  || CASE l_orderkey % 6
+       WHEN 0 THEN @@a1@@ || @@a8@@ || @@a98@@
+       WHEN 1 THEN @@a5@@ || @@a1@@ || rtrim(@@a98@@)
+       WHEN 2 THEN @@a1@@ || @@a98@@ || '99 0free text of ' || CAST(l_orderkey AS STRING)
+       WHEN 3 THEN @@old1@@ || @@a1@@ || @@a98@@ || @@a8@@
+       WHEN 4 THEN @@a98@@ || @@a5@@ || @@a8@@ || rtrim(@@a1@@)
+       ELSE @@a1@@ END AS value
 FROM $lineitem
 """
 
 
+_A1_TAIL = ("lpad(CAST(CASE l_suppkey % 4 WHEN 0 THEN 732 WHEN 1 THEN 926 WHEN 2 THEN 780 ELSE 992 END AS STRING), 3, '0') "
+            "|| lpad(CAST(l_suppkey % 3 + 100 AS STRING), 3, '0') || lpad(CAST(l_partkey % 8 AS STRING), 2, ' ')")
+LINES_SQL = (
+    LINES_SQL.replace("@@a1@@", f"(' 165' || repeat(' ', 6) || {_A1_TAIL} || repeat(' ', 45) || lpad(CAST(l_orderkey % 60 AS STRING), 2, ' '))")
+    .replace("@@old1@@", f"(' 165' || repeat(' ', 6) || '001001 0' || repeat(' ', 47))")
+    .replace("@@a5@@", "(' 594' || repeat('5', 90))")
+    .replace("@@a8@@", "(' 82U' || repeat('8', 98))")
+    .replace("@@a98@@", "('9815' || lpad(CAST(l_orderkey % 1000000 AS STRING), 6, '0') || CAST(l_linenumber % 10 AS STRING) || '00' || '1' || CASE WHEN l_partkey % 3 = 0 THEN ' ' ELSE '1' END)"))
+
+
 UNIT_CORRECTIONS_SQL = """
 SELECT CAST(1995 + n_nationkey % 7 AS INT) AS edition,
-       CASE WHEN n_nationkey < 7 THEN 'GB' ELSE 'NL' END AS rcnty,
+       CASE WHEN n_nationkey < 7 THEN 'GB' WHEN n_nationkey < 14 THEN 'NL' ELSE 'X' || CAST(n_nationkey AS STRING) END AS rcnty,
        'platH' AS field, CAST(0.3048 AS DOUBLE) AS factor, CAST(n_nationkey % 2 AS INT) AS all_values
-FROM $nation WHERE n_nationkey < 14
+FROM $nation
 UNION ALL
 SELECT CAST(1995 + n_nationkey AS INT) AS edition, 'GB' AS rcnty, 'anmH' AS field, CAST(10 AS DOUBLE) AS factor,
        CAST(0 AS INT) AS all_values
-FROM $nation WHERE n_nationkey < 7
+FROM $nation
 """
 
 

@@ -7,32 +7,34 @@ partitions they produce (``partitionOverwriteMode=dynamic``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 PIPE = "|"
 
 
-def _dynamic(df: DataFrame) -> None:
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def _replace(df: DataFrame) -> DataFrameWriter:
+    """Overwrite only the partitions that ``df`` has rows for."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
 def write_cdm(df: DataFrame, columns: list[str], path: str, partition_by: list[str] | None = None) -> None:
     """K1: CDM table, fixed column order, 'null' for missing, header line;
     partitions without rows produce no files."""
-    _dynamic(df)
     parts = partition_by or []
     out = df.select(*columns, *[p for p in parts if p not in columns])
-    (out.write.mode("overwrite").partitionBy(*parts)
+    (_replace(out).partitionBy(*parts)
      .csv(path, sep=PIPE, header=True, nullValue="null"))
 
 
-def write_by_month(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """K3 / K9: one folder per (yr, mo); rows sorted within each file."""
-    _dynamic(df)
+def write_by_month(df: DataFrame, path: str, order: list[str] | None = None, pieces: int = 16) -> None:
+    """K3 / K9: one folder per (yr, mo), several sorted files in each: the
+    reports of a month are dealt to ``pieces`` tasks by uid, so no task
+    writes a whole month."""
     order = order or ["YR", "MO", "DY", "HR", "ID"]
-    (df.repartition("yr", "mo").sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy("yr", "mo").csv(path, sep=PIPE, header=False, nullValue=""))
+    piece = F.pmod(F.xxhash64("uid" if "uid" in df.columns else order[0]), F.lit(pieces))
+    (_replace(df.repartition("yr", "mo", piece).sortWithinPartitions("yr", "mo", *order))
+     .partitionBy("yr", "mo").csv(path, sep=PIPE, header=False, nullValue=""))
 
 
 def flag_block(df: DataFrame, parameter: str, flags: list[str], uid: str = "uid",
@@ -58,13 +60,6 @@ def variable_block(df: DataFrame, variables: list[str], missing: str = "\\N") ->
     return df.select(*cols)
 
 
-def write_text_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                     null_value: str = "\\N", sep: str = ",") -> None:
-    _dynamic(df)
-    (df.write.mode("overwrite").partitionBy(*(partition_by or []))
-     .csv(path, sep=sep, header=True, nullValue=null_value))
-
-
 def assign_period_and_write(df: DataFrame, ts_col: str, source_year: int, source_month: int, path: str,
                             columns: list[str]) -> DataFrame:
     """K2: month of the corrected time (source month if missing) decides
@@ -78,8 +73,7 @@ def assign_period_and_write(df: DataFrame, ts_col: str, source_year: int, source
 
 def write_metadata(df: DataFrame, path: str, by: str | None = "rcnty") -> None:
     """Metadata records, one folder per country (or one table)."""
-    _dynamic(df)
-    w = df.write.mode("overwrite")
+    w = _replace(df)
     if by:
         w = w.partitionBy(by)
     w.csv(path, sep=PIPE, header=True, nullValue="NULL")
