@@ -13,7 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 MISSING_TEXT = "NULL"
 
@@ -43,7 +43,7 @@ def phonetic(name) -> Column:
     collapsed = F.regexp_replace(digits, r"([1-9])\1+", "$1")
     nz = F.regexp_replace(collapsed, "0", "")
     padded = F.when(F.length(nz) < 4, F.rpad(nz, 4, "0")).otherwise(nz)
-    code = F.when(number1 == F.substring(padded, 1, 1), F.concat(first, F.substring(padded, 2, 10000))) \
+    code = F.when(number1 == F.substring(padded, 1, 1), F.concat(first, F.substr(padded, F.lit(2)))) \
         .otherwise(F.concat(first, padded))
     return F.when(F.length(n) < 3, F.lit("0000")).otherwise(code)
 
@@ -67,12 +67,6 @@ def indel_ratio(a: str | None, b: str | None) -> float:
     return 1.0 if tot == 0 else 2.0 * _lcs(a, b) / tot
 
 
-@F.pandas_udf(DoubleType())
-def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """C13 as a vectorised pandas UDF; apply it only to candidate pairs."""
-    return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
 # --- S12 / S14 / S15: edition field decoders -----------------------------------------
 def unpack_float(col) -> Column:
     """Packed heights: digits -> number; '{d' -> 100 + d; 'Ld' -> (ord(L) -
@@ -85,11 +79,15 @@ def unpack_float(col) -> Column:
         .when(numeric, x.try_cast("double")).otherwise(packed)
 
 
-def split_numbered(df: DataFrame, col: str, pattern: str, n: int) -> DataFrame:
-    """Split ``col`` by regex into ``<col>1..<col>n`` (missing -> 'NULL');
-    ``n`` is the schema's width (the widest value of the edition)."""
+def split_numbered(df: DataFrame, col: str, pattern: str, n: int | None = None) -> DataFrame:
+    """Split ``col`` by regex into ``<col>1..<col>n`` (missing -> 'NULL').
+    Without ``n`` the widest value of ``df`` decides (one aggregate); with
+    ``n`` (a schema's width) a wider value keeps its rest in the last column."""
     base = "".join(ch for ch in col if not ch.isdigit())
-    parts = F.split(F.coalesce(F.col(col).cast("string"), F.lit("")), pattern)
+    text = F.coalesce(F.col(col).cast("string"), F.lit(""))
+    if n is None:
+        n = df.agg(F.max(F.size(F.split(text, pattern))).alias("n")).first()["n"] or 1
+    parts = F.split(text, pattern, n)
     return df.withColumns({f"{base}{i + 1}": F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit(MISSING_TEXT))
                            for i in range(n)}).drop(col)
 
@@ -147,44 +145,49 @@ def best_record(monthly: DataFrame, key: str = "callsign", cls: str = "meteorolo
     """Per (month, call sign) keep the single record of the lowest
     vessel class, ties broken by the latest valid_from; unresolved ties and
     missing call signs are rejected (``kept`` false)."""
-    cnt = monthly.groupBy("month", key).agg(F.count(F.lit(1)).alias("_cnt"))
-    d = monthly.join(cnt, ["month", key], "left")
+    named = F.col(key).isNotNull() & (F.col(key) != MISSING_TEXT)
+    rest = monthly.where(~F.coalesce(named, F.lit(False))).withColumn("kept", F.lit(False))
     w = Window.partitionBy("month", key)
+    d = monthly.where(named).withColumn("_cnt", F.count(F.lit(1)).over(w))
     d = d.withColumn("_minc", F.min(cls).over(w))
     d = d.withColumn("_best", F.col(cls) == F.col("_minc"))
     d = d.withColumn("_nb", F.sum(F.col("_best").cast("int")).over(w))
     d = d.withColumn("_maxvf", F.max(F.when(F.col("_best"), F.col("valid_from"))).over(w))
     d = d.withColumn("_b2", F.col("_best") & ((F.col("_nb") == 1) | (F.col("valid_from") == F.col("_maxvf"))))
     d = d.withColumn("_nb2", F.sum(F.col("_b2").cast("int")).over(w))
-    kept = (F.col(key) != MISSING_TEXT) & F.col(key).isNotNull() & \
-        ((F.col("_cnt") == 1) | (F.col("_b2") & (F.col("_nb2") == 1)))
-    return d.withColumn("kept", kept).drop("_cnt", "_minc", "_best", "_nb", "_maxvf", "_b2", "_nb2")
+    kept = (F.col("_cnt") == 1) | (F.col("_b2") & (F.col("_nb2") == 1))
+    return d.withColumn("kept", kept).drop("_cnt", "_minc", "_best", "_nb", "_maxvf", "_b2", "_nb2").unionByName(rest)
 
 
 # --- C15: duplicates within one edition --------------------------------------------------
 def _missing(c: Column) -> Column:
-    return c.isNull() | (c.cast("string") == MISSING_TEXT)
+    return c.isNull() | c.cast("string").isin(MISSING_TEXT, "-999999", "-999999.0")
 
 
 def resolve_edition_duplicates(df: DataFrame, check: list[str], all_cols: list[str], country: str = "rcnty",
-                               key: str = "call", order: str = "line") -> DataFrame:
+                               key: str = "call", order: str = "line", edition: str | None = None) -> DataFrame:
     """Within an edition: call signs seen once (or missing) are kept; more
     than twice rejected; twice: same country and sound-alike name ->
     compatible rows (every check field equal or missing) merge into the most
     complete row, else the single highest class, else the single most
     complete row, else both rejected; same country, other name -> both
     rejected; different countries -> both kept.  Returns rows with ``kept``
-    (merged rows carry the filled-in check fields).  Only call signs with
-    exactly two rows enter a window (partition size 2)."""
-    d = df.dropDuplicates([c for c in df.columns if c != order])
-    cnt = d.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-    d = d.join(cnt, key, "left")
+    (merged rows carry the filled-in check fields).  ``edition`` names the
+    edition column when ``df`` holds several.  Rows without a call sign are
+    split off before the grouping; only call signs with exactly two rows
+    enter a window (partition size 2)."""
+    d = df.groupBy(*[c for c in df.columns if c != order]).agg(F.min(order).alias(order))
+    keys = [key] + ([edition] if edition else [])
+    unnamed = d.where(_missing(F.col(key))).withColumn("kept", F.lit(True))
+    d = d.where(~_missing(F.col(key)))
+    cnt = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    d = d.join(cnt, keys)
     miss = [_missing(F.col(c)).cast("int") for c in all_cols]
     d = d.withColumn("_cmp", (len(all_cols) - reduce(lambda a, b: a + b, miss)) / float(len(all_cols)))
     d = d.withColumn("_ph", phonetic(F.col("name")))
     pair = d.where(F.col("_cnt") == 2)
-    w = Window.partitionBy(key).orderBy(order)
-    wa = Window.partitionBy(key)
+    w = Window.partitionBy(*keys).orderBy(order)
+    wa = Window.partitionBy(*keys)
     pair = pair.withColumn("_pos", F.row_number().over(w))
     other = {c: F.max(F.when(F.col("_pos") == 1, F.col(c))).over(wa) for c in check + [country, "_ph"]}
     other2 = {c: F.max(F.when(F.col("_pos") == 2, F.col(c))).over(wa) for c in check + [country, "_ph"]}
@@ -217,13 +220,9 @@ def resolve_edition_duplicates(df: DataFrame, check: list[str], all_cols: list[s
     pair = pair.withColumn("kept", kept).withColumns(merged)
     pair = pair.drop(*[c for c in pair.columns if c.startswith("_a_") or c.startswith("_b_")],
                      "_pos", "_maxcmp", "_mincls", "_is_mc", "_is_hc", "_n_mc", "_n_hc", "_first_mc")
-    single = d.where((F.col("_cnt") == 1) | F.col(key).isNull() | (F.col(key) == MISSING_TEXT)) \
-        .withColumn("kept", F.lit(True))
-    many = d.where((F.col("_cnt") > 2) & F.col(key).isNotNull() & (F.col(key) != MISSING_TEXT)) \
-        .withColumn("kept", F.lit(False))
-    single = single.where(~((F.col("_cnt") == 2) & F.col(key).isNotNull() & (F.col(key) != MISSING_TEXT)))
-    out = single.unionByName(pair).unionByName(many)
-    return out.drop("_cnt", "_cmp", "_ph")
+    single = d.where(F.col("_cnt") == 1).withColumn("kept", F.lit(True))
+    many = d.where(F.col("_cnt") > 2).withColumn("kept", F.lit(False))
+    return single.unionByName(pair).unionByName(many).drop("_cnt", "_cmp", "_ph").unionByName(unnamed)
 
 
 # --- J20: record linkage of successive editions --------------------------------------
@@ -231,80 +230,81 @@ def _is_missing(v) -> bool:
     return v is None or (isinstance(v, float) and v != v) or str(v) in (MISSING_TEXT, "-999999", "-999999.0")
 
 
-def _link_group(rows: pd.DataFrame, check: list[str], numeric: set[str], threshold: float,
-                first_edition: int) -> pd.DataFrame:
-    """Fold one (country, call sign) over its editions in order.  A row is
-    compared with the highest-numbered record: similar name (sound-alike or
-    indel ratio > threshold) and equal check fields -> extend the dates;
-    fields differing only where one side is missing -> fill and extend;
-    a numeric mismatch -> the row is dropped; else a new record.  Rows of
-    one edition only see records from earlier editions."""
-    rows = rows.sort_values(["edition", "line"]).reset_index(drop=True)
-    call = rows["call"].iloc[0]
-    master: list[dict] = []
-    for ed, grp in rows.groupby("edition", sort=True):
-        recs = grp.to_dict("records")
-        if not master:
-            if ed != first_edition and _is_missing(call):
-                continue
-            for r in recs:
-                r["record_number"] = 1
-                r["alt_names"] = ""
-            master.extend(recs)
-            continue
-        if _is_missing(call):
-            continue
-        to_add = []
-        base = list(master)
-        for r in recs:
-            top = max(x["record_number"] for x in base)
-            m = next(x for x in base if x["record_number"] == top)
-            sim = max(float(m["sx"] == r["sx"]), indel_ratio(m["name"], r["name"]))
-            action = "new"
-            if sim > threshold:
-                same = [m[c] == r[c] for c in check]
-                if all(same):
-                    action = "extend"
-                else:
-                    miss_l = [_is_missing(r[c]) for c in check]
-                    miss_r = [_is_missing(m[c]) for c in check]
-                    if all(a or b or s for a, b, s in zip(miss_l, miss_r, same)):
-                        action = "fill"
-                        for c, mr, s in zip(check, miss_r, same):
-                            if mr and not s:
-                                m[c] = r[c]
-                    elif any(c in numeric for c, a, b, s in zip(check, miss_l, miss_r, same) if not (a or b or s)):
-                        action = "drop"
-            if action in ("extend", "fill"):
-                m["valid_from"] = min(m["valid_from"], r["valid_from"])
-                m["valid_to"] = max(m["valid_to"], r["valid_to"])
-                if r["name"] != m["name"] and r["name"] not in m["alt_names"]:
-                    m["alt_names"] = m["alt_names"] + ";" + r["name"]
-            elif action == "new":
-                r["record_number"] = top + 1
-                r["alt_names"] = ""
-                to_add.append(r)
-        master.extend(to_add)
-    return pd.DataFrame(master, columns=list(rows.columns) + ["record_number", "alt_names"])
+def _similar(a: dict, b: dict) -> float:
+    """1 for names that sound alike, else the indel ratio of the names."""
+    return 1.0 if a["sx"] == b["sx"] else indel_ratio(a["name"], b["name"])
+
+
+def _differences(a: dict, b: dict, columns: list[str]) -> tuple[list[str], list[str]]:
+    """(columns where one side is missing, columns where both have other values)."""
+    unlike = [c for c in columns if a[c] != b[c]]
+    gaps = [c for c in unlike if _is_missing(a[c]) or _is_missing(b[c])]
+    return gaps, [c for c in unlike if c not in gaps]
+
+
+def _absorb(record: dict, row: dict, gaps: list[str]) -> None:
+    """``row`` describes the same ship period: take its values where the
+    record has none, widen the dates and remember another name."""
+    record.update({c: row[c] for c in gaps if _is_missing(record[c])})
+    record["valid_from"] = min(record["valid_from"], row["valid_from"])
+    record["valid_to"] = max(record["valid_to"], row["valid_to"])
+    if row["name"] != record["name"] and row["name"] not in record["alt_names"]:
+        record["alt_names"] += ";" + row["name"]
+
+
+def _link_group(rows: pd.DataFrame, check: list[str], numeric: set[str], threshold: float) -> pd.DataFrame:
+    """Fold one (country, call sign) over its editions in order.  Every row
+    of an edition is held against the newest record of earlier editions:
+
+    ============  =======================  ==============================
+    name          check columns            row
+    ============  =======================  ==============================
+    similar       equal, or gaps only      absorbed by the record
+    similar       a number clashes         dropped
+    similar       only texts clash         a new record
+    other         any                      a new record
+    ============  =======================  ==============================
+    """
+    records: list[dict] = []
+    newest = 0
+    for _, edition in rows.sort_values(["edition", "line"]).groupby("edition", sort=True):
+        known = next((r for r in records if r["record_number"] == newest), None)
+        added = []
+        for row in edition.to_dict("records"):
+            if known is not None and _similar(known, row) > threshold:
+                gaps, clashes = _differences(known, row, check)
+                if not clashes:
+                    _absorb(known, row, gaps)
+                    continue
+                if numeric.intersection(clashes):
+                    continue
+            added.append(row | {"record_number": newest + 1, "alt_names": ""})
+        records += added
+        newest += bool(added)
+    return pd.DataFrame(records, columns=[*rows.columns, "record_number", "alt_names"])
 
 
 def link_editions(df: DataFrame, check: list[str], numeric: list[str], threshold: float = 0.8,
                   country: str = "rcnty") -> DataFrame:
-    """Master records per (country, call sign) from all editions.  The
-    country's first edition is a tiny aggregate joined back; each call sign
-    group (bounded: one ship's history) is folded by a pandas function."""
-    first = df.groupBy(country).agg(F.min("edition").alias("_first"))
-    d = df.withColumn("sx", phonetic(F.col("name"))).join(F.broadcast(first), country, "left")
-    schema = d.drop("_first").schema.add("record_number", IntegerType()).add("alt_names", StringType())
-    cols = [c for c in d.columns if c != "_first"]
-    num = set(numeric)
+    """Master records per (country, call sign) from all editions.  Rows
+    without a call sign are never linked: those of the country's first
+    edition are records of their own, later ones have no place, and none of
+    them enters a group.  A call sign's group (one ship's history) is folded
+    by a pandas function."""
+    d = df.withColumn("sx", phonetic(F.col("name")))
+    columns = d.columns
+    schema = StructType([*d.schema.fields, StructField("record_number", IntegerType()), StructField("alt_names", StringType())])
+    num, names = set(numeric), schema.names
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        fe = int(pdf["_first"].iloc[0])
-        out = _link_group(pdf[cols], check, num, threshold, fe)
-        return out[[f.name for f in schema.fields]]
-
-    return d.groupBy(country, "call").applyInPandas(run, schema)
+        return _link_group(pdf, check, num, threshold)[names]
+
+    unnamed = _missing(F.col("call"))
+    linked = d.where(~unnamed).groupBy(country, "call").applyInPandas(run, schema)
+    first = df.groupBy(F.col(country).alias("_c")).agg(F.min("edition").alias("_first"))
+    alone = d.where(unnamed).join(first, F.col(country).eqNullSafe(F.col("_c")) & (F.col("edition") == F.col("_first")))
+    alone = alone.select(*columns, F.lit(1).alias("record_number"), F.lit("").alias("alt_names"))
+    return linked.unionByName(alone)
 
 
 # --- C17: instrument identifiers ----------------------------------------------------

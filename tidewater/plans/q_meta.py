@@ -115,11 +115,40 @@ def q_best_record(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("month", "call", "line", "kept")
 
 
-@register("edition_duplicates")
+def _edition_duplicates_sql() -> str:
+    def gone(c: str) -> str:
+        return f"({c} IS NULL OR CAST({c} AS VARCHAR) IN ('NULL', '-999999', '-999999.0'))"
+
+    every = [*CHECK, "name", "rcnty", "vssl"]
+    full = " + ".join(f"(CASE WHEN {gone(c)} THEN 0 ELSE 1 END)" for c in every)
+    fits = " AND ".join(f"({gone('a.' + c)} OR {gone('b.' + c)} OR a.{c} = b.{c})" for c in CHECK)
+    low = {c: f"(CASE WHEN a.line < b.line THEN a.{c} ELSE b.{c} END)" for c in CHECK}
+    high = {c: f"(CASE WHEN a.line < b.line THEN b.{c} ELSE a.{c} END)" for c in CHECK}
+    merged = ", ".join(f"CASE WHEN rule = 'merge' AND pick THEN (CASE WHEN {gone('lo_' + c)} THEN hi_{c} ELSE lo_{c} END) "
+                       f"ELSE {c} END AS {c}" for c in CHECK)
+    sides = ", ".join(f"{low[c]} AS lo_{c}, {high[c]} AS hi_{c}" for c in CHECK)
+    return f"""WITH e AS ({_ED}),
+d AS (SELECT * EXCLUDE (line), min(line) AS line FROM e GROUP BY ALL),
+k AS (SELECT *, count(*) OVER (PARTITION BY edition, call) AS c, {_phonetic_sql('name')} AS ph, {full} AS score
+      FROM d WHERE NOT {gone('call')}),
+p AS (SELECT a.*, {sides},
+        CASE WHEN a.rcnty IS DISTINCT FROM b.rcnty THEN 'both' WHEN coalesce(a.ph <> b.ph, true) THEN 'none'
+             WHEN {fits} THEN 'merge' WHEN a.vsslM <> b.vsslM THEN 'class' WHEN a.score <> b.score THEN 'score'
+             ELSE 'none' END AS rule,
+        a.score > b.score OR (a.score = b.score AND a.line < b.line) AS pick, a.vsslM < b.vsslM AS higher
+      FROM k a JOIN k b ON a.edition = b.edition AND a.call = b.call AND a.line <> b.line WHERE a.c = 2)
+SELECT line, call, CASE rule WHEN 'both' THEN true WHEN 'merge' THEN pick WHEN 'class' THEN higher WHEN 'score' THEN pick
+       ELSE false END AS kept, {merged} FROM p
+UNION ALL SELECT line, call, c = 1, {', '.join(CHECK)} FROM k WHERE c <> 2
+UNION ALL SELECT line, call, true, {', '.join(CHECK)} FROM d WHERE {gone('call')}"""
+
+
+@register("edition_duplicates", _edition_duplicates_sql())
 def q_edition_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    """Duplicate resolution inside one edition (1997)."""
-    e = editions(spark, sf).where(F.col("edition") == 1997)
-    out = MD.resolve_edition_duplicates(e, CHECK, CHECK + ["name", "rcnty", "vssl"], country="rcnty", key="call")
+    """Duplicate resolution inside every edition."""
+    e = editions(spark, sf)
+    out = MD.resolve_edition_duplicates(e, CHECK, CHECK + ["name", "rcnty", "vssl"], country="rcnty", key="call",
+                                        edition="edition")
     return out.select("line", "call", "kept", *CHECK)
 
 
