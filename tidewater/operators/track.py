@@ -275,6 +275,12 @@ def track_check_iterative(df: DataFrame, params: dict | None = None, id_col: str
     return df.join(master.select("uid", F.col("_t").alias("trk"), "few"), "uid", "left")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, key: str, other: str) -> DataFrame:
+    """Left join on (key, other) where missing keys are one platform."""
+    r = right.withColumnRenamed(key, "_jk").withColumnRenamed(other, "_jo")
+    return left.join(r, F.col(key).eqNullSafe(F.col("_jk")) & (F.col(other) == F.col("_jo")), "left").drop("_jk", "_jo")
+
+
 # --- W9: saturated runs --------------------------------------------------------------
 def saturated_runs(df: DataFrame, params: dict | None = None, id_col: str = "id",
                    chunk_hours: int = 24) -> DataFrame:
@@ -295,13 +301,13 @@ def saturated_runs(df: DataFrame, params: dict | None = None, id_col: str = "id"
     totals = d.groupBy(id_col, "_chunk").agg(F.sum("_unsat").alias("_ct"))
     wt = Window.partitionBy(id_col).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_off", F.coalesce(F.sum("_ct").over(wt), F.lit(0))).drop("_ct")
-    d = d.join(totals, [id_col, "_chunk"], "left")
+    d = _join_null_safe(d, totals, id_col, "_chunk")
     d = d.withColumn("_run", F.col("_off") + F.col("_local"))
     runs = d.where(F.col("_sat")).groupBy(id_col, "_run").agg(
         F.count(F.lit(1)).alias("_len"), F.min("_jdh").alias("_t0"), F.max("_jdh").alias("_t1"))
     bad = runs.where((F.col("_len") > p["shortest_run"]) &
                      (24.0 * (F.col("_t1") - F.col("_t0")) >= p["min_time_threshold"]))
-    out = d.join(bad.select(id_col, "_run", F.lit(1).alias("_bad")), [id_col, "_run"], "left")
+    out = _join_null_safe(d, bad.select(id_col, "_run", F.lit(1).alias("_bad")), id_col, "_run")
     out = out.withColumn("repsat", F.when(F.col("_sat") & (F.col("_bad") == 1), F.lit(1)).otherwise(F.lit(0)))
     return out.drop("_sat", "_jdh", "_chunk", "_unsat", "_local", "_off", "_run", "_bad")
 
@@ -317,7 +323,8 @@ def repeated_values(df: DataFrame, var: str, params: dict | None = None, id_col:
     v = F.col(var)
     per_id = df.where(v.isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_all"))
     per_val = df.where(v.isNotNull()).groupBy(id_col, var).agg(F.count(F.lit(1)).alias("_nv"))
-    hits = per_val.join(per_id, id_col).where(
+    per_id = per_id.withColumnRenamed(id_col, "_pid")
+    hits = per_val.join(per_id, F.col(id_col).eqNullSafe(F.col("_pid"))).where(
         (F.col("_all") > p["min_count"]) & (F.col("_nv") / F.col("_all") > p["threshold"])
     ).select(id_col, F.col(var).alias("_hv"), F.lit(1).alias("_hit"))
     j = df.join(hits, (df[id_col].eqNullSafe(hits[id_col])) & (df[var] == hits["_hv"]), "left")

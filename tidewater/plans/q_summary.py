@@ -132,7 +132,7 @@ def q_join_station_metadata(spark: SparkSession, sf: str) -> DataFrame:
     'callsign-record number'."""
     sm = SU.station_month(_stations(spark, sf), by=["period"])
     meta = A.view(spark, sf, A.STATION_META_SQL).select(
-        F.concat(F.lit("V"), F.substring("primary_station_id", 2, 100), F.lit("-1")).alias("_key"),
+        F.concat(F.lit("V"), F.substr("primary_station_id", F.lit(2)), F.lit("-1")).alias("_key"),
         F.col("station_name").alias("meta_name"))
     j = sm.join(meta, SU.key_col("primary_station_id", "station_record_number") == F.col("_key"), "left")
     return j.select("period", "primary_station_id", "station_record_number", "station_name",

@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is read from the session and
-    never replaced.  Only when it is unset (local tests) is a private scratch
-    folder created and registered.
+    never replaced.  Only in local mode, where all tasks share the machine,
+    is a private scratch folder created when it is unset; on a cluster that
+    is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
