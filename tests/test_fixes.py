@@ -104,3 +104,19 @@ def test_sun_stands_south_at_noon(spark):
     noon, night = solar.with_sun_position(d, "y", "doy", "h", "m", "lat", "lon", azimuth="az").collect()
     assert noon.sun_elev == pytest.approx(63.4, abs=0.3) and noon.az == pytest.approx(180, abs=3)
     assert night.sun_elev == pytest.approx(-16.6, abs=0.3)
+
+
+def test_numeric_order(spark):
+    from tidewater.operators.cdm import numeric_order
+
+    d = spark.createDataFrame([("10", "1"), ("9", "2"), ("9", "-3"), ("x", "0"), ("-1.5", "7")], "a string, b string")
+    assert [tuple(r) for r in numeric_order(d, ["a", "b"]).collect()] == [
+        ("x", "0"), ("-1.5", "7"), ("9", "-3"), ("9", "2"), ("10", "1")]
+
+
+def test_platform_rule_for_missing_type(spark):
+    from tidewater.operators.cdm import correct_platform_type
+
+    d = spark.createDataFrame([(1, 992, None), (2, 992, 3), (3, 5, None)], "uid int, dck int, pt int")
+    rules = spark.createDataFrame([(992, None, 5), (992, 3, None)], "dck int, pt int, new_pt int")
+    assert {r.uid: r.pt for r in correct_platform_type(d, rules).collect()} == {1: 5, 2: None, 3: None}

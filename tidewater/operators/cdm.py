@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.util import sized_broadcast
 
 
 def _hist(msg: str) -> Column:
@@ -67,6 +68,16 @@ def merge_duplicates(file1: DataFrame, file2: DataFrame) -> DataFrame:
 
 
 # --- J3: pre-processing corrections ------------------------------------------
+def override_duplicates(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Duplicate file ``first`` (uid, flag, duplicates) updated by a later
+    one: its flag replaces, its duplicates are added to those known."""
+    s = second.select(F.col("uid").alias("_u"), F.col("flag").alias("_f"), F.col("duplicates").alias("_d"))
+    hit = F.col("_u").isNotNull()
+    return first.join(s, F.col("uid") == F.col("_u"), "left").select(
+        "uid", F.when(hit, F.col("_f")).otherwise(F.col("flag")).alias("flag"),
+        F.when(hit, F.concat("duplicates", "_d")).otherwise(F.col("duplicates")).alias("duplicates"))
+
+
 def apply_preprocess_corrections(reports: DataFrame, dup: DataFrame, ids: DataFrame,
                                  datepos: DataFrame) -> DataFrame:
     """Three left joins by uid: duplicate flag (missing -> NULL, filled later
@@ -134,6 +145,16 @@ def update_from(table: DataFrame, meta: DataFrame, key: str, columns: list[str],
     return out.drop("_mk", *[f"_m_{c}" for c in columns])
 
 
+# --- J7: metadata availability ---------------------------------------------------
+def update_where_available(table: DataFrame, meta: DataFrame, key: str, columns: list[str], available: Column,
+                           history_msg: str | None = None) -> DataFrame:
+    """J6 for the rows whose source and year have metadata (``available``);
+    the other rows pass unchanged."""
+    ok = F.coalesce(available, F.lit(False))
+    done = update_from(table.where(ok), meta, key, columns, history_msg)
+    return done.unionByName(table.where(~ok))
+
+
 def unmatched_counts(table: DataFrame, meta: DataFrame, key: str) -> DataFrame:
     """Ids of the table absent from the metadata, with their counts."""
     return table.join(meta.select(key).distinct(), key, "left_anti").groupBy(key).count()
@@ -249,6 +270,25 @@ def merge_tracking_flags(header: DataFrame, tracking: DataFrame, untested_is_fai
     }).drop("_rid", "_trk")
 
 
+# --- C18: platform-type correction -------------------------------------------
+def correct_platform_type(reports: DataFrame, rules: DataFrame, deck: str = "dck", platform: str = "pt") -> DataFrame:
+    """Platform types replaced by the rule of their (deck, platform type);
+    a missing type can have a rule.  ``rules``: (dck, pt, new_pt), unique by
+    (dck, pt); a rule without ``new_pt`` makes the type missing."""
+    r = rules.select(F.col("dck").alias("_rd"), F.col("pt").alias("_rp"), F.col("new_pt").alias("_rn"),
+                     F.lit(True).alias("_rule"))
+    j = reports.join(sized_broadcast(r), (F.col(deck) == F.col("_rd")) & F.col(platform).eqNullSafe(F.col("_rp")), "left")
+    new = F.when(F.col("_rule"), F.col("_rn")).otherwise(F.col(platform))
+    return j.withColumn(platform, new).drop("_rd", "_rp", "_rn", "_rule")
+
+
+# --- O2: numeric order of text tables ------------------------------------------
+def numeric_order(table: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows in the numeric order of text columns; what is no number comes
+    first.  One range-partitioned sort."""
+    return table.orderBy(*[F.col(c).try_cast("double").asc_nulls_first() for c in columns])
+
+
 # --- K2: monthly period and leaks --------------------------------------------
 def assign_period(table: DataFrame, ts_col: str, source_year: int | Column, source_month: int | Column) -> DataFrame:
     """``period`` = month of the (corrected) timestamp, or the source month

@@ -67,6 +67,16 @@ def indel_ratio(a: str | None, b: str | None) -> float:
     return 1.0 if tot == 0 else 2.0 * _lcs(a, b) / tot
 
 
+def regular_name(col) -> Column:
+    """A ship's name with single spaces, single initials dotted
+    ('J F K' -> 'J. F K' as matches may not overlap), and a space between a
+    dot and the letter after it."""
+    x = F.coalesce(_c(col), F.lit(MISSING_TEXT))
+    x = F.regexp_replace(x, r"\s+", " ")
+    x = F.regexp_replace(x, "( )([A-Z])( )", "$1$2.$3")
+    return F.regexp_replace(x, r"([A-Z])(\.)([A-Z])", "$1$2 $3")
+
+
 # --- S12 / S14 / S15: edition field decoders -----------------------------------------
 def unpack_float(col) -> Column:
     """Packed heights: digits -> number; '{d' -> 100 + d; 'Ld' -> (ord(L) -

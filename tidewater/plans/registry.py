@@ -10,6 +10,7 @@ from tidewater.plans import q_level  # noqa: F401
 from tidewater.plans import q_drifter  # noqa: F401
 from tidewater.plans import q_meta  # noqa: F401
 from tidewater.plans import q_ingest  # noqa: F401
+from tidewater.plans import q_files  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES

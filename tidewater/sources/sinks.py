@@ -27,14 +27,16 @@ def write_cdm(df: DataFrame, columns: list[str], path: str, partition_by: list[s
      .csv(path, sep=PIPE, header=True, nullValue="null"))
 
 
-def write_by_month(df: DataFrame, path: str, order: list[str] | None = None, pieces: int = 16) -> None:
-    """K3 / K9: one folder per (yr, mo), several sorted files in each: the
+def write_by_month(df: DataFrame, path: str, order: list[str] | None = None, pieces: int = 16,
+                   by: tuple[str, str] = ("yr", "mo")) -> None:
+    """K3 / K9: one folder per (year, month), several sorted files in each: the
     reports of a month are dealt to ``pieces`` tasks by uid, so no task
     writes a whole month."""
     order = order or ["YR", "MO", "DY", "HR", "ID"]
-    piece = F.pmod(F.xxhash64("uid" if "uid" in df.columns else order[0]), F.lit(pieces))
-    (_replace(df.repartition("yr", "mo", piece).sortWithinPartitions("yr", "mo", *order))
-     .partitionBy("yr", "mo").csv(path, sep=PIPE, header=False, nullValue=""))
+    own = [c for c in df.columns if c.lower() == "uid"] or order
+    piece = F.pmod(F.xxhash64(*own), F.lit(pieces))
+    (_replace(df.repartition(*by, piece).sortWithinPartitions(*by, *order))
+     .partitionBy(*by).csv(path, sep=PIPE, header=False, nullValue=""))
 
 
 def flag_block(df: DataFrame, parameter: str, flags: list[str], uid: str = "uid",
@@ -46,6 +48,11 @@ def flag_block(df: DataFrame, parameter: str, flags: list[str], uid: str = "uid"
                     *[F.coalesce(F.col(f"{parameter.lower()}_{f}"), F.lit(9)).cast("int").alias(f) for f in flags])
 
 
+def write_flags(block: DataFrame, path: str) -> None:
+    """K6: a flag block as CSV with a header line."""
+    _replace(block).csv(path, header=True)
+
+
 def variable_block(df: DataFrame, variables: list[str], missing: str = "\\N") -> DataFrame:
     """K7: values and anomalies with date and pentad; text sink writes
     ``missing`` for NULL (pass it as ``nullValue``)."""
