@@ -18,6 +18,7 @@ from tidewater.functions.grid import lon180
 from tidewater.functions.humidity import humidity_columns
 from tidewater.functions.solar import with_day_flag
 from tidewater.operators.grid_lookup import grid_lookup
+from tidewater.params import LEGACY_PRESET
 from tidewater.params import parameters as default_parameters
 
 # FIXED VALUES: deck-732 blocklist boxes [lon_w, lat_s, lon_e, lat_n] and the
@@ -164,13 +165,13 @@ def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default")
     the normals of ``attach_normals`` and humidity columns (``with_humidity``).
 
     ``preset='legacy'`` (C4) uses the older fixed climatology limits for AT
-    and SST and ends the deck-193 MAT exclusion in 1893.
+    and SST, ends the deck-193 MAT exclusion in 1893 and gives a day flag
+    without a valid hour.
     """
-    p = default_parameters(params)
+    legacy = preset == "legacy"
+    p = default_parameters((params or {}) | {k: LEGACY_PRESET[k] for k in ("SST", "AT")} if legacy else params)
     sst_p, at_p, dpt_p, slp_p, w_p = p["SST"], p["AT"], p["DPT"], p["SLP"], p["W"]
-    deck193_end = 1892
-    if preset == "legacy":
-        deck193_end = 1893
+    deck193_end = LEGACY_PRESET["mat_blacklist_deck193_end_year"] if legacy else 1892
     out = platform_class(df)
     out = blocklist(out)
     out = source_blocklists(out, deck193_end)
@@ -178,7 +179,7 @@ def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default")
     date = K.date_check("yr", "mo", "dy")
     time = K.time_check("hr")
     out = with_day_flag(out, p["base"]["time_since_sun_above_horizon"], 0.0, "_day")
-    day = F.when((pos == 0) & (date == 0) & (time == 0), F.col("_day")).otherwise(F.lit(1))
+    day = F.when((pos == 0) & (date == 0) & (F.lit(legacy) | (time == 0)), F.col("_day")).otherwise(F.lit(1))
     dpt_hard = K.flag(
         (K.hard_limit("at", at_p["hard_limits"]) == 1)
         | (K.hard_limit("dpt", dpt_p["hard_limits"]) == 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.util import sized_broadcast
@@ -137,45 +137,58 @@ def map_codes(df: DataFrame, col: str, mapping: DataFrame, out: str | None = Non
     return j.withColumn(out, F.when(v == "", F.lit(None)).otherwise(v)).drop("_code", "_mapped")
 
 
-def counts_by(df: DataFrame, cols: list[str], name: str = "n") -> DataFrame:
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
-
-
 def key_col(*cols: str, sep: str = "-") -> Column:
     return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
 
 
 # --- A10: trimmed and winsorised statistics (skew-proof ranks) ----------------------
-def robust_stats(df: DataFrame, value: str, key: str = "id", trim: int = 100, tie: str = "uid") -> DataFrame:
+def robust_stats(df: DataFrame, value: str, key: str = "id", trim: int = 100) -> DataFrame:
     """Per ``key``: trimmed mean and population st. dev. after dropping
     n // trim values at each end of the sorted values, and the winsorised
     mean (lowest and highest n // 4 values replaced by their neighbours,
-    for n >= 4).  Integer division throughout.  Ranks come from the
-    chunked rank of :mod:`tidewater.operators.sequence` (chunks = integer
-    part of the value), so a key with a third of all rows is never sorted
-    in one task; the statistics are partial aggregates."""
-    from tidewater.operators import sequence as SQ
-
-    d = df.where(F.col(value).isNotNull()).select(key, tie, value)
-    d = SQ.global_rank(d, key, [value, tie], F.floor(F.col(value)), out="_r")
-    n = d.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(n, "_k")
-    k = F.floor(F.col("_n") / trim) if trim else F.lit(0)
-    lower = F.when(F.col("_n") >= 4, F.floor(F.col("_n") / 4)).otherwise(F.lit(0))
-    d = d.withColumns({"_k1": k, "_lo": lower, "_hi": F.col("_n") - 1 - lower})
-    keep = (F.col("_r") >= F.col("_k1")) & (F.col("_r") < F.col("_n") - F.col("_k1"))
-    inw = (F.col("_r") >= F.col("_lo")) & (F.col("_r") <= F.col("_hi"))
-    v = F.col(value)
-    out = d.groupBy("_k", key).agg(
-        F.max("_n").alias("n"),
-        F.avg(F.when(keep, v)).alias("trimmed_mean"),
-        F.stddev_pop(F.when(keep, v)).alias("trimmed_std"),
-        F.sum(F.when(inw, v)).alias("_s"),
-        F.max(F.when(F.col("_r") == F.col("_lo"), v)).alias("_vl"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), v)).alias("_vh"),
-        F.max("_lo").alias("_lw"))
-    w = (F.col("_s") + (F.col("_vl") + F.col("_vh")) * F.col("_lw")) / F.col("n")
-    return out.select(key, "n", "trimmed_mean", "trimmed_std", w.alias("winsorised_mean"))
+    for n >= 4).  Integer division throughout.
+
+    Rows are first counted by (key, value), with partial sums, so a key with
+    a third of all rows shrinks to its distinct values.  A distinct value
+    covers the ranks [first, end); running sums over value ranges (its integer
+    part, then inside it) give them, and a rank interval keeps of a value as
+    many rows as it covers of those ranks."""
+    d = df.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_k"), F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    d = d.withColumn("_part", F.floor("_v"))
+    inside = Window.partitionBy("_k", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    parts = d.groupBy(F.col("_k").alias("_pk"), F.col("_part").alias("_pp")).agg(F.sum("_c").alias("_pc"))
+    whole = Window.partitionBy("_pk")
+    before = whole.orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_base": F.coalesce(F.sum("_pc").over(before), F.lit(0)), "_n": F.sum("_pc").over(whole)})
+    d = d.join(parts, F.col("_k").eqNullSafe(F.col("_pk")) & (F.col("_part") == F.col("_pp")))
+    d = d.withColumn("_first", F.col("_base") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    d = d.withColumn("_end", F.col("_first") + F.col("_c"))
+    n, v = F.col("_n"), F.col("_v")
+    cut = F.floor(n / trim) if trim else F.lit(0)
+    low = F.when(n >= 4, F.floor(n / 4)).otherwise(F.lit(0))
+
+    def rows_in(start: Column, stop: Column) -> Column:
+        return F.greatest(F.least(F.col("_end"), stop) - F.greatest(F.col("_first"), start), F.lit(0))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_first") <= rank) & (rank < F.col("_end"))
+
+    d = d.withColumns({"_keep": rows_in(cut, n - cut), "_in": rows_in(low, n - low), "_low": low,
+                       "_vl": F.when(holds(low), v), "_vh": F.when(holds(n - 1 - low), v)})
+    stats = d.groupBy("_k").agg(
+        F.max("_n").alias("n"), F.sum("_keep").alias("_kept"), F.sum(v * F.col("_keep")).alias("_s1"),
+        F.sum(v * F.col("_in")).alias("_s"), F.max("_vl").alias("_vl"), F.max("_vh").alias("_vh"), F.max("_low").alias("_low"))
+    stats = stats.withColumn("_mean", F.when(F.col("_kept") > 0, F.col("_s1") / F.col("_kept")))
+    # squares about the mean, so that large values lose no digits
+    means = stats.select(F.col("_k").alias("_mk"), "_mean")
+    spread = d.join(means, F.col("_k").eqNullSafe(F.col("_mk"))).groupBy("_mk").agg(
+        F.sum((v - F.col("_mean")) ** 2 * F.col("_keep")).alias("_ss"))
+    out = stats.join(spread, F.col("_k").eqNullSafe(F.col("_mk")))
+    w = (F.col("_s") + (F.col("_vl") + F.col("_vh")) * F.col("_low")) / F.col("n")
+    return out.select(F.col("_k").alias(key), "n", F.col("_mean").alias("trimmed_mean"),
+                      F.when(F.col("_kept") > 0, F.sqrt(F.col("_ss") / F.col("_kept"))).alias("trimmed_std"),
+                      w.alias("winsorised_mean"))
 
 
 def station_all(yearly: DataFrame) -> DataFrame:

@@ -228,13 +228,15 @@ def voyage_features(df: DataFrame, params: dict, id_col: str = "id") -> DataFram
     return midpoint_error(out, id_col)
 
 
-def track_check(df: DataFrame, params: dict | None = None, id_col: str = "id") -> DataFrame:
+def track_check(df: DataFrame, params: dict | None = None, id_col: str = "id",
+                generic: Column | None = None) -> DataFrame:
     """Per-report ``trk`` (1 = bad track) and ``few`` (1 = fewer than 3
     reports).  Generic IDs and buoys (PT 6/7) are exempt (trk 0, few 0) and
-    never enter the window; a platform of < 3 reports gets few 1 except
+    never enter the window (``generic`` says which IDs are when ``id_col`` is
+    no call sign); a platform of < 3 reports gets few 1 except
     deck 720 before 1891."""
     p = default_parameters(params)
-    exempt = is_generic_id(id_col, "yr") | F.coalesce(F.col("pt").isin(6, 7), F.lit(False))
+    exempt = (is_generic_id(id_col, "yr") if generic is None else generic) | F.coalesce(F.col("pt").isin(6, 7), F.lit(False))
     tagged = df.withColumn("_ex", exempt)
     ex = tagged.where(F.col("_ex")).withColumns({"trk": F.lit(0), "few": F.lit(0)})
     run = tagged.where(~F.col("_ex"))

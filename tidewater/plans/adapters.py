@@ -191,9 +191,6 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, REPORTS_SQL)
 
 
-_STATIC: dict[tuple[int, str], DataFrame] = {}
-
-
 def _static(spark: SparkSession, name: str, sql: str) -> DataFrame:
     """Static reference fields (climatology, background): generated from a
     deterministic range once per session and stored as a table."""

@@ -123,9 +123,8 @@ def q_neighbour_counts(spark: SparkSession, sf: str) -> DataFrame:
     / +-4 pentads of each super-ob, x span widened by 1/cos(lat)."""
     d = sst_frame(spark, sf)
     so = BU.super_obs(d.where(_candidate(SST_CANDIDATE)), "sst_anom")
-    nb = BU.neighbours(so, [BAYES["limits"]])
-    return nb.groupBy("run_ym", "x", "y", "p").agg(F.count(F.lit(1)).alias("n_neighbours"),
-                                                    F.sum("nb_n").alias("n_obs"))
+    found = BU.box_sums(so, [BAYES["limits"]], {"k": F.lit(1), "n": F.col("cell_n")}).where("k_0 > 0")
+    return found.select("run_ym", "x", "y", "p", F.col("k_0").alias("n_neighbours"), F.col("n_0").alias("n_obs"))
 
 
 @register("buddy_limits_sst", _mds_buddy_sql() + """

@@ -67,17 +67,6 @@ def variable_block(df: DataFrame, variables: list[str], missing: str = "\\N") ->
     return df.select(*cols)
 
 
-def assign_period_and_write(df: DataFrame, ts_col: str, source_year: int, source_month: int, path: str,
-                            columns: list[str]) -> DataFrame:
-    """K2: month of the corrected time (source month if missing) decides
-    the partition; returns leak counts per period."""
-    from tidewater.operators.cdm import assign_period
-
-    t = assign_period(df, ts_col, source_year, source_month)
-    write_cdm(t, columns, path, partition_by=["period"])
-    return t.groupBy("period", "leak").agg(F.count(F.lit(1)).alias("n"))
-
-
 def write_metadata(df: DataFrame, path: str, by: str | None = "rcnty") -> None:
     """Metadata records, one folder per country (or one table)."""
     w = _replace(df)
