@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP, LAST_ID, materialise
+from .common import GAP, LAST_ID, WORD, materialise
 
 SHINGLE = 5
 BLOCKS, BLOCK_RADIUS = 4, 3
@@ -52,10 +52,13 @@ def lower_words(text: Column) -> Column:
 
 
 def grams(words: Column, size: Column | int) -> Column:
-    """Hash of the ``size`` words from each position on (of all, if there are fewer)."""
-    size = F.lit(size) if isinstance(size, int) else size
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1))),
-                       lambda i: F.xxhash64(F.slice(words, i, size)))
+    """Hash of the ``size`` words from each position on (of all, if there are
+    fewer).  A number of words that is known beforehand needs no slices; both
+    forms give the same hashes."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0)))
+    if isinstance(size, int):
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(size)]))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i + 1, size)))
 
 
 def enough(shingles: Column, hundredths: int) -> Column:
@@ -91,13 +94,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
     seeds = materialise(bench.select(F.explode("grams").alias("h"), "size", "gram").distinct(), "seeds")
     if seeds.count() <= MAX_BROADCAST:
         seeds = F.broadcast(seeds)
-    pages = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("t"),
-                        lower_words(F.col(text)).alias("words")).where("words is not null")
+    texts = docs.where(F.col(text).rlike(WORD)).select(
+        F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+    pages = texts.select("doc", "t", lower_words(F.col("text")).alias("words"))
 
     # 1. windows where shingles of items of their size lie dense enough
     hits = None
     for g in gram_sizes or [SHINGLE]:
-        at = pages.select("doc", "t", F.size("words").alias("n"), F.posexplode(grams(F.col("words"), g)).alias("pos", "h"))
+        # outer: Spark would evaluate the shingles once more to filter empty arrays, of which there are none
+        at = pages.select("doc", "t", F.size("words").alias("n"), F.posexplode_outer(grams(F.col("words"), g)).alias("pos", "h"))
         part = at.join(seeds.where(F.col("gram") == g), "h").select("doc", "t", "n", "size", "gram", "pos")
         hits = part if hits is None else hits.unionByName(part)
     span = F.col("size") - F.col("gram")
@@ -113,7 +118,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
     )
     key = ["doc", "t", "size", "start"]
     windows = materialise(
-        pages.join(dense, ["doc", "t"])
+        texts.join(dense, ["doc", "t"]).withColumn("words", lower_words(F.col("text")))
         .select(*key, "gram", F.slice("words", F.col("start") + 1, F.col("size")).alias("words")).dropDuplicates(key), "windows")
 
     # 2. fingerprints
