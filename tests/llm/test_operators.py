@@ -231,9 +231,9 @@ def test_near_duplicates_match_all_pairs(spark, corpus, k, monkeypatch):
     assert len(got) == len(corpus)
 
 
-def test_near_duplicates_rounds_and_odd_rows(spark, corpus, monkeypatch):
-    monkeypatch.setattr(setsketch, "FEW", 0)  # as many rounds as there may be
-    monkeypatch.setattr(setsketch, "MAX_ROUNDS", 3)
+def test_near_duplicates_in_blocks_and_odd_rows(spark, corpus, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK_ROWS", 7)  # clusters of several blocks
+    monkeypatch.setattr(setsketch, "FIRST_BANDS", 1)
     rows = [r for r in corpus if r[0] % 2 == 0] + [(None, None), (None, "lost words only here now"), (0, dict(corpus)[0])]
     got = setsketch.near_duplicates(frame(spark, rows), F.col("text"), shingle=4).collect()
     want = brute.near_components([r for r in rows if r[0] is not None], 4)
@@ -242,6 +242,15 @@ def test_near_duplicates_rounds_and_odd_rows(spark, corpus, monkeypatch):
     assert setsketch.near_duplicates(frame(spark, rows).where("false"), F.col("text")).count() == 0
 
 
+def test_shared_counts(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(rng.integers(1000, 100_000, 30).astype(np.uint64)) for _ in range(5)]
+    monkeypatch.setattr(setsketch, "COLUMNS", 16)
+    got = setsketch.shared_counts(sets[:25], sets[20:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[20:]] for a in sets[:25]]).all()
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     a, b = (np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64)) for _ in (0, 1))
@@ -429,3 +438,24 @@ def test_decontamination_finds_all_windows(spark):
     assert len(want) > 30
     assert decontam.find_leaks(frame_.where("false"), frame_.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
     assert decontam.find_leaks(frame_, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_components(spark):
+    from tidewater.llm.graph import components
+
+    rng = random.Random(8)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
+    root = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = {r.node: r.label for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -22,8 +22,8 @@ def _slots(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
         yield mix(ids.view(np.uint64) + np.uint64((i + 1) * 0x632BE59BD9B4E019 % 2**64)) % np.uint64(bits)
 
 
-def passing(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` whose long ``column`` may be among ``ids`` (one long column)."""
+def build(ids: DataFrame) -> np.ndarray:
+    """Filter words of ``ids`` (one long column)."""
     bits = int(min(MAX_BITS, max(1024, 10 * ids.count())))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,17 +32,15 @@ def passing(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(
                     (np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], names=["word", "bit"])
 
-    words = np.zeros(bits // 64 + 1, np.uint64)
+    words = np.zeros(-(-bits // 64), np.uint64)
     parts = ids.mapInArrow(fill, "word long, bit long").groupBy("word").agg({"bit": "bit_or"}).toDF("word", "bit").toArrow()
     words[parts["word"].to_numpy()] = parts["bit"].to_numpy().view(np.uint64)
-    sent = rows.sparkSession.sparkContext.broadcast(words)
+    return np.append(words, np.uint64(bits))
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.schema.get_field_index(column)
-            ok = np.ones(len(b), bool)
-            for slot in _slots(b.column(at).to_numpy(), bits):
-                ok &= (sent.value[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-            yield b.filter(pa.array(ok))
 
-    return rows.mapInArrow(test, rows.schema)
+def may_hold(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids may be in the filter (all that are, and few others)."""
+    ok = np.ones(len(ids), bool)
+    for slot in _slots(ids, int(words[-1])):
+        ok &= (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+    return ok

@@ -10,18 +10,25 @@ from .common import materialise
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> (node, label): the smallest node reachable, for
-    every node that has a link.  Smallest label of the neighbours, then one
-    jump to the label's label, until nothing changes."""
-    both = materialise(
-        links.where("a <> b").select("a", "b").union(links.where("a <> b").select("b", "a")).distinct(), "links")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
-    while True:
-        heard = (both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("l")), "b")
-                 .groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l")))
-        nearer = labels.join(heard, "node").select("node", F.least("label", "l").alias("next"), "label")
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        after = materialise(nearer.join(jump, "next", "left").select(
-            "node", F.least("next", F.coalesce("far", "next")).alias("label"), F.col("label").alias("was")), "labels")
-        labels = after.select("node", "label")
-        if after.where("label <> was").isEmpty():
-            return labels
+    every node that has a link.
+
+    Every node takes the smallest label next to it, and that one's; then links
+    are redrawn between labels, which leaves few of them, until none is left."""
+    def drawn(pairs: DataFrame) -> DataFrame:
+        return materialise(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+
+    edges, labels = drawn(links), None
+    while labels is None or not edges.isEmpty():
+        ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        next_to = ends.groupBy(F.col("e.a").alias("node")).agg(F.min("e.b").alias("low"))
+        hop = next_to.select("node", F.least("node", "low").alias("label"))
+        jump = hop.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        hop = materialise(hop.join(jump, "label", "left").select("node", F.coalesce("far", "label").alias("label")), "hop")
+        if labels is None:
+            labels = hop
+        else:
+            to = hop.select(F.col("node").alias("label"), F.col("label").alias("to"))
+            labels = materialise(labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        edges = drawn(edges.join(hop.toDF("a", "la"), "a").join(hop.toDF("b", "lb"), "b").select(
+            F.col("la").alias("a"), F.col("lb").alias("b")))
+    return labels

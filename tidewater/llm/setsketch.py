@@ -9,18 +9,20 @@ candidate pair is estimated by maximum likelihood from how many registers are
 larger, smaller and equal, given both set sizes; what may reach the threshold
 is verified on the full sets.
 
-Texts with equal sets are one class, so copies are never paired.  Inside a
-bucket (texts that agree in a band) members are tested against one centre, and
-verified links merge their components.  Later rounds look only at buckets that
-still hold several components and choose other centres; when few pairs across
-components are left (or after ``MAX_ROUNDS``) all of them are tested, so no
-link that could join two components is left out.  A link at the threshold is
-missed by all bands with a chance below 1e-5, a more similar one far less
-often.
-
-Scale: buckets are found by aggregation with partial sums; no group is
-collected; full sets are made again from the texts of candidates only, which a
-Bloom filter picks before the shuffle.
+Texts with equal sets are one class, so copies are never paired.  In the first
+bands every member of a bucket (texts that agree in a band) is tested against
+the smallest one, and verified links merge their components.  Buckets of all
+bands that still hold several components are then put together to clusters,
+and inside a cluster the intersections of all sets are counted at once, by
+matrix products over the shingles that several of them have.  So every pair
+that shares a bucket is either in one component already or tested exactly; no
+pairs are laid out as rows.  A link at the threshold is missed by all bands
+with a chance of about 3e-6, a more similar one far less often.
+
+Scale: buckets are found by aggregation with partial sums.  A cluster is cut
+into blocks of bounded rows and bytes, and each pair of blocks is one group,
+so no task holds a large cluster.  Full sets are made again from the texts
+only for those that need them, which a Bloom filter picks before the shuffle.
 
 Edge cases: null, blank and empty texts have an empty set, are linked with
 nothing and are their own component; a text shorter than a shingle is one
@@ -49,10 +51,12 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.02, 20.0
 #: Estimates may lie this far below the threshold (about five standard deviations).
 SLACK = 0.2
-MAX_ROUNDS = 6
-#: All remaining pairs are tested once their buckets hold at most this many
-#: for each bucket row.
-FEW = 1
+#: Bands of the first round.
+FIRST_BANDS = 3
+#: Rows and bytes of sets in one block of a cluster.
+BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
+#: Columns of one matrix product.
+COLUMNS = 4096
 _PIECE = 2048
 _TURN = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -116,6 +120,14 @@ def _buckets(reps: DataFrame, bands: int) -> DataFrame:
     return reps.select(F.explode(F.array(*keys)).alias("key"), "rid", "label")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(key, centre, c_label): buckets that hold several components, with
+    their smallest member."""
+    parts = rows.groupBy("key", "label").agg(F.min("rid").alias("rid")).groupBy("key").agg(
+        F.count("*").alias("kinds"), F.min(F.struct("rid", "label")).alias("c"))
+    return parts.where("kinds > 1").select("key", F.col("c.rid").alias("centre"), F.col("c.label").alias("c_label"))
+
+
 def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose estimate comes within SLACK of the threshold."""
     right = reps.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
@@ -135,19 +147,23 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, raw: Column, shingle: int, threshold: float) -> DataFrame:
-    """Pairs whose full sets reach the threshold (in hundredths, exactly)."""
-    hundredths = round(threshold * 100)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _full_sets(docs: DataFrame, raw: Column, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, set): sorted shingles of the texts with these ids, from the texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(bloom.build(ids))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array(bloom.may_hold(sent.value, b.column(0).to_numpy())))
             data = [shingle_set(word_hashes((t.as_py() or b"").lower()), shingle).tobytes() for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(data, pa.binary())], names=["id", "set"])
 
-    wanted = docs.select("id", raw.alias("raw"))
-    wanted = bloom.passing(wanted, "id", ids).join(ids, "id", "left_semi")
-    full = materialise(wanted.mapInArrow(sets, "id long, set binary").distinct(), "sets")
+    wanted = docs.select("id", raw.alias("raw")).mapInArrow(sets, "id long, set binary")
+    return materialise(wanted.join(ids, "id", "left_semi").distinct(), "sets")
+
+
+def _verify(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose full sets reach the threshold (in hundredths, exactly)."""
+    hundredths = round(threshold * 100)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -163,11 +179,87 @@ def _verify(pairs: DataFrame, docs: DataFrame, raw: Column, shingle: int, thresh
     return rows.mapInArrow(test, "a long, b long").distinct()
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of sets (left x right).  Shingles that
+    few pairs share are counted pair by pair, the others by matrix products."""
+    owner = np.concatenate([np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)])
+    side = np.repeat([0, 1], [sum(map(len, left)), sum(map(len, right))])
+    values = np.concatenate([*left, *right])
+    order = np.argsort(values, kind="stable")  # left before right
+    values, owner, side = values[order], owner[order], side[order]
+    start = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    rights = np.add.reduceat(side, start)
+    lefts = np.diff(np.append(start, len(values))) - rights
+    counts = np.zeros((len(left), len(right)), np.float32)
+    few = (lefts > 0) & (rights > 0) & (lefts * rights <= 64)
+    for n, m in np.unique(np.stack([lefts[few], rights[few]], axis=1), axis=0):
+        at = start[few & (lefts == n) & (rights == m)]
+        l = owner[at[:, None] + np.arange(n)]
+        r = owner[at[:, None] + n + np.arange(m)]
+        pair = (l[:, :, None] * len(right) + r[:, None, :]).ravel()
+        counts += np.bincount(pair, minlength=counts.size).reshape(counts.shape).astype(np.float32)
+    many = np.flatnonzero((lefts > 0) & (rights > 0) & ~few)
+    column = np.full(len(start), -1)
+    column[many] = np.arange(len(many))
+    column = np.repeat(column, np.diff(np.append(start, len(values))))
+    for at in range(0, len(many), COLUMNS):
+        a, b = (np.zeros((len(s), min(COLUMNS, len(many) - at)), np.float32) for s in (left, right))
+        for k, m in ((0, a), (1, b)):
+            here = (side == k) & (column >= at) & (column < at + COLUMNS)
+            m[owner[here], column[here] - at] = 1
+        counts += a @ b.T
+    return counts
+
+
+def block_links(left: list[np.ndarray], right: list[np.ndarray], l_label: np.ndarray, r_label: np.ndarray,
+                hundredths: int) -> set[tuple[int, int]]:
+    """Pairs of labels that connect what links between left and right sets
+    (and equal labels) connect: a forest, not all pairs."""
+    both = shared_counts(left, right)
+    sizes = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :]
+    linked = (both > 0) & (100 * both >= hundredths * (sizes - both))
+    names, at = np.unique(np.concatenate([l_label, r_label]), return_inverse=True)
+    l_at, r_at = at[: len(left)], at[len(left):]
+    root = np.arange(len(names))
+    while True:
+        before = root.copy()
+        l_root, r_root = root[l_at], root[r_at]
+        low = np.where(linked, r_root[None, :], len(names)).min(axis=1, initial=len(names))
+        np.minimum.at(root, l_at, np.minimum(l_root, low))
+        low = np.where(linked, root[l_at][:, None], len(names)).min(axis=0, initial=len(names))
+        np.minimum.at(root, r_at, np.minimum(r_root, low))
+        if (root == before).all():
+            return {(int(names[r]), int(names[i])) for i, r in enumerate(root) if r != i}
+
+
+def _test_clusters(members: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """``members`` (rid, label, cluster, n) -> (a, b): labels that exact links
+    inside a cluster connect.  Blocks of a cluster meet pair by pair."""
+    hundredths = round(threshold * 100)
+    sizes = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    laid = members.join(sizes, "cluster").withColumn("mine", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = (
+        laid.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rid", "label")
+        .join(full.withColumnRenamed("id", "rid"), "rid")
+    )
+
+    def test(key, table):
+        _, i, j = (k.as_py() for k in key)
+        mine, label = (table.column(c).to_numpy() for c in ("mine", "label"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        l, r = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        found = block_links([sets[x] for x in l], [sets[x] for x in r], label[l], label[r], hundredths) if len(l) and len(r) else ()
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return rows.groupBy("cluster", "i", "j").applyInArrow(test, "a long, b long")
+
+
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels (rid, label) after the links (a, b) between classes."""
-    ends = (links.join(labels.select(F.col("rid").alias("a"), F.col("label").alias("la")), "a")
-            .join(labels.select(F.col("rid").alias("b"), F.col("label").alias("lb")), "b"))
-    found = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    """Labels (rid, label) after the links (a, b) between labels."""
+    found = components(links)
     found = found.select(F.col("node").alias("label"), F.col("label").alias("to"))
     return materialise(labels.join(found, "label", "left").select("rid", F.coalesce("to", "label").alias("label")), "merged")
 
@@ -183,37 +275,23 @@ def near_duplicates(docs: DataFrame, text: Column, shingle: int = 5, threshold:
         sig.where("n > 0").groupBy("digest").agg(F.min(F.struct("id", "n", "regs")).alias("c"))
         .select("digest", F.col("c.id").alias("rid"), F.col("c.n").alias("n"), F.col("c.regs").alias("regs")), "classes")
     labels = classes.select("rid", F.col("rid").alias("label")).distinct()
-    total = classes.count()
-    for turn in range(MAX_ROUNDS + 1):
-        reps = classes.join(labels, "rid")
-        rows = _buckets(reps, 3 if turn == 0 else BANDS)
-        parts = rows.groupBy("key", "label").agg(
-            F.count("*").alias("m"), F.min(F.struct((F.xxhash64(F.lit(turn), "rid") if turn else F.col("rid")).alias("h"), "rid")).alias("c"))
-        open_keys = materialise(
-            parts.groupBy("key").agg(
-                F.count("*").alias("kinds"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"),
-                F.min(F.struct("c", "label")).alias("c"))
-            .where("kinds > 1").select("key", F.expr("(m * m - mm) div 2").alias("open"),
-                                       F.col("c.c.rid").alias("centre"), F.col("c.label").alias("c_label")), "open")
-        left = open_keys.agg(F.sum("open").alias("n")).first()["n"] or 0
-        if left == 0 and turn:
-            break
-        last = turn > 0 and (left <= FEW * BANDS * total or turn == MAX_ROUNDS)
-        members = rows.join(open_keys, "key")
-        if last:
-            other = rows.join(open_keys.select("key"), "key").select("key", F.col("rid").alias("b"), F.col("label").alias("lb"))
-            pairs = (members.select("key", F.col("rid").alias("a"), "label").join(other, "key")
-                     .where("a < b and label <> lb").select("a", "b"))
-        else:
-            pairs = members.where("label <> c_label").select(
-                F.least("rid", "centre").alias("a"), F.greatest("rid", "centre").alias("b"))
-        likely = materialise(_likely(pairs.distinct(), classes, threshold), "likely")
-        if not likely.isEmpty():
-            links = materialise(_verify(likely, docs, raw, shingle, threshold), "verified")
-            if not links.isEmpty():
-                labels = _merge(labels, links)
-        if last:
-            break
+    # members of a bucket against its smallest one
+    rows = _buckets(classes.join(labels, "rid"), FIRST_BANDS)
+    pairs = rows.join(_mixed(rows), "key").where("rid <> centre").select(F.col("centre").alias("a"), F.col("rid").alias("b"))
+    likely = materialise(_likely(pairs.distinct(), classes, threshold), "likely")
+    if not likely.isEmpty():
+        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+        links = _verify(likely, _full_sets(docs, raw, ids, shingle), threshold)
+        labels = _merge(labels, links)  # every class is its own label so far
+    # buckets of all bands that hold several components, put together
+    rows = _buckets(classes.join(labels, "rid"), BANDS)
+    edges = materialise(rows.join(_mixed(rows), "key").select("rid", "centre").distinct(), "edges")
+    if not edges.isEmpty():
+        clusters = components(edges.select(F.col("rid").alias("a"), F.col("centre").alias("b")))
+        sizes = classes.groupBy("rid").agg(F.max("n").alias("n"))
+        members = materialise(clusters.toDF("rid", "cluster").join(labels, "rid").join(sizes, "rid"), "members")
+        full = _full_sets(docs, raw, members.select(F.col("rid").alias("id")), shingle)
+        labels = _merge(labels, materialise(_test_clusters(members, full, threshold), "cluster-links"))
     comp = materialise(classes.select("digest", "rid").join(labels, "rid").select("digest", "label"), "components")
     return (
         sig.select("id", "n", "digest").join(comp, "digest", "left")
