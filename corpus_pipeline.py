@@ -62,8 +62,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as often as it is taken."""
     used = ["doc_id", "text", "source"]
     quality = quality_weights(common.table(spark, sf_dir, "labels"))
-    rows = _shield(docs, used).join(quality, "doc_id", "left")
-    mixed = mixing.mix_to_targets(rows, common.word_count(F.col("text")), F.coalesce("__quality", F.lit(1.0)))
+    sized = _shield(docs, used).withColumn("words__", common.word_count(F.col("text")))
+    rows = sized.join(quality, "doc_id", "left")
+    mixed = mixing.mix_to_targets(rows, F.col("words__"), F.coalesce("__quality", F.lit(1.0)))
     taken = mixed.where("copies > 0").withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return _unshield(taken, docs, used)
 

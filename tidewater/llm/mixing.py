@@ -6,14 +6,16 @@ exponential key ``-ln(u) / quality`` (``u`` from a hash of its id), documents
 are put in key order within their source and taken while the running sum of
 their sizes stays within the budget.
 
-Scale: the order within a source is cut into about sqrt(n) key ranges, so the
-running sum is a sum over earlier ranges plus a sum inside one range; no
-window holds a whole source, however large.  The only global step is one row
-per source.
+Scale: the order within a source is found on narrow rows and cut into about
+sqrt(n) key ranges, so the running sum is a sum over earlier ranges plus a sum
+inside one range; no window holds a whole source, however large.  What comes
+out is the last key that is taken, one row per source, and the documents
+themselves are only compared with it: their texts are not shuffled here.  The
+only global step is one row per source.
 
 Edge cases: null text has size 0; null source is a source of its own, last in
 order; a source of size 0 has target 0; equal keys are ordered by id, then
-size; a null id hashes as the text ``null``; an empty table gives no rows;
+size; rows that repeat an id and size are taken together; a null id hashes as the text ``null``; an empty table gives no rows;
 input columns that carry a name of the result are replaced.
 """
 
@@ -90,25 +92,31 @@ def mix_to_targets(docs: DataFrame, size: Column, quality: Column, weights: Sequ
                     .otherwise(F.lit(0)).cast("long"))
         .withColumn("__rest", F.col("target") - F.col("__epochs") * F.col("source_size")),
         "mix-plan")
-    ranges = F.ceil(F.sqrt(F.col("__n")))
-    place = F.floor((1 - F.exp(-F.col("__key"))) * ranges).cast("long")
-    here = (
-        rows.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-        .withColumn("__range", place)
-    )
+    # the order of a source, on narrow rows: running sums by key range, then inside it
+    units = rows.groupBy("source", "__key", "doc_id", "size").agg(F.count("*").alias("__rows"))
+    units = units.withColumn("__sum", F.col("size") * F.col("__rows"))
+    place = F.floor((1 - F.exp(-F.col("__key"))) * F.ceil(F.sqrt(F.col("__n")))).cast("long")
+    here = materialise(
+        units.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
+        .select("__s", "__rest", place.alias("__range"), F.struct("__key", "doc_id", "size").alias("__at"), "__sum"), "mix-order")
     base = (
-        here.groupBy("__s", "__range").agg(F.sum("size").alias("__sum"))
-        .withColumn("__base", F.sum("__sum").over(Window.partitionBy("__s").orderBy("__range")) - F.col("__sum"))
+        here.groupBy("__s", "__range").agg(F.sum("__sum").alias("__base"))
+        .withColumn("__base", F.sum("__base").over(Window.partitionBy("__s").orderBy("__range")) - F.col("__base"))
         .select(F.col("__s").alias("__bs"), F.col("__range").alias("__br"), "__base")
     )
-    inner = (Window.partitionBy("__s", "__range").orderBy("__key", "doc_id", "size")
-             .rowsBetween(Window.unboundedPreceding, 0))
-    start = F.col("__base") + F.sum("size").over(inner) - F.col("size")
-    return (
+    inner = Window.partitionBy("__s", "__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    # the document on the edge is taken if that brings the sum nearer to the target
+    taken = (
         here.join(base, F.col("__s").eqNullSafe(F.col("__bs")) & (F.col("__range") == F.col("__br")))
-        .withColumn("__start", start)
-        # the document on the edge is taken if that brings the sum nearer to the target
-        .withColumn("copies", F.col("__epochs") + (F.col("__start") + F.col("size") / 2 <= F.col("__rest")).cast("long"))
+        .withColumn("__end", F.col("__base") + F.sum("__sum").over(inner))
+        .where(F.col("__end") - F.col("__sum") / 2 <= F.col("__rest"))
+    )
+    edge = taken.groupBy("__s").agg(F.max("__at").alias("__edge"))
+    rule = materialise(plan.withColumnRenamed("source", "__ps").join(edge, F.col("__ps").eqNullSafe(F.col("__s")), "left").drop("__s"), "mix-rule")
+    last = F.coalesce(F.struct("__key", "doc_id", "size") <= F.col("__edge"), F.lit(False))
+    return (
+        rows.join(rule, F.col("source").eqNullSafe(F.col("__ps")))
+        .withColumn("copies", F.col("__epochs") + last.cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select(*keep, "size", "source_size", "target", "copies", "taken")
     )
