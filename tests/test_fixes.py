@@ -120,3 +120,18 @@ def test_platform_rule_for_missing_type(spark):
     d = spark.createDataFrame([(1, 992, None), (2, 992, 3), (3, 5, None)], "uid int, dck int, pt int")
     rules = spark.createDataFrame([(992, None, 5), (992, 3, None)], "dck int, pt int, new_pt int")
     assert {r.uid: r.pt for r in correct_platform_type(d, rules).collect()} == {1: 5, 2: None, 3: None}
+
+
+def test_grid_lookup_by_broadcast_and_by_shuffle(spark):
+    from tidewater.operators.grid_lookup import grid_lookup
+
+    field = spark.range(73 * 18 * 36).select((F.col("id") % 73).cast("int").alias("t"), (F.floor(F.col("id") / 73) % 18).cast("int").alias("y"),
+                                             F.floor(F.col("id") / (73 * 18)).cast("int").alias("x"), F.col("id").cast("double").alias("v"))
+    d = spark.createDataFrame([(i, 1 + i % 12, 1 + i % 28, -89.0 + 2.7 * i, -179.0 + 5.3 * i) for i in range(66)],
+                              "uid int, mo int, dy int, lat double, lon double")
+    plans, rows = [], []
+    for limit in (10**9, 0):
+        out = grid_lookup(d, field, {"v": "w"}, res=10.0, broadcast_limit_bytes=limit)
+        plans.append("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString())
+        rows.append(sorted((r.uid, r.w) for r in out.collect()))
+    assert plans == [True, False] and rows[0] == rows[1] and all(w is not None for _, w in rows[0])

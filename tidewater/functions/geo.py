@@ -20,14 +20,17 @@ def _c(x) -> Column:
 
 
 def angular_distance(lat1, lon1, lat2, lon2) -> Column:
-    """Central angle (radians) by the numerically stable atan2 form."""
+    """Central angle (radians) of two unit vectors u, v: atan2(|u x v|, u . v),
+    the sphere's case of Vincenty's formula (Survey Review 23, 1975).  With
+    the first point on the zero meridian, v's parts along east, north and up
+    of that point give both."""
     p1, l1, p2, l2 = (_c(v) * RAD for v in (lat1, lon1, lat2, lon2))
-    dl = F.abs(l1 - l2)
-    bit1 = F.cos(p2) * F.sin(dl)
-    bit2 = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dl)
-    top = F.sqrt(bit1 * bit1 + bit2 * bit2)
-    bottom = F.sin(p1) * F.sin(p2) + F.cos(p1) * F.cos(p2) * F.cos(dl)
-    return F.atan2(top, bottom)
+    apart = F.abs(l1 - l2)
+    inward = F.cos(p2) * F.cos(apart)
+    east = F.cos(p2) * F.sin(apart)
+    north = F.cos(p1) * F.sin(p2) - F.sin(p1) * inward
+    up = F.sin(p1) * F.sin(p2) + F.cos(p1) * inward
+    return F.atan2(F.sqrt(east * east + north * north), up)
 
 
 def sphere_distance(lat1, lon1, lat2, lon2) -> Column:

@@ -60,7 +60,8 @@ GENERIC_IDS_BY_YEARS = [
     (1930, 1937, ["3        "]),
     (1934, 1954, ["7        ", "00007    "]),
 ]
-# MAT exclusion boxes for deck 193 (lon_w, lon_e, lat_s, lat_n)
+# FIXED VALUES: boxes (west, east, south, north) without night air temperature
+# in deck 193; platform types of ships and with usable humidity
 MAT_BOXES_193 = [(-80.0, 0.0, 40.0, 55.0), (-10.0, 30.0, 35.0, 45.0), (15.0, 45.0, -10.0, 40.0),
                  (15.0, 95.0, -10.0, 15.0), (95.0, 105.0, -10.0, 5.0)]
 SHIP_PT = [0, 1, 2, 3, 4, 5, 10, 11, 12, 17]

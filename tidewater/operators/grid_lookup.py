@@ -6,10 +6,7 @@ expressions of :mod:`tidewater.functions.grid` and left-joins the field.
 
 Size policy: a field's row count is bounded by its declared geometry
 (``n * 180/res * 360/res``).  The field is broadcast when that bound (times
-the row width) is under ``broadcast_limit_bytes`` AND the optimizer's size
-estimate of the report side is several times larger: at archive scale the
-reports dwarf any grid, so no report shuffle is spent on the lookup; on small
-inputs (tests) the cheaper shuffle join is kept.
+the row width) is within the declared limit; beyond it Spark shuffles.
 """
 
 from __future__ import annotations
@@ -34,18 +31,11 @@ def grid_rows_bound(n: int, res: float) -> int:
     return int(n * round(180 / res) * round(360 / res))
 
 
-def plan_size_estimate(df: DataFrame) -> int:
-    """Optimizer size estimate (bytes) of a DataFrame; no job is run."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Connect)
-        return 0
-
-
 def sized_join_side(field: DataFrame, n: int, res: float, n_values: int,
-                    broadcast_limit_bytes: int | None = None, other: DataFrame | None = None) -> DataFrame:
-    """Broadcast-hint the field only when its geometric size bound is small
-    and (when ``other`` is given) the other side is estimated much larger."""
+                    broadcast_limit_bytes: int | None = None) -> DataFrame:
+    """The field with a broadcast hint if its geometric size bound is within
+    the declared limit, else with a merge hint: the declared geometry and
+    limit alone decide, at every input size alike."""
     if broadcast_limit_bytes is None:
         conf = field.sparkSession.conf.get(BROADCAST_CONF, None)
         broadcast_limit_bytes = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
@@ -54,8 +44,6 @@ def sized_join_side(field: DataFrame, n: int, res: float, n_values: int,
     # to the planner's automatic broadcast, but expand far beyond it in memory
     if approx_bytes > broadcast_limit_bytes:
         return field.hint("merge")
-    if other is not None and plan_size_estimate(other) < 4 * approx_bytes:
-        return field.hint("merge")
     return F.broadcast(field)
 
 
@@ -89,7 +77,7 @@ def grid_lookup(df: DataFrame, field: DataFrame, values: dict[str, str], n: int
         F.col("t").alias(f"{k}t"), F.col("y").alias(f"{k}y"), F.col("x").alias(f"{k}x"),
         *[F.col(src).alias(dst) for src, dst in values.items()],
     )
-    side = sized_join_side(side, n, res, len(values), broadcast_limit_bytes, other=keyed)
+    side = sized_join_side(side, n, res, len(values), broadcast_limit_bytes)
     out = keyed.join(side, [f"{k}t", f"{k}y", f"{k}x"], "left")
     return out.drop(f"{k}t", f"{k}y", f"{k}x")
 
