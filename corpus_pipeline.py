@@ -34,12 +34,13 @@ def _id(column: str = "doc_id"):
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier (learned from ``labels`` that
     are not held out) does not predict as toxic."""
-    used = ["doc_id", "text"]
     labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").distinct()
     known = docs.select("doc_id", "text").where(~common.held_out(F.col("doc_id"))).join(labels, "doc_id")
-    rows = _shield(docs, used)
-    scored = toxicity.score(rows, toxicity.learn(known), F.col("text"), rows.columns)
-    return _unshield(scored.where("predicted = 0"), docs, used)
+    key = {"k__": _id(), "t__": F.xxhash64("text")}
+    # rejected rows by id and text, found on small batches; the documents do not pass through Python
+    scored = toxicity.score(docs.select("doc_id", "text").withColumns(key), toxicity.learn(known), F.col("text"), list(key))
+    toxic = common.materialise(scored.where("predicted = 1").select(*key).distinct(), "toxic")
+    return docs.withColumns(key).join(toxic, list(key), "left_anti").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
