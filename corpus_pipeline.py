@@ -46,10 +46,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each component of texts whose 5-word
     shingle sets are 0.8 similar; a repeated row stays once."""
-    found = setsketch.near_duplicates(docs.select("doc_id", "text"), F.col("text"), shingle=5, threshold=0.8)
-    first = found.select(_id().alias("k__"), "component_id").where("k__ = component_id").select("k__").distinct()
-    rows = docs.withColumns({"k__": _id(), "t__": F.sha2(F.col("text").cast("binary"), 256)})
-    return rows.join(first, "k__", "left_semi").dropDuplicates(["k__", "t__"]).select(*docs.columns)
+    raw = F.col("text").cast("binary")
+    first = setsketch.first_rows(docs.select("doc_id", "text"), F.col("text"), shingle=5, threshold=0.8).toDF("k__", "h__")
+    rows = docs.withColumns({"k__": _id(), "h__": F.xxhash64(raw), "t__": F.sha2(raw, 256)})
+    return rows.join(first, ["k__", "h__"], "left_semi").dropDuplicates(["k__", "t__"]).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

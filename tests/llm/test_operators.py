@@ -242,6 +242,15 @@ def test_near_duplicates_in_blocks_and_odd_rows(spark, corpus, monkeypatch):
     assert setsketch.near_duplicates(frame(spark, rows).where("false"), F.col("text")).count() == 0
 
 
+def test_near_duplicates_of_rows_without_or_with_repeated_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 120) for _ in range(4))
+    rows = [(5, a), (9, b), (None, changed(rng, a, 1)), (None, changed(rng, b, 1)), (None, c), (7, d), (7, changed(rng, a, 1))]
+    got = setsketch.near_duplicates(frame(spark, rows), F.col("text")).collect()
+    assert sorted((r.doc_id or 99, r.component_id) for r in got) == [
+        (5, 5), (7, 5), (7, 7), (9, 9), (99, 5), (99, 9), (99, common.LAST_ID)]
+
+
 def test_shared_counts(monkeypatch):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(40)]

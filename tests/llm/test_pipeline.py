@@ -32,6 +32,14 @@ def test_stages(spark):
         before = after
 
 
+def test_near_duplicates_without_ids(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(100)) for k in "abc")
+    rows = [(5, a), (9, b), (None, a + " more"), (None, b + " more"), (None, c), (None, c + " more"), (None, c), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text[:1]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_SMALL).collect()]
+    assert sorted(got, key=str) == [(5, "a"), (9, "b"), (None, ""), (None, "c")]
+
+
 def test_run_on_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         common.table(spark, SF_SMALL, t).where("false").write.parquet(f"{tmp_path}/{t}.parquet")

@@ -27,8 +27,9 @@ only for those that need them, which a Bloom filter picks before the shuffle.
 Edge cases: null, blank and empty texts have an empty set, are linked with
 nothing and are their own component; a text shorter than a shingle is one
 shingle; repeated rows are linked as copies; a null id counts as the largest
-and comes back null; rows that share an id are judged each by its own text; an
-empty table gives no rows.
+and comes back null; rows that share an id, or have none, are judged each by
+its own text, and a component of null ids only has the id 2^63-1; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,21 +98,25 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarr
     return np.take_along_axis(j, fit.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
+def _digest(s: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+
+
 def sketch(docs: DataFrame, raw: Column, shingle: int) -> DataFrame:
-    """``docs`` (id, ...) -> (id, n, digest, regs); digest names the shingle set."""
+    """``docs`` (id, t, ...) -> (id, t, n, digest, regs); digest names the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, digest, regs = [], [], []
-            for text in b.column(1):
+            for text in b.column(2):
                 s = shingle_set(word_hashes((text.as_py() or b"").lower()), shingle)
                 n.append(len(s))
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                digest.append(_digest(s))
                 regs.append(registers(s).tobytes() if len(s) else None)
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                                   pa.array(regs, pa.binary())], names=["id", "n", "digest", "regs"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                                   pa.array(regs, pa.binary())], names=["id", "t", "n", "digest", "regs"])
 
-    return docs.select("id", raw.alias("raw")).mapInArrow(run, "id long, n long, digest binary, regs binary")
+    return docs.select("id", "t", raw.alias("raw")).mapInArrow(run, "id long, t long, n long, digest binary, regs binary")
 
 
 def _buckets(reps: DataFrame, bands: int) -> DataFrame:
@@ -147,18 +152,21 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _full_sets(docs: DataFrame, raw: Column, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, set): sorted shingles of the texts with these ids, from the texts."""
-    sent = docs.sparkSession.sparkContext.broadcast(bloom.build(ids))
+def _full_sets(docs: DataFrame, raw: Column, classes: DataFrame, rids: DataFrame, shingle: int) -> DataFrame:
+    """(rid, set): sorted shingles of the classes with these numbers, from the
+    texts that stand for them."""
+    wanted = classes.join(rids, "rid", "left_semi").select("digest", "rid", F.xxhash64("id", "t").alias("row"))
+    sent = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted.select("row")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(pa.array(bloom.may_hold(sent.value, b.column(0).to_numpy())))
-            data = [shingle_set(word_hashes((t.as_py() or b"").lower()), shingle).tobytes() for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array(data, pa.binary())], names=["id", "set"])
+            data = [shingle_set(word_hashes((t.as_py() or b"").lower()), shingle) for t in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array([_digest(x) for x in data], pa.binary()),
+                                   pa.array([x.tobytes() for x in data], pa.binary())], names=["row", "digest", "set"])
 
-    wanted = docs.select("id", raw.alias("raw")).mapInArrow(sets, "id long, set binary")
-    return materialise(wanted.join(ids, "id", "left_semi").distinct(), "sets")
+    made = docs.select(F.xxhash64("id", "t").alias("row"), raw.alias("raw")).mapInArrow(sets, "row long, digest binary, set binary")
+    return materialise(made.join(wanted, ["row", "digest"]).select("rid", "set").distinct(), "sets")
 
 
 def _verify(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
@@ -174,8 +182,8 @@ def _verify(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
                 ok.append(both > 0 and 100 * both >= hundredths * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    rows = (pairs.join(full.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-            .join(full.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").select("a", "b", "sa", "sb"))
+    rows = (pairs.join(full.select(F.col("rid").alias("b"), F.col("set").alias("sb")), "b")
+            .join(full.select(F.col("rid").alias("a"), F.col("set").alias("sa")), "a").select("a", "b", "sa", "sb"))
     return rows.mapInArrow(test, "a long, b long").distinct()
 
 
@@ -243,7 +251,7 @@ def _test_clusters(members: DataFrame, full: DataFrame, threshold: float) -> Dat
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = (
         laid.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rid", "label")
-        .join(full.withColumnRenamed("id", "rid"), "rid")
+        .join(full, "rid")
     )
 
     def test(key, table):
@@ -264,37 +272,56 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(labels.join(found, "label", "left").select("rid", F.coalesce("to", "label").alias("label")), "merged")
 
 
-def near_duplicates(docs: DataFrame, text: Column, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` (doc_id, ...) -> (doc_id, n_shingles, component_id, digest):
-    one row per row; digest names the shingle set (null if empty)."""
+def _classes(docs: DataFrame, text: Column, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (doc_id, ...) -> rows (id, t, n, digest, ...) with t a hash of
+    the text, and classes (digest, label, id, t): one row per shingle set with
+    the number of its component and the smallest row that has it."""
     ready(docs.sparkSession)
     raw = text.cast("binary")
-    docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(LAST_ID)))
+    docs = docs.withColumns({"id": F.coalesce("doc_id", F.lit(LAST_ID)), "t": F.xxhash64(raw)})
     sig = materialise(sketch(docs, raw, shingle), "sketch")
+    # nodes of the graph are numbers of classes: several classes may have one id
     classes = materialise(
-        sig.where("n > 0").groupBy("digest").agg(F.min(F.struct("id", "n", "regs")).alias("c"))
-        .select("digest", F.col("c.id").alias("rid"), F.col("c.n").alias("n"), F.col("c.regs").alias("regs")), "classes")
-    labels = classes.select("rid", F.col("rid").alias("label")).distinct()
+        sig.where("n > 0").groupBy("digest").agg(F.min(F.struct("id", "t", "n", "regs")).alias("c"))
+        .select("digest", "c.*", F.monotonically_increasing_id().alias("rid")), "classes")
+    labels = classes.select("rid", F.col("rid").alias("label"))
     # members of a bucket against its smallest one
     rows = _buckets(classes.join(labels, "rid"), FIRST_BANDS)
     pairs = rows.join(_mixed(rows), "key").where("rid <> centre").select(F.col("centre").alias("a"), F.col("rid").alias("b"))
     likely = materialise(_likely(pairs.distinct(), classes, threshold), "likely")
     if not likely.isEmpty():
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        links = _verify(likely, _full_sets(docs, raw, ids, shingle), threshold)
+        rids = likely.select(F.col("a").alias("rid")).union(likely.select("b")).distinct()
+        links = _verify(likely, _full_sets(docs, raw, classes, rids, shingle), threshold)
         labels = _merge(labels, links)  # every class is its own label so far
     # buckets of all bands that hold several components, put together
     rows = _buckets(classes.join(labels, "rid"), BANDS)
     edges = materialise(rows.join(_mixed(rows), "key").select("rid", "centre").distinct(), "edges")
     if not edges.isEmpty():
         clusters = components(edges.select(F.col("rid").alias("a"), F.col("centre").alias("b")))
-        sizes = classes.groupBy("rid").agg(F.max("n").alias("n"))
-        members = materialise(clusters.toDF("rid", "cluster").join(labels, "rid").join(sizes, "rid"), "members")
-        full = _full_sets(docs, raw, members.select(F.col("rid").alias("id")), shingle)
+        members = materialise(
+            clusters.toDF("rid", "cluster").join(labels, "rid").join(classes.select("rid", "n"), "rid"), "members")
+        full = _full_sets(docs, raw, classes, members.select("rid"), shingle)
         labels = _merge(labels, materialise(_test_clusters(members, full, threshold), "cluster-links"))
-    comp = materialise(classes.select("digest", "rid").join(labels, "rid").select("digest", "label"), "components")
+    return sig, materialise(classes.select("digest", "rid", "id", "t").join(labels, "rid").select("digest", "label", "id", "t"), "components")
+
+
+def near_duplicates(docs: DataFrame, text: Column, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` (doc_id, ...) -> (doc_id, n_shingles, component_id, digest):
+    one row per row; digest names the shingle set (null if empty)."""
+    sig, classes = _classes(docs, text, shingle, threshold)
+    first = classes.groupBy("label").agg(F.min("id").alias("component_id"))
+    comp = classes.select("digest", "label").join(first, "label").select("digest", "component_id")
     return (
         sig.select("id", "n", "digest").join(comp, "digest", "left")
         .select(F.when(F.col("id") == LAST_ID, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"),
-                F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id"), "digest")
+                F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), "digest")
     )
+
+
+def first_rows(docs: DataFrame, text: Column, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` (doc_id, ...) -> (id, t): one row of each component, that with
+    the smallest id and of these with the smallest xxhash64 of the text, and
+    every row without shingles.  A null id is LAST_ID."""
+    sig, classes = _classes(docs, text, shingle, threshold)
+    first = classes.groupBy("label").agg(F.min(F.struct("id", "t")).alias("f")).select("f.*")
+    return first.union(sig.where("n = 0").select("id", "t").distinct())
