@@ -55,8 +55,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = common.table(spark, sf_dir, "benchmark").select("item_id", "text")
-    leaks = decontam.find_leaks(docs.select("doc_id", "text"), items)
-    return docs.withColumn("k__", _id()).join(leaks.select(_id().alias("k__")).distinct(), "k__", "left_anti").select(*docs.columns)
+    leaks = decontam.leaking_texts(docs.select("doc_id", "text"), items).select("doc", "t").distinct().toDF("k__", "t__")
+    rows = docs.withColumns({"k__": _id(), "t__": F.xxhash64("text")})
+    return rows.join(leaks, ["k__", "t__"], "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,15 @@ def test_near_duplicates_without_ids(spark):
     assert sorted(got, key=str) == [(5, "a"), (9, "b"), (None, ""), (None, "c")]
 
 
+def test_leaks_of_rows_without_or_with_repeated_ids(spark, tmp_path):
+    item = " ".join(f"b{i}" for i in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "x " + item), (None, "clean one"), (4, item + " y"), (4, "clean two"), (5, "clean three"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == [(4, "clean two"), (5, "clean three"), (None, "clean one"), (None, None)]
+
+
 def test_run_on_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         common.table(spark, SF_SMALL, t).where("false").write.parquet(f"{tmp_path}/{t}.parquet")

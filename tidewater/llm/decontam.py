@@ -86,6 +86,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
     """``docs`` (doc_id, <text>) and ``items`` (item_id, <text>) -> (doc_id,
     item_id, similarity, start_word): every pair that reaches the similarity,
     with its best window."""
+    best = leaking_texts(docs, items, text, hundredths).groupBy("doc", "item_id").agg(F.max("b").alias("b"))
+    return best.select(F.when(F.col("doc") != LAST_ID, F.col("doc")).alias("doc_id"), "item_id",
+                       F.col("b.s").alias("similarity"), F.col("b.start").cast("long").alias("start_word"))
+
+
+def leaking_texts(docs: DataFrame, items: DataFrame, text: str = "text", hundredths: int = 80) -> DataFrame:
+    """The same for each text of an id: (doc, t, item_id, b), with t the
+    xxhash64 of the text, b the best window and LAST_ID for a null id."""
     bench = materialise(
         items.select("item_id", lower_words(F.col(text)).alias("words")).where("words is not null")
         .withColumn("size", F.size("words")).withColumn("gram", F.least("size", F.lit(SHINGLE)))
@@ -150,9 +158,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
         .join(every.distinct(), key)
     )
     either = F.col("all") + F.col("i_all") - F.col("both")
-    best = (
+    return (
         shared.where(F.col("both") * 100 >= either * hundredths)
-        .groupBy("doc", "item_id").agg(F.max(F.struct((F.col("both") / either).alias("s"), "start")).alias("b"))
+        .groupBy("doc", "t", "item_id").agg(F.max(F.struct((F.col("both") / either).alias("s"), "start")).alias("b"))
     )
-    return best.select(F.when(F.col("doc") != LAST_ID, F.col("doc")).alias("doc_id"), "item_id",
-                       F.col("b.s").alias("similarity"), F.col("b.start").cast("long").alias("start_word"))
