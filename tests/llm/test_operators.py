@@ -449,6 +449,27 @@ def test_decontamination_finds_all_windows(spark):
     assert decontam.find_leaks(frame_, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_leaks_far_from_the_fingerprint_of_their_item(spark):
+    """Matches of 0.8 or more whose SimHashes differ in more than RADIUS bits."""
+    rng = random.Random(31)
+    items, docs = [], []
+    for words_, run in [(104, 10), (60, 6), (50, 4)] * 8 + [(104, 0)] * 20:
+        n = len(items)
+        body = [f"i{n}w{j}" for j in range(words_ - run)]
+        items.append((n, " ".join(body + ["____"] * run)))
+        cut = run or 11
+        kept = body[: words_ - cut]
+        docs.append((n, " ".join(kept + [f"y{rng.randrange(10**9)}" for _ in range(cut)])))
+    got = decontam.find_leaks(frame_of(spark, docs, "doc_id"), frame_of(spark, items, "item_id")).collect()
+    want = leaks(docs, items)
+    assert len(want) == len(docs)
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in got} == want
+
+
+def frame_of(spark, rows, name):
+    return spark.createDataFrame(rows, f"{name} long, text string")
+
+
 def test_components(spark):
     from tidewater.llm.graph import components
 

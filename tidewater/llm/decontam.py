@@ -13,9 +13,12 @@ similarity is the sum of the smaller weights over the sum of the larger ones.
 3. Multi-index blocks.  A fingerprint is cut into 4 blocks of 16 bits; item
    blocks are listed with all values up to 3 bits away.  Two fingerprints up
    to RADIUS = 15 bits apart agree with the listed values in some block, so
-   every window within the radius of an item meets it in an equi-join.  (A
-   similarity of 0.8 leaves 98 % of the words of most matches in place, about
-   4 bits; up to 11 % may differ if they stand at one end, about 9 bits.)
+   every window within the radius of an item meets it in an equi-join.
+   The fingerprint is over words and the similarity over shingles, so 0.8 does
+   not bound the distance: a run of one word at an end that is replaced may
+   turn more than 15 bits.  Such pairs meet in rare shingles: a match shares
+   0.8 of an item's shingles, so at least one of its rarest fifth (and one
+   more), which windows are joined with.  This loses no match.
 4. Verification on the full shingles of window and item.
 
 Scale: documents are never paired with each other; the shingle table of the
@@ -31,7 +34,7 @@ one document and come back null; empty tables give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GAP, LAST_ID, WORD, materialise
@@ -82,6 +85,19 @@ def _block(mark: Column, i: int) -> Column:
     return F.shiftrightunsigned(mark, i * BITS).bitwiseAND(2**BITS - 1)
 
 
+def _rare(bench: DataFrame, hundredths: int) -> DataFrame:
+    """(size, h, item_id): the rarest shingles of each item, so many that what
+    is left weighs less than a match shares."""
+    held = bench.select("item_id", "size", F.explode("grams").alias("h")).groupBy("item_id", "size", "h").agg(
+        F.count("*").alias("ic"))
+    often = held.groupBy("size", "h").agg(F.count("*").alias("holders"))
+    by_item = Window.partitionBy("item_id", "size")
+    upto = F.sum("ic").over(by_item.orderBy("holders", "h").rowsBetween(Window.unboundedPreceding, 0))
+    left = F.sum("ic").over(by_item) - upto + F.col("ic")  # weight of this shingle and the more frequent ones
+    return held.join(often, ["size", "h"]).withColumn("left", left).withColumn("all", F.sum("ic").over(by_item)).where(
+        F.col("left") * 100 >= F.col("all") * hundredths).select("size", "h", "item_id")
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths: int = 80) -> DataFrame:
     """``docs`` (doc_id, <text>) and ``items`` (item_id, <text>) -> (doc_id,
     item_id, similarity, start_word): every pair that reaches the similarity,
@@ -144,7 +160,14 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text: str = "text", hundred
         *key, "mark",
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("mark"), i).alias("v")) for i in range(BLOCKS)])).alias("b"))
     met = asked.select(*key, "mark", "b.block", "b.v").join(listed, ["size", "block", "v"])
-    pairs = met.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("i_mark"))) <= RADIUS).select(*key, "item_id").distinct()
+    near_pairs = met.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("i_mark"))) <= RADIUS).select(*key, "item_id")
+
+    # matches outside the radius: at least one of the rarest shingles of the item lies in the window
+    rare = materialise(_rare(bench, hundredths), "rare")
+    if rare.count() <= MAX_BROADCAST:
+        rare = F.broadcast(rare)
+    laid = windows.select(*key, F.explode(F.array_distinct(grams(F.col("words"), F.col("gram")))).alias("h"))
+    pairs = near_pairs.unionByName(laid.join(rare, ["size", "h"]).select(*key, "item_id")).distinct()
 
     # 4. exact similarity
     counts = windows.select(*key, F.explode(grams(F.col("words"), F.col("gram"))).alias("h")).groupBy(*key, "h").agg(
