@@ -388,6 +388,14 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(vectors.where("false"), F.lit(True)).count() == 0
 
 
+def test_top_k_asks_with_every_row_of_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (0, [-1.0, 0.0]), (1, [5.0, 0.0]), (2, [0.0, 4.0]), (3, [-3.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(vectors, F.col("vec_id") == 0, 4).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [
+        (1, 1, 5 * 65536), (2, 2, 4 * 65536), (3, 2, 4 * 65536), (4, 3, 3 * 65536)]
+
+
 def test_search_block_stops_only_on_proof():
     rng = np.random.default_rng(5)
     x = (rng.normal(size=(500, 16)) ** 3 * 200).astype(np.int64)

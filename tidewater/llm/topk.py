@@ -15,8 +15,9 @@ every block pair returns k rows a query, and a window ranks them.
 Edge cases: vectors that are null or hold null or non-finite components take
 no part; an empty vector has score 0 with everything; of vectors of different
 lengths the common components count; equal scores go to the smaller id; rows
-that repeat an id are candidates each for themselves, and a query's own id is
-never its candidate; rows with a null id take no part; an empty table gives no
+that repeat an id are candidates each for themselves, rows that repeat a
+query id ask each for themselves and the k best of all their pairs count, and a query's
+own id is never its candidate; rows with a null id take no part; an empty table gives no
 rows.  Components need at most 52 bits after scaling and scores must fit 64.
 """
 
@@ -130,7 +131,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embed
     rows = materialise(
         vectors.select(F.col("vec_id").cast("long").alias("id"), scaled(F.col(vector)).alias("x"), is_query.alias("ask"))
         .where("id is not null and x is not null"), "vectors")
-    asked = rows.where("ask").select("id", "x").dropDuplicates(["id"])
+    asked = rows.where("ask").select("id", "x")
     n, n_asked = rows.count(), asked.count()
     # every block gets one of these numbers; a pair of numbers is a unit of work
     numbers, q_numbers = n // BLOCK + SPREAD, n_asked // QUERIES + 1
