@@ -232,3 +232,14 @@ def op4_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)],
                                   "conv_id long, turn long, role string, text string")
     return read_back(*format_tree(rows.unionByName(extra)))
+
+
+@query("op13_lattice_score")
+def op13_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned from nine tenths of them."""
+    from .lmscore import score_texts
+
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held = F.coalesce(F.pmod(crc, F.lit(10)) == 0, F.lit(True))
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    return score_texts(docs, F.col("text"), ~F.col("held_out"), ["doc_id", "held_out"])
