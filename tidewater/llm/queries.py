@@ -243,3 +243,51 @@ def op13_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.pmod(crc, F.lit(10)) == 0, F.lit(True))
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
     return score_texts(docs, F.col("text"), ~F.col("held_out"), ["doc_id", "held_out"])
+
+
+_OP11_SQL = r"""
+WITH lab AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+             FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+        + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * len(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < coalesce(doc_id, 9223372036854775807), false)::INT AS mask
+      FROM d LEFT JOIN lab USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l(c, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+      FROM l a, l b, l c, l d, l e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31),
+s AS (SELECT filter_order, i::INT AS step, bits[i] AS bit, coalesce(list_sum(bits[1:i - 1]), 0)::INT AS before
+      FROM o, range(1, 6) r(i)),
+p AS (SELECT part, filter_order, step, bit,
+        sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM p
+"""
+
+
+@query("op11_filter_audit", _OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors, removals, redundancies, label losses and Shapley sums of five
+    text filters in all 120 orders, by source."""
+    from .audit import audit_texts
+
+    return audit_texts(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
+@query("op12_feast_whitening")
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 components of the largest variance, whitened."""
+    from .whiten import whiten
+
+    return whiten(C.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
