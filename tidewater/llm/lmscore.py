@@ -150,6 +150,11 @@ def log10_word(pieces: lattice.Pieces, t: Totals, words: list[bytes], c: np.ndar
         return (np.logaddexp(np.log(own), low) - np.log(t.n + 1.0)) / np.log(10)
 
 
+def base_word(t: Totals, c: np.ndarray) -> np.ndarray:
+    """The base: training counts with 0.1 added."""
+    return (c + 0.1) / (t.n + 0.1 * (t.v + 1))
+
+
 def score_words(words: DataFrame, pieces: lattice.Pieces, t: Totals) -> DataFrame:
     """(word, c, uses) -> (h, uses, known, base, lp): one row a distinct word."""
 
@@ -157,9 +162,9 @@ def score_words(words: DataFrame, pieces: lattice.Pieces, t: Totals) -> DataFram
         for b in batches:
             raw = b.column(0).to_pylist()
             c = b.column(1).to_numpy()
-            h = [word_hashes(w)[0] if w != END else np.uint64(0) for w in raw]
-            base = np.log10((c + 0.1) / (t.n + 0.1 * (t.v + 1)))
-            yield pa.record_batch([pa.array(np.array(h, np.uint64).view(np.int64)), b.column(2), pa.array((c > 0).astype(np.int64)),
+            h = word_hashes(b" ".join(raw))  # no word holds a space
+            base = np.log10(base_word(t, c))
+            yield pa.record_batch([pa.array(h.view(np.int64)), b.column(2), pa.array((c > 0).astype(np.int64)),
                                    pa.array(base), pa.array(log10_word(pieces, t, raw, c))], names=["h", "uses", "known", "base", "lp"])
 
     return materialise(words.mapInArrow(run, "h long, uses long, known long, base double, lp double"), "word-scores")
@@ -172,11 +177,13 @@ def score_texts(docs: DataFrame, text: Column, learn: Column, keep: list[str], v
     raw = text.cast("binary")
     words = count_words(docs.select(raw.alias("raw"), F.coalesce(learn, F.lit(False)).alias("learn")))
     t = totals(words)
-    scored = score_words(words, fit(words, vocabulary), t)
+    pieces = fit(words, vocabulary)
+    scored = score_words(words.where(F.col("word") != F.lit(END)), pieces, t)
     top = scored.orderBy(F.col("uses").desc(), "h").limit(FREQUENT).toArrow()
     order = np.argsort(top["h"].to_numpy())
     hot = [top[name].to_numpy()[order] for name in ("h", "known", "base", "lp")]
-    end = np.searchsorted(hot[0], 0)
+    end = [float(t.ends > 0), float(np.log10(base_word(t, np.array(t.ends)))),
+           float(log10_word(pieces, t, [END], np.array([t.ends]))[0])]
     shared = docs.sparkSession.sparkContext.broadcast((hot, end))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row__"), raw.alias("raw__"), *[F.col(f"`{c}`") for c in keep])
@@ -195,10 +202,11 @@ def score_texts(docs: DataFrame, text: Column, learn: Column, keep: list[str], v
             for i in range(n):
                 h = word_hashes((b.column(1)[i].as_py() or b"").lower()).view(np.int64)
                 distinct, uses = np.unique(h, return_counts=True)
-                at = np.minimum(np.searchsorted(held, distinct), len(held) - 1)
-                hit = held[at] == distinct
+                at = np.searchsorted(held, distinct)
+                at[at == len(held)] = 0
+                hit = held[at] == distinct if len(held) else np.zeros(len(distinct), bool)
                 at, n_hit = at[hit], uses[hit]
-                own[:, i] = [len(h) + 1, known[at] @ n_hit + known[end], base[at] @ n_hit + base[end], lp[at] @ n_hit + lp[end]]
+                own[:, i] = [len(h) + 1, known[at] @ n_hit + end[0], base[at] @ n_hit + end[1], lp[at] @ n_hit + end[2]]
                 parts.append((np.full((~hit).sum(), row[i]), distinct[~hit], uses[~hit]))
             none = [pa.nulls(n, pa.int64())] * 2
             longs = [pa.array(x.astype(np.int64)) for x in own[:2]]
