@@ -7,8 +7,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .words import mix
 
@@ -44,3 +46,24 @@ def may_hold(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     for slot in _slots(ids, int(words[-1])):
         ok &= (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
     return ok
+
+
+def in_filter(words: np.ndarray, key: Column) -> Column:
+    """Whether ``key`` (long) may be in the filter, for a whole DataFrame: the
+    filter is broadcast and only the key goes through Python."""
+    sent = SparkSession.getActiveSession().sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def held(ids: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(sent.value, ids.to_numpy(np.int64)))
+
+    return held(key)
+
+
+def split(rows: DataFrame, keys: list[str], ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``keys`` are surely not in ``ids`` (the same columns), and
+    the others, of which few are in it by mistake.  Rows of the first part need
+    no join, so wide rows are not shuffled for a few that are looked for."""
+    words = build(ids.select(F.xxhash64(*keys).alias("key")))
+    flagged = rows.withColumn("maybe__", in_filter(words, F.xxhash64(*keys)))
+    return flagged.where("not maybe__").drop("maybe__"), flagged.where("maybe__").drop("maybe__")

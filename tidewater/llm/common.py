@@ -42,6 +42,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(crc, F.lit(5)) == 0, F.lit(True))
 
 
+def sampled(key: Column, most: int, rows: int) -> Column:
+    """About ``most`` of ``rows`` rows, by a 63-bit hash of ``key``, at any table size."""
+    limit = min(2**63, -(-most * 2**63 // max(1, rows))) - 1
+    return F.shiftrightunsigned(F.xxhash64(key), 1) <= F.lit(limit)
+
+
 #: Rows that Arrow hands to Python at once while a table is written: whole
 #: texts and sets are long, so fewer than Spark's 10,000.
 ARROW_ROWS = 1000

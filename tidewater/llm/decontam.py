@@ -29,7 +29,9 @@ Edge cases: null, blank and empty texts and items match nothing; an item of
 fewer than 5 words is one shingle; a document shorter than the item is one
 window; rows that share an id are searched each by itself and report what any
 of them holds; of equally similar windows the last is reported; null ids count as
-one document and come back null; empty tables give no rows.
+one document and come back null; an item without id, or one of several texts under one id, is searched
+like any other and reported by its id; texts of any length are read whole; other columns are not looked at; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -86,16 +88,16 @@ def _block(mark: Column, i: int) -> Column:
 
 
 def _rare(bench: DataFrame, hundredths: int) -> DataFrame:
-    """(size, h, item_id): the rarest shingles of each item, so many that what
+    """(size, h, item): the rarest shingles of each item, so many that what
     is left weighs less than a match shares."""
-    held = bench.select("item_id", "size", F.explode("grams").alias("h")).groupBy("item_id", "size", "h").agg(
+    held = bench.select("item", "size", F.explode("grams").alias("h")).groupBy("item", "size", "h").agg(
         F.count("*").alias("ic"))
     often = held.groupBy("size", "h").agg(F.count("*").alias("holders"))
-    by_item = Window.partitionBy("item_id", "size")
+    by_item = Window.partitionBy("item", "size")
     upto = F.sum("ic").over(by_item.orderBy("holders", "h").rowsBetween(Window.unboundedPreceding, 0))
     left = F.sum("ic").over(by_item) - upto + F.col("ic")  # weight of this shingle and the more frequent ones
     return held.join(often, ["size", "h"]).withColumn("left", left).withColumn("all", F.sum("ic").over(by_item)).where(
-        F.col("left") * 100 >= F.col("all") * hundredths).select("size", "h", "item_id")
+        F.col("left") * 100 >= F.col("all") * hundredths).select("size", "h", "item")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths: int = 80) -> DataFrame:
@@ -110,10 +112,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", hundredths
 def leaking_texts(docs: DataFrame, items: DataFrame, text: str = "text", hundredths: int = 80) -> DataFrame:
     """The same for each text of an id: (doc, t, item_id, b), with t the
     xxhash64 of the text, b the best window and LAST_ID for a null id."""
+    given = materialise(items.select("item_id", lower_words(F.col(text)).alias("words")).where("words is not null").distinct(), "items")
+    # an item is a text: ids may be missing or stand on several texts
     bench = materialise(
-        items.select("item_id", lower_words(F.col(text)).alias("words")).where("words is not null")
+        given.select("words").distinct().withColumn("item", F.monotonically_increasing_id())
         .withColumn("size", F.size("words")).withColumn("gram", F.least("size", F.lit(SHINGLE)))
         .withColumn("grams", grams(F.col("words"), F.col("gram"))), "bench")
+    ids = given.join(bench.select("words", "item"), "words").select("item", "item_id")
     gram_sizes = [r["gram"] for r in bench.select("gram").distinct().collect()]  # at most SHINGLE rows
     seeds = materialise(bench.select(F.explode("grams").alias("h"), "size", "gram").distinct(), "seeds")
     if seeds.count() <= MAX_BROADCAST:
@@ -147,41 +152,42 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text: str = "text", hundred
 
     # 2. fingerprints
     marks = simhash(windows.select(*key, F.explode("words").alias("w")), key, "w")
-    item_marks = simhash(bench.select("item_id", "size", F.explode("words").alias("w")), ["item_id", "size"], "w")
+    item_marks = simhash(bench.select("item", "size", F.explode("words").alias("w")), ["item", "size"], "w")
 
     # 3. blocks
     near = [m for m in range(2**BITS) if m.bit_count() <= BLOCK_RADIUS]
     listed = item_marks.select(
-        "item_id", "size", F.col("mark").alias("i_mark"),
+        "item", "size", F.col("mark").alias("i_mark"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("mark"), i).alias("v")) for i in range(BLOCKS)])).alias("b"))
-    listed = listed.select("item_id", "size", "i_mark", "b.block", F.col("b.v").alias("v0"), F.explode(F.lit(near)).alias("m"))
-    listed = listed.select("item_id", "size", "i_mark", "block", F.col("v0").bitwiseXOR(F.col("m")).alias("v"))
+    listed = listed.select("item", "size", "i_mark", "b.block", F.col("b.v").alias("v0"), F.explode(F.lit(near)).alias("m"))
+    listed = listed.select("item", "size", "i_mark", "block", F.col("v0").bitwiseXOR(F.col("m")).alias("v"))
     asked = marks.select(
         *key, "mark",
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("mark"), i).alias("v")) for i in range(BLOCKS)])).alias("b"))
     met = asked.select(*key, "mark", "b.block", "b.v").join(listed, ["size", "block", "v"])
-    near_pairs = met.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("i_mark"))) <= RADIUS).select(*key, "item_id")
+    near_pairs = met.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("i_mark"))) <= RADIUS).select(*key, "item")
 
     # matches outside the radius: at least one of the rarest shingles of the item lies in the window
     rare = materialise(_rare(bench, hundredths), "rare")
     if rare.count() <= MAX_BROADCAST:
         rare = F.broadcast(rare)
     laid = windows.select(*key, F.explode(F.array_distinct(grams(F.col("words"), F.col("gram")))).alias("h"))
-    pairs = near_pairs.unionByName(laid.join(rare, ["size", "h"]).select(*key, "item_id")).distinct()
+    pairs = near_pairs.unionByName(laid.join(rare, ["size", "h"]).select(*key, "item")).distinct()
 
     # 4. exact similarity
     counts = windows.select(*key, F.explode(grams(F.col("words"), F.col("gram"))).alias("h")).groupBy(*key, "h").agg(
         F.count("*").alias("c"))
-    item_counts = bench.select("item_id", F.size("grams").alias("i_all"), F.explode("grams").alias("h")).groupBy(
-        "item_id", "i_all", "h").agg(F.count("*").alias("ic"))
+    item_counts = bench.select("item", F.size("grams").alias("i_all"), F.explode("grams").alias("h")).groupBy(
+        "item", "i_all", "h").agg(F.count("*").alias("ic"))
     every = windows.select(*key, F.size(grams(F.col("words"), F.col("gram"))).alias("all"))
     shared = (
-        pairs.join(counts, key).join(item_counts, ["item_id", "h"])
-        .groupBy(*key, "item_id", "i_all").agg(F.sum(F.least("c", "ic")).alias("both"))
+        pairs.join(counts, key).join(item_counts, ["item", "h"])
+        .groupBy(*key, "item", "i_all").agg(F.sum(F.least("c", "ic")).alias("both"))
         .join(every.distinct(), key)
     )
     either = F.col("all") + F.col("i_all") - F.col("both")
     return (
         shared.where(F.col("both") * 100 >= either * hundredths)
-        .groupBy("doc", "t", "item_id").agg(F.max(F.struct((F.col("both") / either).alias("s"), "start")).alias("b"))
+        .groupBy("doc", "t", "item").agg(F.max(F.struct((F.col("both") / either).alias("s"), "start")).alias("b"))
+        .join(ids, "item").select("doc", "t", "item_id", "b")
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import ready, sampled
 from .ngrams import groups, hashed
 
 SIZES = (1, 2, 3)
@@ -45,9 +45,7 @@ class LanguageModel:
 def learn(labelled: DataFrame, max_train: int = MAX_TRAIN, alpha: float = 0.1) -> LanguageModel:
     """``labelled`` (doc_id, text, lang): rows with text and lang to learn from."""
     rows = labelled.where("text is not null and lang is not null")
-    n = rows.count()
-    share = int(min(1.0, max_train / max(1, n)) * 1_000_000)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    sample = rows.where(sampled(F.col("doc_id"), max_train, rows.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}

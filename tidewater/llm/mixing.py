@@ -14,9 +14,10 @@ themselves are only compared with it: their texts are not shuffled here.  The
 only global step is one row per source.
 
 Edge cases: null text has size 0; null source is a source of its own, last in
-order; a source of size 0 has target 0; equal keys are ordered by id, then
-size; rows that repeat an id and size are taken together; a null id hashes as the text ``null``; an empty table gives no rows;
-input columns that carry a name of the result are replaced.
+order; a source of size 0 has target 0; equal keys are ordered by id, size and
+``tie`` (such as a digest of the text), and a null id is hashed by ``tie``, so rows without id are taken at random
+like others; rows equal in all of these are taken together, none more often than ``max_epochs`` allows; texts of any
+length count whole; an empty table gives no rows; input columns that carry a name of the result are replaced.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ from .common import materialise
 _U_BITS = 52
 
 
-def unit_hash(doc_id: Column, seed: str) -> Column:
-    """Uniform number in (0, 1) decided by the id and the seed."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def unit_hash(doc_id: Column, seed: str, tie: Column) -> Column:
+    """Uniform number in (0, 1) decided by the seed and the id, or by ``tie`` where there is none."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), tie)))
     bits = F.conv(F.substring(F.md5(text), 1, _U_BITS // 4), 16, 10).cast("long")
     return (bits.cast("double") + 0.5) / F.lit(float(2**_U_BITS))
 
@@ -73,17 +74,18 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float,
 
 
 def mix_to_targets(docs: DataFrame, size: Column, quality: Column, weights: Sequence[float] = (5, 2, 1),
-                   share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix") -> DataFrame:
+                   share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix", tie: Column | None = None) -> DataFrame:
     """``docs`` (doc_id, source, ...) plus ``size``, ``source_size``,
     ``target`` (its source's), ``copies`` (times the mix takes the document)
     and ``taken`` (``copies * size``)."""
+    tie = F.coalesce((F.lit("") if tie is None else tie).cast("string"), F.lit(""))
     new = {"size", "source_size", "target", "copies", "taken"}
     keep = [c for c in docs.columns if c not in new]
-    key = -F.log(unit_hash(F.col("doc_id"), seed)) / F.col("__q")
+    key = -F.log(unit_hash(F.col("doc_id"), seed, F.col("__tie"))) / F.col("__q")
     rows = (
-        docs.withColumns({"__size": size, "__q": F.greatest(quality.cast("double"), F.lit(1e-9))})
+        docs.withColumns({"__size": size, "__q": F.greatest(quality.cast("double"), F.lit(1e-9)), "__tie": tie})
         .withColumn("__key", key)
-        .select(*keep, F.col("__size").cast("long").alias("size"), "__key")
+        .select(*keep, F.col("__size").cast("long").alias("size"), "__key", "__tie")
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("__n"))
     plan = materialise(
@@ -93,12 +95,12 @@ def mix_to_targets(docs: DataFrame, size: Column, quality: Column, weights: Sequ
         .withColumn("__rest", F.col("target") - F.col("__epochs") * F.col("source_size")),
         "mix-plan")
     # the order of a source, on narrow rows: running sums by key range, then inside it
-    units = rows.groupBy("source", "__key", "doc_id", "size").agg(F.count("*").alias("__rows"))
+    units = rows.groupBy("source", "__key", "doc_id", "size", "__tie").agg(F.count("*").alias("__rows"))
     units = units.withColumn("__sum", F.col("size") * F.col("__rows"))
     place = F.floor((1 - F.exp(-F.col("__key"))) * F.ceil(F.sqrt(F.col("__n")))).cast("long")
     here = materialise(
         units.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-        .select("__s", "__rest", place.alias("__range"), F.struct("__key", "doc_id", "size").alias("__at"), "__sum"), "mix-order")
+        .select("__s", "__rest", place.alias("__range"), F.struct("__key", "doc_id", "size", "__tie").alias("__at"), "__sum"), "mix-order")
     base = (
         here.groupBy("__s", "__range").agg(F.sum("__sum").alias("__base"))
         .withColumn("__base", F.sum("__base").over(Window.partitionBy("__s").orderBy("__range")) - F.col("__base"))
@@ -113,10 +115,11 @@ def mix_to_targets(docs: DataFrame, size: Column, quality: Column, weights: Sequ
     )
     edge = taken.groupBy("__s").agg(F.max("__at").alias("__edge"))
     rule = materialise(plan.withColumnRenamed("source", "__ps").join(edge, F.col("__ps").eqNullSafe(F.col("__s")), "left").drop("__s"), "mix-rule")
-    last = F.coalesce(F.struct("__key", "doc_id", "size") <= F.col("__edge"), F.lit(False))
+    last = F.coalesce(F.struct("__key", "doc_id", "size", "__tie") <= F.col("__edge"), F.lit(False))
     return (
         rows.join(rule, F.col("source").eqNullSafe(F.col("__ps")))
-        .withColumn("copies", F.col("__epochs") + last.cast("long"))
+        # empty documents at the front of the order would get one more where nothing is left to take
+        .withColumn("copies", F.least(F.col("__epochs") + last.cast("long"), F.ceil(F.lit(float(max_epochs)))))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select(*keep, "size", "source_size", "target", "copies", "taken")
     )

@@ -36,13 +36,19 @@ def quality_weights(labels: DataFrame) -> DataFrame:
     return best.select("doc_id", weight.alias("__quality"))
 
 
+def text_tie(text):
+    """Orders rows that share an id: a digest of the text."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 _OP1_SQL = r"""
 WITH lab AS (SELECT doc_id, max(quality) q FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 d AS (
   SELECT doc_id, source,
     CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
     CASE lab.q WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS w,
-    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
+    md5(coalesce(text, '')) AS tie,
+    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE + 0.5)
       / 4503599627370496.0::DOUBLE AS u
   FROM documents LEFT JOIN lab USING (doc_id)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -60,7 +66,7 @@ s5 AS (SELECT *, CASE WHEN first_open IS NOT NULL AND rk >= first_open
 s6 AS (SELECT source, source_size, target,
          CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM s5),
 r AS (SELECT d.*, s6.source_size, s6.target, s6.epochs,
-        sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / w, doc_id, size
+        sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / w, doc_id, size, tie
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start_at
       FROM d JOIN s6 ON d.source IS NOT DISTINCT FROM s6.source)
 SELECT doc_id, size, source_size, target,
@@ -75,9 +81,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_to_targets
 
     docs = C.table(spark, sf_dir, "documents").select(
-        "doc_id", "source", C.word_count(F.col("text")).alias("__words"))
+        "doc_id", "source", C.word_count(F.col("text")).alias("__words"), text_tie(F.col("text")).alias("__digest"))
     docs = C.materialise(docs.join(quality_weights(C.table(spark, sf_dir, "labels")), "doc_id", "left"), "mix-docs")
-    mixed = mix_to_targets(docs, F.col("__words"), F.coalesce("__quality", F.lit(1.0)))
+    mixed = mix_to_targets(docs, F.col("__words"), F.coalesce("__quality", F.lit(1.0)), tie=F.col("__digest"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

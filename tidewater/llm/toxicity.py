@@ -11,11 +11,12 @@ over the training rows with the weights broadcast.
 Only the fit is bounded: ``max_train`` labelled rows chosen by a hash of the
 id, and ``features`` n-gram buckets.  Scoring reads every whole text.
 
-Edge cases: null and empty texts score the intercept; with one class or
-nothing to learn from every score is 0.5 for no rows, else the smoothed share
+Edge cases: null and empty texts score the intercept, texts of any length are
+read whole; with one class or nothing to learn from the model is not ``fitted``
+(a column says so) and every score is 0.5 for no rows, else the smoothed share
 of toxic rows; a document labelled twice is learned from once for each label;
 null ids are never learned from; repeated rows are scored alike; an empty
-table gives no rows.
+table gives no rows; columns that are not kept may have any name.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ready
+from .common import materialise, ready, sampled
 from .ngrams import GROUP, groups, hashed
 
 SIZES = (4, 5)
@@ -44,6 +45,8 @@ TRAIN_PARTS = 12
 class ToxicityModel:
     weight: np.ndarray  # by bucket; 0 where a bucket is no feature
     bias: float
+    #: Whether there were rows of both classes to learn from.
+    fitted: bool = True
 
 
 def present(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -97,16 +100,15 @@ def learn(labelled: DataFrame, max_train: int = MAX_TRAIN, features: int = FEATU
     """``labelled`` (doc_id, text, toxic): rows to learn from."""
     ready(labelled.sparkSession)
     rows = labelled.where("toxic is not null")
-    share = int(min(1.0, max_train / max(1, rows.count())) * 1_000_000)
     train = materialise(
-        rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+        rows.where(sampled(F.col("doc_id"), max_train, rows.count()))
         .select(F.lower("text").alias("text"), (F.col("toxic") > 0).cast("long").alias("y"))
         .repartition(TRAIN_PARTS), "toxic-train")
     has1, has0, n1, n0 = _document_counts(train)
     weight = np.zeros((1 << BITS) + 1, np.float32)
     bias = float(np.log((n1 + 0.5) / (n0 + 0.5)))
     if not n1 or not n0:
-        return ToxicityModel(weight, bias)
+        return ToxicityModel(weight, bias, fitted=False)
     ratio = np.log((has1 + 1) / (n1 + 2)) - np.log((has0 + 1) / (n0 + 2))
     both = has1 + has0
     expected = both * n1 / (n1 + n0)
@@ -203,7 +205,7 @@ def minimise(loss, v: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: Column, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``score`` (0 to 1) and ``predicted`` (score >= 0.5)."""
+    """``keep`` columns plus ``score`` (0 to 1), ``predicted`` (score >= 0.5) and ``fitted``."""
     ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.lower(text).alias("__text"))
@@ -220,4 +222,4 @@ def score(docs: DataFrame, model: ToxicityModel, text: Column, keep: list[str])
             yield pa.record_batch([*b.columns[:-1], pa.array(out), pa.array((out >= 0.5).astype(np.int32))],
                                   names=[*b.schema.names[:-1], "score", "predicted"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).withColumn("fitted", F.lit(model.fitted))
