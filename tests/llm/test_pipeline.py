@@ -53,3 +53,29 @@ def test_run_on_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         common.table(spark, SF_SMALL, t).where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark, tmp_path):
+    """Extra columns that carry the stages' own names come back unchanged."""
+    item = " ".join(f"b{i}" for i in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int").withColumn("quality", F.lit(1)).write.parquet(
+        f"{tmp_path}/labels.parquet")
+    rows = [(i, f"text number {i} " + ("nasty stuff" if i % 2 else "fine words") * 3, "en", "s") for i in range(40)]
+    rows += [(50, item, "en", "s"), (51, "fine words alone", "en", "s"), (51, "fine words alone", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    odd = {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("k__", "h__", "t__", "maybe__", "n", "size", "copies", "words__", "label")}
+    before = docs = docs.withColumns(odd)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, str(tmp_path))
+        assert after.columns == docs.columns
+        assert all(r[c] == f"{c}{r.doc_id}" for r in after.collect() for c in odd)
+        before = after
+
+
+def test_no_labels_no_classifier(spark, tmp_path):
+    common.table(spark, SF_SMALL, "labels").where("false").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = common.table(spark, SF_SMALL, "documents")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()
+    docs.limit(0).select(F.lit(1).alias("item_id"), "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).count() == docs.count()
