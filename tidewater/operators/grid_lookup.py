@@ -106,49 +106,120 @@ def _corners(lat: Column, lon: Column, max90: bool):
     return x1, x2, y1, y2
 
 
-def bilinear_lookup(df: DataFrame, field: DataFrame, value: str, out: str, key: str = "uid", n: int = 73,
-                    lat="lat", lon="lon", mo="mo", dy="dy") -> DataFrame:
+def corner_stencil(field: DataFrame, value: str) -> DataFrame:
+    """J13, the field's side: (t, r, c, nw, ne, sw, se) for every node of the
+    1-degree grid, the point where four cells meet (r = 0 .. 180 from the
+    north, c = 0 .. 359 the column east of it).  Beyond a pole a node has the
+    polar row on both sides.  Laid out once for a field, so a report needs one
+    key and one join; nodes without any value are absent."""
+    cells = field.where(F.col(value).isNotNull()).select("t", "y", "x", F.col(value).cast("double").alias("v"))
+    last = 179
+    polar = F.when(F.col("y") == 0, F.lit(0)).when(F.col("y") == last, F.lit(last + 1))
+    east = F.pmod(F.col("x") + 1, F.lit(360))  # the node at a cell's eastern edge
+    parts = [F.struct(row.alias("r"), col.alias("c"), F.lit(f"{ns}{we}").alias("k"))
+             for row, sides in ((F.col("y"), "s"), (F.col("y") + 1, "n"), (polar, "ns")) for ns in sides
+             for col, we in ((F.col("x"), "e"), (east, "w"))]
+    # a cell lies south of the node row above it and north of the one below; polar rows lie on both
+    # sides of the pole's own row, where one of the two is laid out already
+    at_pole = F.array_distinct(F.filter(F.array(*parts), lambda e: e["r"].isNotNull()))
+    laid = cells.select("t", "v", F.explode(at_pole).alias("e"))
+    return laid.groupBy("t", F.col("e.r").alias("r"), F.col("e.c").alias("c")).agg(
+        *[F.max(F.when(F.col("e.k") == k, F.col("v"))).alias(k) for k in ("nw", "ne", "sw", "se")])
+
+
+def bilinear_lookup(df: DataFrame, field: DataFrame, value: str, out: str, n: int = 73, lat="lat", lon="lon",
+                    mo="mo", dy="dy", stencil: DataFrame | None = None,
+                    broadcast_limit_bytes: int | None = None) -> DataFrame:
     """Bilinear interpolation of a 1-degree field at each report.
 
-    Four probes 0.001 degrees around the point (north probes only below 90,
-    south only above -90) must find at least one value, else NULL.  The four
-    surrounding cell centres are looked up; a missing corner is filled from
-    the mean of its two neighbours, else the opposite corner (in the order
-    q11, q22, q12, q21); the value is interpolated with the polar rows
-    extended to +-90.5.  All eight lookups of a report are exploded and
-    fetched with ONE equi-join, then pivoted back by a group-by on ``key``.
-    """
+    The four cell centres around the point are one row of the field's
+    ``corner_stencil`` (pass a stored one, or it is laid out here), fetched by
+    one join on the node.  Four probes 0.001 degrees around the point (north
+    probes only below 90, south only above -90) lie in these cells; at least one must
+    have a value, else NULL.  A missing corner is filled from the mean of
+    its two neighbours, else the opposite corner; the value is interpolated
+    with the polar rows extended to +-90.5."""
     la, lo = F.col(lat), G.lon180(F.col(lon))
     ok = valid_day_2004(mo, dy) & la.isNotNull() & lo.isNotNull()
     t = F.when(ok, G.time_index(n, F.col(mo), F.col(dy))) if n != 1 else F.when(ok, F.lit(0))
     x1, x2, y1, y2 = _corners(la, lo, True)
-    pts = [("p1", la + 0.001, lo + 0.001, la + 0.001 < 90), ("p2", la + 0.001, lo - 0.001, la + 0.001 < 90),
-           ("p3", la - 0.001, lo + 0.001, la - 0.001 > -90), ("p4", la - 0.001, lo - 0.001, la - 0.001 > -90),
-           ("q11", y1, x1, F.lit(True)), ("q22", y2, x2, F.lit(True)), ("q12", y2, x1, F.lit(True)),
-           ("q21", y1, x2, F.lit(True))]
-    probes = df.select(F.col(key).alias("_key"), t.alias("t"), F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), G.reg_yindex(py).alias("y"), G.reg_xindex(px).alias("x"),
-                 use.alias("use")) for name, py, px, use in pts])).alias("_p"))
-    probes = probes.where(F.col("_p.use")).select("_key", "t", F.col("_p.name").alias("name"),
-                                                  F.col("_p.y").alias("y"), F.col("_p.x").alias("x"))
-    vals = probes.join(field.select("t", "y", "x", F.col(value).alias("_v")), ["t", "y", "x"], "left")
-    piv = vals.groupBy("_key").agg(*[F.max(F.when(F.col("name") == nm, F.col("_v"))).alias(f"_{nm}")
-                                     for nm, *_ in pts])
-    q11, q22, q12, q21 = (F.col(f"_q{c}") for c in ("11", "22", "12", "21"))
+    d = df.withColumns({"_t": t, "_yn": G.reg_yindex(y2), "_ys": G.reg_yindex(y1), "_xw": G.reg_xindex(x1), "_xe": G.reg_xindex(x2)})
+    node = F.when(F.col("_yn") != F.col("_ys"), F.col("_ys")).when(F.col("_yn") == 0, F.lit(0)).otherwise(F.lit(180))
+    d = d.withColumns({"_r": node, "_c": F.col("_xe")})
+    side = stencil if stencil is not None else corner_stencil(field, value)
+    side = side.select(F.col("t").alias("_t"), F.col("r").alias("_r"), F.col("c").alias("_c"),
+                       *[F.col(k).alias(f"_{k}") for k in ("nw", "ne", "sw", "se")])
+    d = d.join(sized_join_side(side, n, 1.0, 4, broadcast_limit_bytes), ["_t", "_r", "_c"], "left")
+    q11, q22, q12, q21 = (F.col(c) for c in ("_sw", "_ne", "_nw", "_se"))
+
+    def probe(py, px, use):
+        row, col = G.reg_yindex(py), G.reg_xindex(px)
+        north, west = row == F.col("_yn"), col == F.col("_xw")
+        cell = F.when(north & west, q12).when(north, q22).when(west, q11).otherwise(q21)
+        return use & cell.isNotNull()
+
+    seen = (probe(la + 0.001, lo + 0.001, la + 0.001 < 90) | probe(la + 0.001, lo - 0.001, la + 0.001 < 90)
+            | probe(la - 0.001, lo + 0.001, la - 0.001 > -90) | probe(la - 0.001, lo - 0.001, la - 0.001 > -90))
 
     def mean2(a, b):
         return F.when(a.isNotNull() & b.isNotNull(), (a + b) / 2.0).otherwise(F.coalesce(a, b))
 
-    f11 = F.coalesce(q11, mean2(q12, q21), q22)
-    f22 = F.coalesce(q22, mean2(q12, q21), q11)
-    f12 = F.coalesce(q12, mean2(q11, q22), q21)
-    f21 = F.coalesce(q21, mean2(q11, q22), q12)
-    any_probe = F.col("_p1").isNotNull() | F.col("_p2").isNotNull() | F.col("_p3").isNotNull() | F.col("_p4").isNotNull()
-    piv = piv.select("_key", any_probe.alias("_any"), f11.alias("_f11"), f22.alias("_f22"), f12.alias("_f12"),
-                     f21.alias("_f21"))
-    j = df.join(piv, F.col(key) == F.col("_key"), "left")
+    d = d.withColumns({
+        "_any": seen, "_f11": F.coalesce(q11, mean2(q12, q21), q22), "_f22": F.coalesce(q22, mean2(q12, q21), q11),
+        "_f12": F.coalesce(q12, mean2(q11, q22), q21), "_f21": F.coalesce(q21, mean2(q11, q22), q12)})
     bx1, bx2, by1, by2 = _corners(la, lo, False)
     val = (F.col("_f11") * (bx2 - lo) * (by2 - la) + F.col("_f21") * (lo - bx1) * (by2 - la)
            + F.col("_f12") * (bx2 - lo) * (la - by1) + F.col("_f22") * (lo - bx1) * (la - by1)) \
         / ((bx2 - bx1) * (by2 - by1))
-    return j.withColumn(out, F.when(F.col("_any"), val)).drop("_key", "_any", "_f11", "_f22", "_f12", "_f21")
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.when(F.col("_any"), val).alias(out))
+
+
+# --- J11: fields too large to broadcast -----------------------------------------------
+#: Latitude bands of a stored time slice.
+BANDS = 12
+
+
+def write_slices(field: DataFrame, path: str, res: float) -> None:
+    """Store a field (t, y, x, values) by time step and latitude band, so that
+    a lookup reads only the parts of the world and year its reports lie in."""
+    band = F.floor(F.col("y") * BANDS / round(180 / res)).cast("int")
+    (field.withColumn("band", band).repartition("t", "band").sortWithinPartitions("t", "band", "y", "x")
+     .write.mode("overwrite").partitionBy("t", "band").parquet(path))
+
+
+def slice_lookup(df: DataFrame, path: str, values: dict[str, str], n: int = 365, res: float = 0.25, style: str = "regular",
+                 lat="lat", lon="lon", mo="mo", dy="dy") -> DataFrame:
+    """Field columns ``values`` ({field_col: output_col}) of a field
+    stored by ``write_slices``, for the rows of ``df``, which should be narrow
+    (a key and what is checked): they are shuffled once, by cell.
+
+    A 0.25-degree field of 365 steps has 378 million cells, too many to
+    broadcast or to sort for every run.  The slices to read are the time steps
+    and bands in which there are reports (at most n * BANDS pairs, found by a
+    small aggregation); within them a semi-join with the occupied cells leaves
+    no more rows than there are cells with reports, and those are joined."""
+    spark = df.sparkSession
+    keyed = cell_keys(df, n, res, style, lat, lon, mo, dy)
+    band = F.floor(F.col("_ky") * BANDS / round(180 / res)).cast("int")
+    keyed = keyed.withColumn("_kb", F.when(F.col("_kt").isNotNull(), band))
+    here = F.col("_kt").isNotNull()
+    located = keyed.where(here)
+    wanted = [(r[0], r[1]) for r in located.select("_kt", "_kb").distinct().collect()]  # at most n * BANDS
+    field = spark.read.parquet(path)
+    steps: dict[int, list[int]] = {}
+    for step, b in wanted:
+        steps.setdefault(b, []).append(step)
+    parts = F.lit(False)
+    for b, s in sorted(steps.items()):
+        parts = parts | ((F.col("band") == b) & F.col("t").isin(sorted(s)))
+    cells = located.select("_kt", "_ky", "_kx").distinct()
+    # values under their own names: an output may be called like another field column
+    side = field.where(parts).select(F.col("t").alias("_kt"), F.col("y").alias("_ky"), F.col("x").alias("_kx"),
+                                     *[F.col(src).alias(f"_v{i}") for i, src in enumerate(values)])
+    occupied = side.hint("merge").join(cells, ["_kt", "_ky", "_kx"], "left_semi")
+    found = located.join(occupied, ["_kt", "_ky", "_kx"], "left")
+    out = [F.col(f"_v{i}").alias(dst) for i, dst in enumerate(values.values())]
+    types = [side.schema[f"_v{i}"].dataType for i in range(len(values))]
+    none = keyed.where(~here).select(*[F.col(f"`{c}`") for c in df.columns],
+                                     *[F.lit(None).cast(t).alias(dst) for t, dst in zip(types, values.values(), strict=True)])
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], *out).unionByName(none)

@@ -24,7 +24,7 @@ from tidewater.functions.grid import lon180
 from tidewater.operators.base_qc import is_generic_id
 from tidewater.params import KM_TO_NM
 from tidewater.params import parameters as default_parameters
-from tidewater.session import cut_lineage
+from tidewater.session import stage_table
 
 ORDER = ("ts", "hr", "uid")
 
@@ -258,23 +258,33 @@ def track_check(df: DataFrame, params: dict | None = None, id_col: str = "id",
 
 
 def track_check_iterative(df: DataFrame, params: dict | None = None, id_col: str = "id",
-                          passes: int = 4, checkpoint: bool = True) -> DataFrame:
+                          passes: int = 4) -> DataFrame:
     """Run W5, drop flagged reports, rerun on the rest; a report flagged
-    in any pass keeps its flag.  At most ``passes`` re-runs (bounded driver
-    loop); lineage is cut after each pass with a reliable checkpoint."""
-    first = track_check(df, params, id_col)
-    flagged = first.select("uid", F.col("trk").alias("_t"), "few")
-    master = flagged
-    remaining = df.join(flagged.where(F.col("_t") == 0).select("uid"), "uid", "left_semi")
-    for _ in range(passes):
-        if checkpoint:
-            remaining = cut_lineage(remaining)
-        rerun = track_check(remaining, params, id_col).select("uid", F.col("trk").alias("_t2"))
-        newly = rerun.where(F.col("_t2") == 1).select("uid")
-        master = master.join(newly.withColumn("_hit", F.lit(1)), "uid", "left").withColumn(
-            "_t", F.when(F.col("_hit") == 1, F.lit(1)).otherwise(F.col("_t"))).drop("_hit")
-        remaining = remaining.join(newly, "uid", "left_anti")
-    return df.join(master.select("uid", F.col("_t").alias("trk"), "few"), "uid", "left")
+    in any pass keeps its flag.  At most ``passes`` reruns.
+
+    A platform without a newly flagged report would get the same flags again,
+    so a pass reads only the platforms that the pass before changed; it stops
+    when there are none.  Each pass is stored (narrow rows of those platforms)
+    and the next one reads it."""
+    narrow = df.select("uid", F.col(id_col), *[c for c in _TRACK_INPUT if c != id_col])
+    state = stage_table(track_check(narrow, params, id_col), "track-0")
+    out = [state.select("uid", "trk", "few")]
+    for k in range(1, passes + 1):
+        changed = state.where("trk = 1").select(id_col).distinct()
+        if changed.isEmpty():
+            break
+        again = state.where("trk = 0").join(changed, id_col, "left_semi").drop("trk", "few")
+        state = stage_table(track_check(again, params, id_col), f"track-{k}")
+        out.append(state.where("trk = 1").select("uid", "trk", F.lit(None).cast("int").alias("few")))
+    flags = out[0]
+    for later in out[1:]:
+        flags = flags.unionByName(later)
+    flags = flags.groupBy("uid").agg(F.max("trk").alias("trk"), F.max("few").alias("few"))
+    return df.join(flags, "uid", "left")
+
+
+#: Report columns that the track check reads.
+_TRACK_INPUT = ["id", "yr", "mo", "dy", "hr", "lat", "lon", "ds", "vs", "pt", "dck", "ts"]
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, key: str, other: str) -> DataFrame:

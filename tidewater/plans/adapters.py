@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -156,7 +157,9 @@ def _materialise(spark: SparkSession, key: tuple, build) -> DataFrame:
     if path is not None:
         try:
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - folder gone (new session, cleaned scratch): rebuild
+        except AnalysisException as gone:  # folder cleaned: rebuild; anything else is an error
+            if gone.getCondition() != "PATH_NOT_FOUND":
+                raise
             path = None
     if path is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -197,6 +200,11 @@ def _static(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return _materialise(spark, ("static", name), lambda: spark.sql(sql))
 
 
+def stored(spark: SparkSession, name: str, build) -> DataFrame:
+    """A table laid out once per session from a static field."""
+    return _materialise(spark, ("stored", name), build)
+
+
 def climatology(spark: SparkSession) -> DataFrame:
     return _static(spark, "clim", clim_sql("spark"))
 
@@ -393,6 +401,18 @@ def background_sql(dialect: str) -> str:
     return BACKGROUND_SQL.replace("@@cells@@", _BG_CELLS[dialect])
 
 
+# daily SST normals at 0.25 degree (365 x 720 x 1440 cells, 8 % of them sea): in
+# every group of 12 columns one cell has a value
+HIRES_SQL = """
+SELECT t, y, CAST(12 * k + (2 * CAST(floor(y / 4) AS INT) + t) % 12 AS INT) AS x,
+       CAST(28 AS DOUBLE) - CAST(abs(2 * y - 719) AS DOUBLE) / 32 + CAST(t % 10 AS DOUBLE) / 8 AS sst
+FROM (
+  SELECT CAST(floor(id / 86400) AS INT) AS t, CAST(floor((id % 86400) / 120) AS INT) AS y, CAST(id % 120 AS INT) AS k
+  FROM range(0, 31536000)
+) g
+"""
+
+
 # seasonal background error variance on the same 5-degree grid
 BGVAR_SQL = """
 SELECT season, y, x,

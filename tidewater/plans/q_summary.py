@@ -283,7 +283,8 @@ SELECT uid, round(CASE WHEN anyp THEN (f11 * (bx2 - lo) * (by2 - lat) + f21 * (l
 @register("clim_interpolated", _interp_sql())
 def q_clim_interpolated(spark: SparkSession, sf: str) -> DataFrame:
     """SST climatology bilinearly interpolated to each report."""
-    from tidewater.operators.grid_lookup import bilinear_lookup
+    from tidewater.operators.grid_lookup import bilinear_lookup, corner_stencil
     r = A.reports(spark, sf).select("uid", "lat", "lon", "mo", "dy")
-    out = bilinear_lookup(r, A.climatology(spark), "sst", "sst_interp", key="uid")
+    stencil = A.stored(spark, "sst-stencil", lambda: corner_stencil(A.climatology(spark), "sst"))
+    out = bilinear_lookup(r, A.climatology(spark), "sst", "sst_interp", stencil=stencil)
     return out.select("uid", F.round("sst_interp", 6).alias("sst_interp"))

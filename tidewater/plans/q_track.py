@@ -163,7 +163,23 @@ def q_track_check(spark: SparkSession, sf: str) -> DataFrame:
     return TR.track_check(voyage_input(spark, sf)).select("uid", "trk", "few")
 
 
-@register("track_check_iterative")
+def _track_passes_sql(passes: int = 5) -> str:
+    """The five passes of W6 one after the other, each over all reports left."""
+    chain = _voyage_ctes()[len(_valid_ctes()) + 2:]
+    head, verdict = _track_sql().split("t AS (SELECT uid, ", 1)
+    verdict = verdict.split(" FROM w8)", 1)[0]
+    out = [_valid_ctes(), "v1 AS MATERIALIZED (SELECT * FROM v)"]
+    for k in range(1, passes + 1):
+        out.append(f"t{k} AS MATERIALIZED (WITH {chain.replace('FROM v WHERE', f'FROM v{k} WHERE')}\nSELECT uid, {verdict} FROM w8)")
+        out.append(f"v{k + 1} AS MATERIALIZED (SELECT * FROM v{k} WHERE uid NOT IN (SELECT uid FROM t{k} WHERE trk = 1))")
+    hit = " UNION ALL ".join(f"SELECT uid FROM t{k} WHERE trk = 1" for k in range(1, passes + 1))
+    return "WITH " + ",\n".join(out) + f""",
+hit AS ({hit})
+SELECT v.uid, CASE WHEN v.uid IN (SELECT uid FROM hit) THEN 1 ELSE 0 END AS trk, coalesce(t1.few, 0) AS few
+FROM v LEFT JOIN t1 ON t1.uid = v.uid"""
+
+
+@register("track_check_iterative", _track_passes_sql())
 def q_track_check_iterative(spark: SparkSession, sf: str) -> DataFrame:
     """Track check re-run up to 4 times without the flagged reports."""
     return TR.track_check_iterative(voyage_input(spark, sf)).select("uid", "trk", "few")

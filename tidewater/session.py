@@ -66,6 +66,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: cuts the lineage like a checkpoint, but keeps columns prunable."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[int] = set()
 
 

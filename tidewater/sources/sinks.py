@@ -7,9 +7,12 @@ partitions they produce (``partitionOverwriteMode=dynamic``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import stage_table
+
 PIPE = "|"
 
 
@@ -39,6 +42,52 @@ def write_by_month(df: DataFrame, path: str, order: list[str] | None = None, pie
      .partitionBy(*by).csv(path, sep=PIPE, header=False, nullValue=""))
 
 
+def reindex_tracking(spark: SparkSession, source: str, columns: list[str]) -> DataFrame:
+    """K9: rows of all tracking files below ``source`` but those of edge cases
+    (chunks that may still change), all text, with the report month."""
+    rows = (spark.read.option("recursiveFileLookup", "true").csv(source, header=True, schema=", ".join(f"`{c}` string" for c in columns))
+            .where(~F.contains(F.col("_metadata.file_path"), F.lit("edge_case"))))
+    return rows.withColumns({"year": F.col("YR").cast("int"), "month": F.col("MO").cast("int")})
+
+
+def merge_months(rows: DataFrame, path: str, key: str = "UID", by: tuple[str, str] = ("year", "month"),
+                 pieces: int = 16) -> list[tuple[int, int]]:
+    """K9: merge ``rows`` into a table stored by month and sorted by ``key``:
+    a row that is there already is replaced, and only months that ``rows`` has
+    are read and rewritten.  Returns these months.
+
+    Within a month the files are ranges of the key, dealt to ``pieces`` tasks a
+    month, so a month needs no single task.  The merged months are staged in the
+    checkpoint folder before they replace the old ones."""
+    spark = rows.sparkSession
+    new = stage_table(rows, "tracking-new")
+    months = sorted((r[0], r[1]) for r in new.select(*by).distinct().collect())  # as many as there are months
+    if not months:
+        return []
+    merged = new
+    if _exists(spark, path):
+        own = F.lit(False)
+        for y in sorted({m[0] for m in months}):
+            own = own | ((F.col(by[0]) == y) & F.col(by[1]).isin([m[1] for m in months if m[0] == y]))
+        # partition columns are filters on folders: other months are not read
+        old = spark.read.csv(path, header=True, schema=new.schema).where(own)
+        merged = new.unionByName(old.join(new.select(*by, key), [*by, key], "left_anti").select(*new.columns))
+    merged = stage_table(merged, "tracking-merged")
+    (_replace(merged.repartitionByRange(pieces * len(months), *by, key).sortWithinPartitions(*by, key))
+     .partitionBy(*by).csv(path, header=True, emptyValue=""))
+    return months
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def flag_block(df: DataFrame, parameter: str, flags: list[str], uid: str = "uid",
                month_match: str | None = "month_match") -> DataFrame:
     """K6: UID plus the parameter's flags, never-set flags printed as 9,
