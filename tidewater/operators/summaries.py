@@ -224,3 +224,79 @@ def station_all(yearly: DataFrame) -> DataFrame:
         F.concat(F.lit("{"), F.array_join(others, ","), F.lit("}")).alias("alternative_name"),
         (F.col("_uniq") == 1).alias("consistent"),
     )
+
+
+# --- A12 / A13: roll-ups over a mergeable state ---------------------------------------
+# FIXED VALUES: station fields that must have one value per station.
+UNIQUE_FIELDS = [
+    "secondary_id", "secondary_id_scheme", "station_abbreviation", "station_crs", "longitude", "latitude", "local_gravity",
+    "station_type", "platform_sub_type", "operating_institute", "operating_territory", "city", "contact", "role",
+    "observing_frequency", "reporting_time", "telecommunication_method", "station_automation", "measuring_system_model",
+    "measuring_system_id", "comment", "optional_data", "metadata_contact", "metadata_contact_role",
+]
+RECORD_KEYS = ["primary_station_id", "primary_station_id_scheme", "station_record_number", "platform_type"]
+_EXTENT = {"start_date": F.min, "end_date": F.max, "bbox_min_lon": F.min, "bbox_max_lon": F.max,
+           "bbox_min_lat": F.min, "bbox_max_lat": F.max}
+
+
+def _list_of(col: str) -> Column:
+    return F.filter(F.split(F.coalesce(F.col(col), F.lit("")), ","), lambda x: (x != "") & (x != "NULL"))
+
+
+def station_state(records: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Station records in the form that ``merge_stations`` adds up: of every
+    unique field its smallest and largest value and whether it is ever
+    missing (two values a field, not a set), the names with the first date of
+    each, the alternative names and the observed-variable codes."""
+    def field(f: str) -> Column:
+        v = F.when(F.col(f) != "NULL", F.col(f).cast("string"))
+        return F.struct(v.alias("lo"), v.alias("hi"), v.isNull().alias("gap")).alias(f)
+
+    name = F.when(F.coalesce(F.col("station_name"), F.lit("")) != "", F.array(F.struct(
+        F.col("start_date").alias("first"), F.col("station_name").alias("name"))))
+    empty = F.array().cast("array<struct<first:string,name:string>>")
+    return merge_stations(records.select(
+        *(by or []), *RECORD_KEYS, *_EXTENT, F.coalesce(name, empty).alias("names"), _list_of("alternative_name").alias("others"),
+        F.transform(_list_of("observed_variables"), lambda c: c.cast("int")).alias("codes"), *[field(f) for f in UNIQUE_FIELDS]), by)
+
+
+def merge_stations(state: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """States of the same station (and ``by``) as one.  Merging states of
+    years gives the state of all their records, so records are read once."""
+    one = state.groupBy(*(by or []), *RECORD_KEYS).agg(
+        *[f(c).alias(c) for c, f in _EXTENT.items()],
+        F.array_sort(F.flatten(F.collect_list("names"))).alias("names"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("others")))).alias("others"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes")))).alias("codes"),
+        *[F.struct(F.min(f"{f}.lo").alias("lo"), F.max(f"{f}.hi").alias("hi"), F.max(f"{f}.gap").alias("gap")).alias(f)
+          for f in UNIQUE_FIELDS])
+    # names come in order of their first date: the later entries of a name say nothing new
+    kept = F.aggregate("names", F.array().cast("array<struct<first:string,name:string>>"), lambda acc, e: F.when(
+        F.exists(acc, lambda o: o["name"] == e["name"]), acc).otherwise(F.concat(acc, F.array(e))))
+    return one.withColumn("names", kept)
+
+
+def station_rollup(state: DataFrame, by: list[str] | None = None, all_years: bool = False) -> DataFrame:
+    """Records of the annual (A12) or the all-years roll-up (A13): extent,
+    codes, the name seen first, every other and alternative name, the 24
+    unique fields and ``conflicts``, the fields with more than one value (null
+    then).  A missing value besides others is one more value in a year but for
+    ``platform_sub_type``; over all years it is none.  Lists of all years are
+    in braces."""
+    def two(f: str) -> Column:
+        c = F.col(f)
+        mixed = c["lo"] != c["hi"]
+        if not all_years and f != "platform_sub_type":
+            mixed = mixed | (c["lo"].isNotNull() & c["gap"])
+        return F.coalesce(mixed, F.lit(False))
+
+    names = F.transform("names", lambda e: e["name"])
+    others = F.array_distinct(F.concat(F.slice(names, 2, F.greatest(F.size(names), F.lit(1))), F.col("others")))
+    text = {"observed_variables": F.array_join(F.transform("codes", lambda c: c.cast("string")), ","),
+            "alternative_name": F.array_join(others, ",")}
+    if all_years:
+        text = {k: F.concat(F.lit("{"), v, F.lit("}")) for k, v in text.items()}
+    conflicts = F.array_join(F.array_compact(F.array(*[F.when(two(f), F.lit(f)) for f in UNIQUE_FIELDS])), ",")
+    return state.select(*(by or []), *RECORD_KEYS, *_EXTENT, F.get(names, F.lit(0)).alias("station_name"),
+                        *[v.alias(k) for k, v in text.items()], *[F.when(~two(f), F.col(f)["lo"]).alias(f) for f in UNIQUE_FIELDS],
+                        conflicts.alias("conflicts"))

@@ -144,3 +144,145 @@ def q_tracking_merge(spark: SparkSession, sf: str) -> DataFrame:
         sinks.merge_months(sinks.reindex_tracking(spark, f"{base}/run{n}", TRACK_COLUMNS), f"{base}/months")
     out = spark.read.csv(f"{base}/months", header=True, schema=", ".join(f"`{c}` string" for c in TRACK_COLUMNS) + ", year int, month int")
     return out
+
+
+# --- S7: months with their date leaks ---------------------------------------------------
+_HEAD = ["report_id", "platform_type", "report_timestamp", "latitude"]
+_PERIODS = f"""SELECT {', '.join(_HEAD)}, '2024-0' || CAST(CAST(substr(report_id, 11) AS BIGINT) % 3 + 1 AS VARCHAR) AS source_period
+FROM ({A.duck(A.HEADER_SQL)})"""
+
+
+@register("cdm_leaks", f"""WITH h AS ({_PERIODS}),
+p AS (SELECT *, coalesce(strftime(date_trunc('month', TRY_CAST(report_timestamp AS TIMESTAMP)), '%Y-%m'), source_period) AS period FROM h),
+n AS (SELECT period, count(*) AS leaks_in FROM p WHERE period <> source_period GROUP BY 1)
+SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in _HEAD)}, p.period, source_period, p.period <> source_period AS leak,
+       coalesce(leaks_in, 0) AS leaks_in FROM p LEFT JOIN n ON n.period = p.period""")
+def q_cdm_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Header rows written by month and source month, every month read
+    back from its master and leak parts, with the number of its leaks."""
+    from tidewater.sources import tables as T
+
+    source = F.concat(F.lit("2024-0"), (F.substr("report_id", F.lit(11)).cast("long") % 3 + 1).cast("string"))
+    h = A.view(spark, sf, A.HEADER_SQL).withColumn("source_period", source)
+    h = h.withColumn("period", F.coalesce(F.date_format(F.try_to_timestamp("report_timestamp"), "yyyy-MM"), "source_period"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/periods-{uuid.uuid4().hex[:12]}"
+    sinks.write_periods(h, _HEAD, path)
+    manifest = spark.read.parquet(f"{path}-manifest")
+    months = [r.period for r in manifest.select("period").distinct().collect()]
+    out = None
+    for m in sorted(months):
+        rows = T.read_period(spark, path, _HEAD, m).withColumn("period", F.lit(m))
+        out = rows if out is None else out.unionByName(rows)
+    leaks = manifest.groupBy(F.col("period").alias("_p")).agg(F.sum(F.when(F.col("leak"), F.col("rows")).otherwise(0)).alias("leaks_in"))
+    out = out.join(leaks, F.col("period") == F.col("_p")).drop("_p")
+    return out.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) for c in _HEAD], "period", "source_period", "leak", "leaks_in")
+
+
+# --- K11: metadata layouts --------------------------------------------------------------
+_META = ["line", "call", "name", "rcnty", "valid_from", "valid_to"]
+_ED = A.duck(A.editions_sql("duckdb"))
+
+
+@register("metadata_layouts", f"""WITH e AS (SELECT {', '.join(_META)}, "call" <> 'NULL' AS named FROM ({_ED})),
+m AS (SELECT *, unnest(generate_series(date_trunc('month', valid_from), CAST(valid_to AS TIMESTAMP), INTERVAL 1 MONTH)) AS d FROM e WHERE named),
+b AS (SELECT *, row_number() OVER (PARTITION BY d, "call" ORDER BY valid_from DESC, line) AS rk FROM m WHERE d >= valid_from)
+SELECT 'country' AS layout, rcnty AS part, 'v4' AS extra, line, CASE WHEN named THEN "call" END AS "call", name, rcnty, valid_from, valid_to FROM e
+UNION ALL SELECT 'master', NULL, CASE WHEN named THEN CAST(row_number() OVER (PARTITION BY "call" ORDER BY valid_from, line) AS VARCHAR) END,
+  line, CASE WHEN named THEN "call" END, name, rcnty, valid_from, valid_to FROM e
+UNION ALL SELECT 'monthly', strftime(d, '%Y-%m'), NULL, line, "call", name, rcnty, valid_from, valid_to FROM b WHERE rk = 1""")
+def q_metadata_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Ship metadata by country, as one master table and by month, whole
+    rows read back from the files of each layout."""
+    from tidewater.plans.q_meta import editions
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layouts-{uuid.uuid4().hex[:12]}"
+    sinks.write_layouts(editions(spark, sf).select(*_META), path, "v4")
+    shape = {"country": ("rcnty", "schema"), "master": (None, "record_number"), "monthly": ("month", None)}
+    out = None
+    for layout, (part, extra) in shape.items():
+        files = spark.read.option("inferSchema", "false").csv(f"{path}/{layout}", sep="|", header=True, nullValue="NULL")
+        text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+        rows = files.select(F.lit(layout).alias("layout"), text(part).alias("part"), text(extra).alias("extra"),
+                            F.col("line").cast("long").alias("line"), "call", "name", "rcnty",
+                            F.col("valid_from").cast("date").alias("valid_from"), F.col("valid_to").cast("date").alias("valid_to"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# --- A12 / A13 -----------------------------------------------------------------------------
+def _field_sql(i: int, name: str) -> str:
+    """A value per station, missing for some, 'NULL' or another one in few records."""
+    if name in ("longitude", "latitude"):
+        return f"CAST(user_id % {7 + i} AS STRING) AS {name}"
+    return (f"CASE WHEN user_id % 3 = {i % 3} THEN NULL WHEN (event_id + {i}) % 401 = 0 THEN 'NULL' WHEN (event_id + {i}) % 997 = 0 THEN 'other' "
+            f"ELSE '{name}' || CAST(user_id % {5 + i} AS STRING) END AS {name}")
+
+
+def _records_sql() -> str:
+    from tidewater.operators.summaries import UNIQUE_FIELDS
+
+    fields = ",\n  ".join(_field_sql(i, f) for i, f in enumerate(UNIQUE_FIELDS))
+    return f"""
+SELECT CAST(2000 + event_id % 4 AS INT) AS year, 'V' || CAST(user_id AS STRING) AS primary_station_id, '1' AS primary_station_id_scheme,
+  CAST(event_id % 2 + 1 AS STRING) AS station_record_number, CAST(user_id % 3 AS STRING) AS platform_type,
+  CAST(2000 + event_id % 4 AS STRING) || '-' || lpad(CAST(1 + event_id % 12 AS STRING), 2, '0') || '-01' AS start_date,
+  CAST(2000 + event_id % 4 AS STRING) || '-' || lpad(CAST(1 + event_id % 12 AS STRING), 2, '0') || '-28' AS end_date,
+  CAST(user_id % 90 AS DOUBLE) - CAST(event_id % 10 AS DOUBLE) / 10 AS bbox_min_lon, CAST(user_id % 90 + event_id % 7 AS DOUBLE) AS bbox_max_lon,
+  CAST(user_id % 50 AS DOUBLE) - CAST(event_id % 8 AS DOUBLE) / 8 AS bbox_min_lat, CAST(user_id % 50 + event_id % 5 AS DOUBLE) AS bbox_max_lat,
+  CASE WHEN event_id % 60 = 0 THEN '' ELSE 'Ship ' || CAST(user_id % 50 AS STRING) || CASE WHEN event_id % 9 = 0 THEN 'X' ELSE '' END END AS station_name,
+  CASE event_id % 11 WHEN 0 THEN 'NULL' WHEN 1 THEN 'Old,Older' WHEN 2 THEN 'Old' END AS alternative_name,
+  CASE event_id % 4 WHEN 0 THEN '85,95' WHEN 1 THEN '107' WHEN 2 THEN '' ELSE '95,36,107' END AS observed_variables,
+  {fields}
+FROM $events
+"""
+
+
+def _rollup_sql(by: str, all_years: bool) -> str:
+    from tidewater.operators.summaries import RECORD_KEYS, UNIQUE_FIELDS
+
+    keys = ", ".join(([by] if by else []) + RECORD_KEYS)
+    same = " AND ".join(f"n.{k} = r.{k}" for k in ([by] if by else []) + RECORD_KEYS)
+    val = lambda f: f"nullif({f}, 'NULL')"
+
+    def bad(f: str) -> str:
+        gap = "" if all_years or f == "platform_sub_type" else f" OR (count(DISTINCT {val(f)}) = 1 AND count({val(f)}) < count(*))"
+        return f"(count(DISTINCT {val(f)}) > 1{gap})"
+
+    sel = ", ".join(f"CASE WHEN NOT {bad(f)} THEN min({val(f)}) END AS {f}" for f in UNIQUE_FIELDS)
+    conflicts = " || ".join(f"CASE WHEN {bad(f)} THEN ',{f}' ELSE '' END" for f in UNIQUE_FIELDS)
+    wrap = (lambda x: f"'{{' || {x} || '}}'") if all_years else (lambda x: x)
+    listed = "list_filter(string_split(coalesce({0}, ''), ','), lambda x: x <> '' AND x <> 'NULL')"
+    return f"""WITH s AS ({A.duck(_records_sql())}),
+nm AS (SELECT {keys}, station_name, min(start_date) AS f FROM s WHERE coalesce(station_name, '') <> '' GROUP BY ALL),
+n AS (SELECT {keys}, list(station_name ORDER BY f, station_name) AS names FROM nm GROUP BY ALL),
+r AS (SELECT {keys}, min(start_date) AS start_date, max(end_date) AS end_date, min(bbox_min_lon) AS bbox_min_lon,
+        max(bbox_max_lon) AS bbox_max_lon, min(bbox_min_lat) AS bbox_min_lat, max(bbox_max_lat) AS bbox_max_lat,
+        list_sort(list_distinct(flatten(list({listed.format('alternative_name')})))) AS alts,
+        list_sort(list_transform(list_distinct(flatten(list({listed.format('observed_variables')}))), lambda c: CAST(c AS INT))) AS codes,
+        {sel}, substr({conflicts}, 2) AS conflicts FROM s GROUP BY ALL)
+SELECT r.* EXCLUDE (alts, codes), names[1] AS station_name, {wrap("array_to_string(codes, ',')")} AS observed_variables,
+  {wrap("array_to_string(list_concat(coalesce(names[2:], []), list_filter(alts, lambda x: NOT list_contains(coalesce(names[2:], []), x))), ',')")} AS alternative_name
+FROM r LEFT JOIN n ON {same}"""
+
+
+def _year_states(spark: SparkSession, sf: str) -> DataFrame:
+    from tidewater.operators import summaries as SU
+
+    return stage_table(SU.station_state(A.view(spark, sf, _records_sql()), ["year"]), "station-years")
+
+
+@register("station_year_fields", _rollup_sql("year", False))
+def q_station_year_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Annual station records with all 24 unique fields and their conflicts."""
+    from tidewater.operators import summaries as SU
+
+    return SU.station_rollup(_year_states(spark, sf), ["year"])
+
+
+@register("station_all_fields", _rollup_sql("", True))
+def q_station_all_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """All-years station records merged from the states of the years; the
+    records themselves are not read again."""
+    from tidewater.operators import summaries as SU
+
+    return SU.station_rollup(SU.merge_stations(_year_states(spark, sf).drop("year")), all_years=True)

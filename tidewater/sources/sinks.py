@@ -122,3 +122,40 @@ def write_metadata(df: DataFrame, path: str, by: str | None = "rcnty") -> None:
     if by:
         w = w.partitionBy(by)
     w.csv(path, sep=PIPE, header=True, nullValue="NULL")
+
+
+def write_periods(df: DataFrame, columns: list[str], path: str, period: str = "period", source: str = "source_period") -> None:
+    """CDM rows by the month they belong to and the month of the
+    source file they came from, and a manifest of these parts beside them.  A
+    month's master part is the one from its own source; the others are leaks."""
+    write_cdm(df, columns, path, partition_by=[period, source])
+    parts = df.groupBy(F.col(period).alias("period"), F.col(source).alias("source_period")).agg(F.count(F.lit(1)).alias("rows"))
+    parts.withColumn("leak", F.col("period") != F.col("source_period")).write.mode("overwrite").parquet(f"{path}-manifest")
+
+
+def write_layouts(df: DataFrame, path: str, schema_version: str, call: str = "call", country: str = "rcnty") -> None:
+    """Ship metadata records in their three layouts, from one staged pass:
+    ``country`` (all columns and the schema version, one folder a country),
+    ``master`` (sorted by call sign and begin of validity, records of a
+    call sign numbered; those without one have no number) and ``monthly``
+    (one folder a month: of the records of a call sign that are valid on its
+    first day the one that began last)."""
+    from pyspark.sql import Window
+
+    rows = stage_table(df, "metadata")
+    named = F.col(call).isNotNull() & (F.col(call) != "NULL")
+    write_metadata(rows.withColumn("schema", F.lit(schema_version)), f"{path}/country", country)
+    order = Window.partitionBy(call).orderBy("valid_from", "line")
+    numbered = rows.where(named).withColumn("record_number", F.row_number().over(order)).unionByName(
+        rows.where(~named).withColumn("record_number", F.lit(None).cast("int")))
+    master = numbered.repartitionByRange(call, "valid_from", "line").sortWithinPartitions(call, "valid_from", "line")
+    write_metadata(master, f"{path}/master", None)
+    # the first days that an interval holds: from the month after its begin, or its own
+    first = F.when(F.dayofmonth("valid_from") == 1, F.col("valid_from")).otherwise(F.add_months(F.trunc("valid_from", "month"), 1))
+    days = F.sequence(first, F.col("valid_to"), F.expr("interval 1 month"))
+    monthly = rows.where(named).withColumn("_first", first).where(F.col("_first") <= F.col("valid_to")).withColumn("month", F.explode(days))
+    last = monthly.groupBy("month", call).agg(F.max(F.struct("valid_from", (-F.col("line")).alias("l"))).alias("_m")).select(
+        "month", F.col(call).alias("_c"), (-F.col("_m.l")).alias("_l"))
+    own = monthly.alias("a").join(last.alias("b"), (F.col("a.month") == F.col("b.month")) & (F.col(f"a.{call}") == F.col("_c"))
+                                  & (F.col("line") == F.col("_l")), "left_semi")
+    write_metadata(own.drop("_first").withColumn("month", F.date_format("month", "yyyy-MM")), f"{path}/monthly", "month")

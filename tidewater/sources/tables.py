@@ -56,3 +56,19 @@ def read_qc_flags(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     the listed flag columns; malformed lines are dropped."""
     df = spark.read.csv(path, header=True, mode="DROPMALFORMED", inferSchema=False)
     return df.select(F.col("UID").alias("uid"), *[F.col(c).cast("int").alias(c) for c in columns])
+
+
+def read_period(spark: SparkSession, path: str, columns: list[str], period: str) -> DataFrame:
+    """One month of a CDM table written by period, its master part and the
+    date-leak parts of other source months, as the manifest lists them (only
+    their files are opened); a month may have leaks without a master.  ``leak`` says
+    which; a month that nothing belongs to has no rows."""
+    manifest = spark.read.parquet(f"{path}-manifest").where(F.col("period") == period)
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    out = None
+    for part in manifest.orderBy("source_period").collect():  # at most one part per source month
+        folder = f"{path}/period={period}/source_period={part.source_period}"
+        rows = spark.read.csv(folder, sep=PIPE, header=True, schema=schema, nullValue="null")
+        rows = rows.withColumns({"source_period": F.lit(part.source_period), "leak": F.lit(part.leak)})
+        out = rows if out is None else out.unionByName(rows)
+    return out if out is not None else spark.createDataFrame([], schema + ", source_period string, leak boolean")
