@@ -146,7 +146,16 @@ def qc_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Base QC per report
 # ---------------------------------------------------------------------------
-@register("base_qc", f"WITH {_qc_oracle_ctes()}\nSELECT uid, {_base_flags_sql()}\nFROM qc")
+def _stepwise(ctes: str) -> str:
+    """The same statement with its long steps evaluated once each: the humidity
+    and sun chains are not expanded again by whatever reads the result."""
+    for step in ("r2", "r2h", "r3", "qc"):
+        ctes = ctes.replace(f"\n{step} AS (SELECT", f"\n{step} AS MATERIALIZED (SELECT")
+    return ctes
+
+
+@register("base_qc", f"WITH {_stepwise(_qc_oracle_ctes())},\nflags AS MATERIALIZED (SELECT uid, {_base_flags_sql()} FROM qc)\n"
+                     "SELECT * FROM flags")
 def q_base_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-report base QC flags (36 columns) after the climatology joins."""
     return qc_frame(spark, sf_dir).select("uid", *BQ.BASE_FLAGS)
