@@ -243,3 +243,51 @@ def test_second_merge_rewrites_its_months_only(spark, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     assert sinks.merge_months(back.where("false").select(*TRACK, F.lit(1).alias("year"), F.lit(1).alias("month")), months) == []
     assert files(months) == after
+
+
+# -- C3 -------------------------------------------------------------------------
+def test_bundles_look_up_what_they_need(spark):
+    from tidewater.operators import base_qc as BQ
+
+    schema = ("uid string, id string, yr int, mo int, dy int, hr double, lat double, lon double, pt int, dck int, "
+              "sst double, at double, slp double, w double, d double, note string")
+    reports = spark.createDataFrame([("a", "X", 2000, 1, 1, 0.0, 1.0, 1.0, 1, 700, 1.0, 2.0, 1000.0, 3.0, 4.0, "n"),
+                                     ("b", None, 2000, 2, 30, None, None, 1.0, None, 780, None, None, None, None, None, None)], schema)
+    clim = spark.createDataFrame([(0, 89, 181, 1.0, 2.0, 1000.0, 2.0)], "t int, y int, x int, sst double, at double, slp double, slp_sd double")
+    for name, joins in {"wind": 0, "dat": 1, "slp": 1, "sst": 1}.items():
+        out = BQ.qc_bundle(reports, clim, BQ.BUNDLES[name])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == joins, name
+        assert all("note" not in line for line in plan.splitlines() if "LogicalRDD" not in line)
+        assert out.columns == ["uid", *BQ.BUNDLES[name]] and out.count() == 2
+        assert all(r[f] in (0, 1) for r in out.collect() for f in BQ.BUNDLES[name])
+
+
+# -- A12 / A13, S7, K11 ------------------------------------------------------------
+def test_states_of_years_merge_to_the_whole(spark):
+    from tidewater.operators import summaries as SU
+    from tidewater.plans import adapters as A
+    from tidewater.plans.q_runs import _records_sql
+
+    from tests.conftest import SF_SMALL
+
+    records = A.view(spark, SF_SMALL, _records_sql())
+    merged = SU.merge_stations(SU.station_state(records, ["year"]).drop("year"))
+    whole = SU.station_state(records)
+    a, b = ({tuple(map(str, r)) for r in SU.station_rollup(s, all_years=True).collect()} for s in (merged, whole))
+    assert a == b and len(a) > 10
+    assert SU.station_rollup(whole, all_years=True).where("conflicts <> ''").count() > 0
+
+
+def test_months_open_their_parts_only(spark, tmp_path):
+    from tidewater.sources import tables as T
+
+    rows = [("r1", "2000-01", "2000-01"), ("r2", "2000-02", "2000-01"), ("r3", "2000-02", "2000-03"), (None, "2000-03", "2000-03")]
+    df = spark.createDataFrame(rows, "report_id string, period string, source_period string")
+    path = str(tmp_path / "cdm")
+    sinks.write_periods(df, ["report_id"], path)
+    got = T.read_period(spark, path, ["report_id"], "2000-02")  # leaks without a master
+    assert sorted(map(tuple, got.collect())) == [("r2", "2000-01", True), ("r3", "2000-03", True)]
+    assert all("period=2000-02" in f for f in got.inputFiles())
+    assert [tuple(r) for r in T.read_period(spark, path, ["report_id"], "2000-03").collect()] == [(None, "2000-03", False)]
+    assert T.read_period(spark, path, ["report_id"], "1999-01").count() == 0

@@ -161,13 +161,14 @@ BASE_FLAGS = [
 ]
 
 
-def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default") -> DataFrame:
+def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default", flags: list[str] | None = None) -> DataFrame:
     """All base flags in one projection.  Input needs the report columns,
     the normals of ``attach_normals`` and humidity columns (``with_humidity``).
 
     ``preset='legacy'`` (C4) uses the older fixed climatology limits for AT
     and SST, ends the deck-193 MAT exclusion in 1893 and gives a day flag
-    without a valid hour.
+    without a valid hour.  With ``flags`` only these are computed and only what
+    they read has to be there.
     """
     legacy = preset == "legacy"
     p = default_parameters((params or {}) | {k: LEGACY_PRESET[k] for k in ("SST", "AT")} if legacy else params)
@@ -179,7 +180,8 @@ def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default")
     pos = K.position_check("lat", "lon")
     date = K.date_check("yr", "mo", "dy")
     time = K.time_check("hr")
-    out = with_day_flag(out, p["base"]["time_since_sun_above_horizon"], 0.0, "_day")
+    if flags is None or "pos_day" in flags:
+        out = with_day_flag(out, p["base"]["time_since_sun_above_horizon"], 0.0, "_day")
     day = F.when((pos == 0) & (date == 0) & (F.lit(legacy) | (time == 0)), F.col("_day")).otherwise(F.lit(1))
     dpt_hard = K.flag(
         (K.hard_limit("at", at_p["hard_limits"]) == 1)
@@ -223,9 +225,50 @@ def base_qc(df: DataFrame, params: dict | None = None, preset: str = "default")
         "at2_nonorm": K.no_normal_check("at2_norm"),
         "at2_hardlimit": K.hard_limit("at", at_p["hard_limits"]),
     }
+    if flags is not None:
+        cols = {k: v for k, v in cols.items() if k in flags}
+        return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in df.columns], *flags)
     return out.withColumns(cols).drop("_day")
 
 
+# --- C3: bundles of one variable ------------------------------------------------------
+_POSITION = ["pos_isbuoy", "pos_isship", "pos_pos", "pos_date", "pos_time", "pos_blklst"]
+BUNDLES = {
+    "wind": [*_POSITION, "w_wind_blacklist", "w_noval", "w_hardlimit", "w_consistency"],
+    "dat": [*_POSITION, "pos_day", "at_mat_blacklist", "at_noval", "at_clim", "at_nonorm", "at_hardlimit"],
+    "slp": [*_POSITION, "pos_is780", "pos_day", "slp_noval", "slp_clim", "slp_nonorm"],
+    "sst": [*_POSITION, "pos_is780", "pos_day", "sst_noval", "sst_freez", "sst_clim", "sst_nonorm", "sst_hardlimit"],
+}
+#: What a flag reads: report columns, and of the normals the field and cell style.
+_PLACE, _DATE = {"lat", "lon"}, {"yr", "mo", "dy"}
+FLAG_READS: dict[str, set[str]] = {
+    "pos_isbuoy": {"pt"}, "pos_isdrifter": {"pt"}, "pos_isship": {"pt"}, "pos_is780": {"dck"}, "pos_pos": _PLACE,
+    "pos_date": _DATE, "pos_time": {"hr"}, "pos_blklst": {*_PLACE, *_DATE, "id", "pt", "dck"},
+    "pos_day": {*_PLACE, *_DATE, "hr"}, "at_mat_blacklist": {*_PLACE, "yr", "pt", "dck"}, "w_wind_blacklist": {"dck"},
+    "w_noval": {"w"}, "w_hardlimit": {"w"}, "w_consistency": {"w", "d"},
+    "at_noval": {"at"}, "at_clim": {"at", "at_norm"}, "at_nonorm": {"at_norm"}, "at_hardlimit": {"at"},
+    "slp_noval": {"slp"}, "slp_clim": {"slp", "slp_norm", "slp_sd"}, "slp_nonorm": {"slp_norm"},
+    "sst_noval": {"sst"}, "sst_freez": {"sst"}, "sst_clim": {"sst", "sst_norm"}, "sst_nonorm": {"sst_norm"}, "sst_hardlimit": {"sst"},
+}
+NORMAL_READS = {"sst_norm": ("mds", "sst"), "at_norm": ("mds", "at"), "slp_norm": ("regular", "slp"), "slp_sd": ("regular", "slp_sd")}
+
+
+def qc_bundle(reports: DataFrame, clim: DataFrame, flags: list[str], params: dict | None = None, key: str = "uid",
+              n: int = 73, res: float = 1.0) -> DataFrame:
+    """``key`` and the listed flags.  What they read decides which report
+    columns travel and which cells are looked up: wind needs no grid, SST and
+    AT one MDS lookup, SLP one regular lookup; the sun is only computed for the day flag."""
+    reads = set().union(*[FLAG_READS[f] for f in flags])
+    base = {"yr", "mo", "dy", "hr", "lat", "lon", "id", "pt", "dck"}  # what every flag's preparation touches
+    cols = sorted((reads - set(NORMAL_READS)) | base | ({"at"} if "at" in reports.columns else set()))
+    out = prepare_reports(reports.select(key, *cols))
+    for style in ("mds", "regular"):
+        values = {field: name for name, (s, field) in NORMAL_READS.items() if name in reads and s == style}
+        if values:
+            out = grid_lookup(out, clim, values, n=n, res=res, style=style)
+    return base_qc(out, params, flags=flags).select(key, *flags)
+
+
 def with_humidity(df: DataFrame) -> DataFrame:
     return humidity_columns(df, "at", "dpt", "slp_norm")
 

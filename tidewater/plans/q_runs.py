@@ -286,3 +286,21 @@ def q_station_all_fields(spark: SparkSession, sf: str) -> DataFrame:
     from tidewater.operators import summaries as SU
 
     return SU.station_rollup(SU.merge_stations(_year_states(spark, sf).drop("year")), all_years=True)
+
+
+# --- C3: bundles of one variable ---------------------------------------------------------
+def _bundle_query(variable: str) -> None:
+    from tidewater.operators import base_qc as BQ
+    from tidewater.plans.catalog import _base_flags_sql, _qc_oracle_ctes, _stepwise
+
+    flags = BQ.BUNDLES[variable]
+    sql = f"""WITH {_stepwise(_qc_oracle_ctes())}, flags AS MATERIALIZED (SELECT uid, {_base_flags_sql()} FROM qc)
+SELECT uid, {', '.join(flags)} FROM flags"""
+
+    @register(f"qc_bundle_{variable}", sql)
+    def bundle(spark: SparkSession, sf: str) -> DataFrame:
+        return BQ.qc_bundle(A.reports(spark, sf), A.climatology(spark), flags)
+
+
+for _variable in ("wind", "dat", "slp", "sst"):
+    _bundle_query(_variable)
