@@ -135,3 +135,35 @@ def test_grid_lookup_by_broadcast_and_by_shuffle(spark):
         plans.append("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString())
         rows.append(sorted((r.uid, r.w) for r in out.collect()))
     assert plans == [True, False] and rows[0] == rows[1] and all(w is not None for _, w in rows[0])
+
+
+def test_section_layouts_fill_their_length():
+    for att_id, fields in FW.SECTIONS.items():
+        assert 4 + sum(f[1] for f in fields) == FW.ATTACHMENT_LENGTH[att_id]
+
+
+def test_sections_decoded_and_checked(spark):
+    a9 = " 932" + "D" + "071" + "8" + "1" + "03" + "12" + " " + "801" + "  5" + "2" + "x" + "1" + "-905" + " 117"
+    a97 = "9732" + "0112" + "1" + "  free    " + "ABCD" + "20150301" + "0"
+    a95 = "9561" + "0102"
+    rows = [CORE + a9 + a97 + a95, CORE + a9 + " 932" + "Z" + " " * 27, CORE, CORE + A1]
+    d = FW.attachments(spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "n int, value string"))
+    got = FW.check_sections(FW.decode_sections(d)).orderBy("n").collect()
+    cloud = got[0].att9
+    assert (cloud.CCe, cloud.WWe, cloud.Ne, cloud.NHe, cloud.He) == (13.0, 7.0, 1.0, 8.0, 1.0)
+    assert (cloud.CLe, cloud.CMe, cloud.CHe, cloud.UM, cloud.UH, cloud.SBI) == (3.0, 12.0, None, 2.0, None, 1.0)
+    assert (cloud.AM, cloud.AH, cloud.SA, cloud.RI) == pytest.approx((8.01, 0.05, -90.5, 1.17))
+    error = got[0].att97
+    assert (error.ICNE, error.FNE, error.CEF, error.ERRD, error.ARCE, error.CDE, error.ASIE) == (
+        1.0, 12.0, 1.0, "  free    ", "ABCD", 20150301.0, 0.0)
+    assert (got[0].att95.ICNR, got[0].att95.FNR, got[0].att95.DPRO) == (1.0, 2.0, None)  # cut short
+    assert got[0].section_check == "att9.AM:att9.SA"
+    assert got[1].att9.CCe == 35.0 and got[1].att9.AM is None and got[1].section_check == "att9.CCe"  # the last one counts
+    assert got[2].att9 is None and got[3].att5 is None and got[3].section_check == ""
+
+
+def test_sections_of_another_schema(spark):
+    schema = {"98": FW.section_schema("UID 6 - - c; RN1 1 0 5 b")}
+    d = FW.attachments(spark.createDataFrame([(CORE + A98,)], "value string"))
+    row = FW.check_sections(FW.decode_sections(d, schema, "x"), schema, "x").first()
+    assert (row.x98.UID, row.x98.RN1, row.section_check) == ("AB12CD", 1.0, "")

@@ -530,6 +530,27 @@ LINES_SQL = (
     .replace("@@a98@@", "('9815' || lpad(CAST(l_orderkey % 1000000 AS STRING), 6, '0') || CAST(l_linenumber % 10 AS STRING) || '00' || '1' || CASE WHEN l_partkey % 3 = 0 THEN ' ' ELSE '1' END)"))
 
 
+# lines with attachments 5-9 and 95-97 in several orders, one of them repeated
+# and the last one often cut short; bodies hold numbers, signs, blanks and letters
+_BODY = ("substr(repeat(CAST(l_orderkey * 7919 + l_partkey * 31 + l_linenumber * 17 + {salt} AS STRING) "
+         "|| CASE WHEN l_partkey % 4 = 0 THEN '   ' ELSE '' END || CAST(l_suppkey AS STRING) "
+         "|| CASE WHEN l_partkey % 5 = 0 THEN 'A-' ELSE '' END, 40), CAST((l_linenumber + {salt}) % 7 + 1 AS INT), {n})")
+_SECTION_HEADS = {"5": " 594", "6": " 668", "7": " 758", "8": " 82U", "9": " 932", "95": "9561", "96": "9653", "97": "9732"}
+SECTION_LINES_SQL = """
+SELECT l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber, repeat(' ', 108) || CASE l_orderkey % 5
+       WHEN 0 THEN @@5@@ || @@7@@ || rtrim(@@97@@)
+       WHEN 1 THEN @@6@@ || @@8@@ || @@5@@
+       WHEN 2 THEN @@95@@ || @@96@@ || substr(@@9@@, 1, 20)
+       WHEN 3 THEN @@9@@ || @@97@@ || @@95@@ || @@7@@
+       ELSE @@5@@ || @@96@@ || @@8@@ || @@5b@@ || @@6@@ END AS value
+FROM $lineitem
+"""
+for _i, _head in _SECTION_HEADS.items():
+    _n = {"5": 94, "6": 68, "7": 58, "8": 102, "9": 32, "95": 61, "96": 53, "97": 32}[_i] - 4
+    SECTION_LINES_SQL = SECTION_LINES_SQL.replace(f"@@{_i}@@", f"('{_head}' || {_BODY.format(salt=int(_i), n=_n)})")
+SECTION_LINES_SQL = SECTION_LINES_SQL.replace("@@5b@@", f"(' 594' || {_BODY.format(salt=3, n=90)})")
+
+
 UNIT_CORRECTIONS_SQL = """
 SELECT CAST(1995 + n_nationkey % 7 AS INT) AS edition,
        CASE WHEN n_nationkey < 7 THEN 'GB' WHEN n_nationkey < 14 THEN 'NL' ELSE 'X' || CAST(n_nationkey AS STRING) END AS rcnty,
