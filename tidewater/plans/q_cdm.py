@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import cdm as CDM
+from tidewater.operators import mapping as MAP
 from tidewater.operators import select as SEL
 from tidewater.operators.util import sized_broadcast
 from tidewater.plans import adapters as A
@@ -356,3 +357,62 @@ def q_select_release(spark: SparkSession, sf: str) -> DataFrame:
     inv = inv.withColumn("table", F.explode(F.array(*[F.lit(t) for t in TABLES])))
     out = SEL.select_release(inv, A.view(spark, sf, A.RELEASE_CONFIG_SQL))
     return out.select("sid_dck", "year", "table", "included")
+
+
+# --- C16 ---------------------------------------------------------------------------
+#: code tables of the example mapping: platform types and quality defaults
+MAP_CODES = {"platform": {"5": "2", "6": "5", "7": "5", "13": "33"}}
+#: value, variable number and transform of the observation tables
+MAP_OBSERVED = {"at": ("at", "85", "kelvin:2"), "sst": ("sst", "95", "kelvin:2"), "dpt": ("dpt", "36", "kelvin:2"),
+                "wbt": ("wbt", "41", "kelvin:2"), "wd": ("d", "106", "decimal:0"), "ws": ("w", "107", "decimal:1"),
+                "slp": ("slp", "58", "pascal:0")}
+MAP_RULES = [
+    MAP.Rule("header", "report_id", ("uid",), "prefix:ICOADS-30-", required=True),
+    MAP.Rule("header", "primary_station_id", ("id",), "trim"),
+    MAP.Rule("header", "platform_type", ("pt",), "code:platform", default="0"),
+    MAP.Rule("header", "latitude", ("lat",), "decimal:2"),
+    MAP.Rule("header", "longitude", ("lon",), "decimal:2"),
+    MAP.Rule("header", "source_id", ("sid", "dck"), "join:-"),
+    MAP.Rule("header", "report_quality", (), "constant:2"),
+]
+for _t, (_source, _number, _transform) in MAP_OBSERVED.items():
+    MAP_RULES += [
+        MAP.Rule(f"observations-{_t}", "report_id", ("uid",), "prefix:ICOADS-30-", required=True),
+        MAP.Rule(f"observations-{_t}", "observation_value", (_source,), _transform, required=True),
+        MAP.Rule(f"observations-{_t}", "observed_variable", (), f"constant:{_number}"),
+        MAP.Rule(f"observations-{_t}", "latitude", ("lat",), "decimal:2"),
+        MAP.Rule(f"observations-{_t}", "longitude", ("lon",), "decimal:2"),
+        MAP.Rule(f"observations-{_t}", "quality_flag", (), "constant:2"),
+    ]
+
+
+_MAP_WBT = "CASE WHEN at >= dpt THEN (at + dpt) / 2 END"
+
+
+def _cdm_mapping_sql() -> str:
+    place = "CAST(CAST(round(lat, 2) AS DECIMAL(20,2)) AS VARCHAR) AS latitude, CAST(CAST(round(lon, 2) AS DECIMAL(20,2)) AS VARCHAR) AS longitude"
+    said = {"at": ("at", 85), "sst": ("sst", 95), "dpt": ("dpt", 36), "wbt": ("wbt", 41)}
+    value = {t: (f"CAST(round(r.{c} + 273.15, 2) AS DECIMAL(20,2))", n) for t, (c, n) in said.items()}
+    value |= {"wd": ("CAST(round(d, 0) AS DECIMAL(20,0))", 106), "ws": ("CAST(round(w, 1) AS DECIMAL(20,1))", 107),
+              "slp": ("CAST(round(slp * 100.0, 0) AS DECIMAL(20,0))", 58)}
+    header = f"""SELECT 'header' AS cdm_table, 'ICOADS-30-' || uid AS report_id, nullif(trim(id), '') AS primary_station_id,
+  CASE pt WHEN 5 THEN '2' WHEN 6 THEN '5' WHEN 7 THEN '5' WHEN 13 THEN '33' ELSE '0' END AS platform_type, {place},
+  CAST(sid AS VARCHAR) || '-' || CAST(dck AS VARCHAR) AS source_id, '2' AS report_quality,
+  CAST(NULL AS VARCHAR) AS observation_value, CAST(NULL AS VARCHAR) AS observed_variable, CAST(NULL AS VARCHAR) AS quality_flag
+FROM r WHERE uid IS NOT NULL"""
+    parts = [f"""SELECT 'observations-{t}', 'ICOADS-30-' || uid, NULL, NULL, {place}, NULL, NULL, CAST({e} AS VARCHAR), '{n}', '2'
+FROM r WHERE uid IS NOT NULL AND {e} IS NOT NULL""" for t, (e, n) in value.items()]
+    body = " UNION ALL ".join([header, *parts])
+    return f"WITH {A.cte('reports')}, r AS (SELECT *, CASE WHEN p.at >= p.dpt THEN (p.at + p.dpt) / 2 END AS wbt FROM reports p) {body}"
+
+
+@register("cdm_mapping", _cdm_mapping_sql())
+def q_cdm_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Header and seven observation tables of all reports by a rule
+    table, put under one another with the name of their table."""
+    r = _reports(spark, sf).withColumn("wbt", F.expr(_MAP_WBT))
+    out = None
+    for name, rows in MAP.map_to_cdm(r, MAP_RULES, MAP_CODES).items():
+        rows = rows.select(F.lit(name).alias("cdm_table"), "*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
