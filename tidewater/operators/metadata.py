@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 MISSING_TEXT = "NULL"
 
@@ -49,22 +48,42 @@ def phonetic(name) -> Column:
 
 
 # --- C13: name similarity -------------------------------------------------------------
-def _lcs(a: str, b: str) -> int:
-    prev = [0] * (len(b) + 1)
-    for ca in a:
-        cur = [0]
-        for j, cb in enumerate(b):
-            cur.append(prev[j] + 1 if ca == cb else max(prev[j + 1], cur[j]))
-        prev = cur
-    return prev[-1]
+def _common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two non-empty texts: the
+    usual table, a row for each character of ``a``, folded in the JVM."""
+    letters = F.split(b, "")
 
+    def row(above: Column, char: Column) -> Column:
+        def cell(left: Column, j: Column) -> Column:
+            best = F.when(F.element_at(letters, j) == char, F.element_at(above, j) + 1) \
+                .otherwise(F.greatest(F.element_at(above, j + 1), F.element_at(left, -1)))
+            return F.concat(left, F.array(best))
 
-def indel_ratio(a: str | None, b: str | None) -> float:
-    """Similarity (len_a + len_b - indel distance) / (len_a + len_b), i.e.
-    2 LCS / total length; 1.0 for two empty strings."""
-    a, b = a or "", b or ""
-    tot = len(a) + len(b)
-    return 1.0 if tot == 0 else 2.0 * _lcs(a, b) / tot
+        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), F.array(F.lit(0)), cell)
+
+    first = F.array_repeat(F.lit(0), F.length(b) + 1)
+    return F.aggregate(F.split(a, ""), first, row, lambda last: F.element_at(last, -1))
+
+
+def name_similarity(a, b) -> Column:
+    """Indel ratio of two names, 2 * common subsequence / total length; 1 for
+    two empty names (a null name is empty)."""
+    a, b = F.coalesce(_c(a), F.lit("")), F.coalesce(_c(b), F.lit(""))
+    total = F.length(a) + F.length(b)
+    return (F.when(a == b, F.lit(1.0)).when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0))
+            .otherwise(2.0 * _common_length(a, b) / total))
+
+
+def names_alike(a: Column, b: Column, threshold: float) -> Column:
+    """``name_similarity(a, b) > threshold``.  Insertions and deletions are
+    at least the Levenshtein distance and at most twice as many, which
+    settles most pairs; only those in between build the table."""
+    total = F.length(a) + F.length(b)
+    edits = F.levenshtein(a, b)
+    return (F.when(a == b, F.lit(1.0 > threshold))
+            .when((total - edits) / total <= threshold, F.lit(False))
+            .when((total - 2 * edits) / total > threshold, F.lit(True))
+            .otherwise(name_similarity(a, b) > threshold))
 
 
 def regular_name(col) -> Column:
@@ -186,7 +205,7 @@ def resolve_edition_duplicates(df: DataFrame, check: list[str], all_cols: list[s
     edition column when ``df`` holds several.  Rows without a call sign are
     split off before the grouping; only call signs with exactly two rows
     enter a window (partition size 2)."""
-    d = df.groupBy(*[c for c in df.columns if c != order]).agg(F.min(order).alias(order))
+    d = keep_first(df, order)
     keys = [key] + ([edition] if edition else [])
     unnamed = d.where(_missing(F.col(key))).withColumn("kept", F.lit(True))
     d = d.where(~_missing(F.col(key)))
@@ -236,85 +255,127 @@ def resolve_edition_duplicates(df: DataFrame, check: list[str], all_cols: list[s
 
 
 # --- J20: record linkage of successive editions --------------------------------------
-def _is_missing(v) -> bool:
-    return v is None or (isinstance(v, float) and v != v) or str(v) in (MISSING_TEXT, "-999999", "-999999.0")
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once (a one-element transform)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _similar(a: dict, b: dict) -> float:
-    """1 for names that sound alike, else the indel ratio of the names."""
-    return 1.0 if a["sx"] == b["sx"] else indel_ratio(a["name"], b["name"])
+def _rule(known: Column, row: Column, check: list[str], numeric: list[str], threshold: float) -> Column:
+    """What becomes of a row held against the newest record of earlier editions:
 
+    ============  =======================  ==========
+    name          check columns            row
+    ============  =======================  ==========
+    similar       equal, or gaps only      'absorb'
+    similar       a number clashes         'drop'
+    similar       only texts clash         'new'
+    other         any                      'new'
+    ============  =======================  ==========
+    """
+    def clash(c: str) -> Column:
+        gap = _missing(known[c]) | _missing(row[c])
+        return ~known[c].eqNullSafe(row[c]) & ~gap
 
-def _differences(a: dict, b: dict, columns: list[str]) -> tuple[list[str], list[str]]:
-    """(columns where one side is missing, columns where both have other values)."""
-    unlike = [c for c in columns if a[c] != b[c]]
-    gaps = [c for c in unlike if _is_missing(a[c]) or _is_missing(b[c])]
-    return gaps, [c for c in unlike if c not in gaps]
+    def any_of(columns: list[str]) -> Column:
+        return reduce(lambda a, b: a | b, [clash(c) for c in columns], F.lit(False))
 
+    alike = known["sx"].eqNullSafe(row["sx"]) | names_alike(known["name"], row["name"], threshold)
+    return (F.when(known.isNull(), F.lit("new")).when(~alike, F.lit("new"))
+            .when(any_of([c for c in check if c in numeric]), F.lit("drop"))
+            .when(any_of([c for c in check if c not in numeric]), F.lit("new")).otherwise(F.lit("absorb")))
 
-def _absorb(record: dict, row: dict, gaps: list[str]) -> None:
-    """``row`` describes the same ship period: take its values where the
-    record has none, widen the dates and remember another name."""
-    record.update({c: row[c] for c in gaps if _is_missing(record[c])})
-    record["valid_from"] = min(record["valid_from"], row["valid_from"])
-    record["valid_to"] = max(record["valid_to"], row["valid_to"])
-    if row["name"] != record["name"] and row["name"] not in record["alt_names"]:
-        record["alt_names"] += ";" + row["name"]
 
+def _absorbed(known: Column, row: Column, check: list[str]) -> Column:
+    """The record with the row's values where it has none, wider dates, the
+    row's source and, if unknown so far, its name."""
+    heard = (row["name"] == known["name"]) | F.contains(known["alt_names"], row["name"])
+    out = {c: F.when(_missing(known[c]), row[c]).otherwise(known[c]) for c in check}
+    out["valid_from"] = F.least(known["valid_from"], row["valid_from"])
+    out["valid_to"] = F.greatest(known["valid_to"], row["valid_to"])
+    out["alt_names"] = F.when(heard, known["alt_names"]).otherwise(F.concat(known["alt_names"], F.lit(";"), row["name"]))
+    out["source_file"] = F.concat_ws(";", known["source_file"], row["source_file"])
+    return reduce(lambda r, c: r.withField(c, out[c]), out, known)
 
-def _link_group(rows: pd.DataFrame, check: list[str], numeric: set[str], threshold: float) -> pd.DataFrame:
-    """Fold one (country, call sign) over its editions in order.  Every row
-    of an edition is held against the newest record of earlier editions:
 
-    ============  =======================  ==============================
-    name          check columns            row
-    ============  =======================  ==============================
-    similar       equal, or gaps only      absorbed by the record
-    similar       a number clashes         dropped
-    similar       only texts clash         a new record
-    other         any                      a new record
-    ============  =======================  ==============================
-    """
-    records: list[dict] = []
-    newest = 0
-    for _, edition in rows.sort_values(["edition", "line"]).groupby("edition", sort=True):
-        known = next((r for r in records if r["record_number"] == newest), None)
-        added = []
-        for row in edition.to_dict("records"):
-            if known is not None and _similar(known, row) > threshold:
-                gaps, clashes = _differences(known, row, check)
-                if not clashes:
-                    _absorb(known, row, gaps)
-                    continue
-                if numeric.intersection(clashes):
-                    continue
-            added.append(row | {"record_number": newest + 1, "alt_names": ""})
-        records += added
-        newest += bool(added)
-    return pd.DataFrame(records, columns=[*rows.columns, "record_number", "alt_names"])
+def keep_first(df: DataFrame, order: str) -> DataFrame:
+    """Exact duplicates (every column but ``order`` equal) become one row
+    with the smallest ``order``; a partial aggregate, so copies do not travel."""
+    return df.groupBy(*[c for c in df.columns if c != order]).agg(F.min(order).alias(order))
 
 
 def link_editions(df: DataFrame, check: list[str], numeric: list[str], threshold: float = 0.8,
-                  country: str = "rcnty") -> DataFrame:
-    """Master records per (country, call sign) from all editions.  Rows
-    without a call sign are never linked: those of the country's first
+                  country: str = "rcnty", source: str = "edition", order: str = "line") -> DataFrame:
+    """Master records per (country, call sign) from all editions, with
+    ``record_number``, ``alt_names`` and ``source_file`` (the sources of all
+    rows in the record, joined by ';').
+
+    The rows of a call sign are folded in order of (edition, ``order``) by
+    one ``aggregate`` expression.  Its state is the newest ``known`` record
+    of earlier editions, the first record ``added`` by the edition at hand,
+    which is the newest one from the next edition on, and the records that
+    no later row can reach.  Rows of an edition only see earlier editions, so several
+    new rows of one edition share a record number.  Exact duplicates are
+    dropped first; a group is the distinct descriptions of one call sign.
+
+    Rows without a call sign are never linked: those of the country's first
     edition are records of their own, later ones have no place, and none of
-    them enters a group.  A call sign's group (one ship's history) is folded
-    by a pandas function."""
-    d = df.withColumn("sx", phonetic(F.col("name")))
-    columns = d.columns
-    schema = StructType([*d.schema.fields, StructField("record_number", IntegerType()), StructField("alt_names", StringType())])
-    num, names = set(numeric), schema.names
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _link_group(pdf, check, num, threshold)[names]
-
+    them enters a group.  A null name counts as 'NULL', a null edition as
+    the earliest; null dates give way to the other side's.
+    """
+    d = keep_first(df.withColumn("name", F.coalesce("name", F.lit(MISSING_TEXT))), order)
+    d = d.withColumn("sx", phonetic(F.col("name")))
+    d = d.withColumns({"record_number": F.lit(1), "alt_names": F.lit(""),
+                       "source_file": F.coalesce(F.col(source).cast("string"), F.lit(MISSING_TEXT))})
+    columns = ["edition", order] + [c for c in d.columns if c not in ("edition", order)]
+    record = StructType([StructField(c, d.schema[c].dataType) for c in columns])
+    none = F.lit(None).cast(record)
     unnamed = _missing(F.col("call"))
-    linked = d.where(~unnamed).groupBy(country, "call").applyInPandas(run, schema)
+
+    def pack(known: Column, added: Column, edition: Column, closed: Column) -> Column:
+        return F.struct(known.alias("known"), added.alias("added"), edition.alias("edition"), closed.alias("closed"))
+
+    def push(closed: Column, r: Column) -> Column:
+        return F.concat(closed, F.array(r))
+
+    def turn(state: Column, row: Column) -> Column:
+        """The state as the row finds it: a new edition closes the one before."""
+        same = state["edition"].eqNullSafe(row["edition"])
+        renewed = ~same & state["added"].isNotNull()
+        return pack(F.when(renewed, state["added"]).otherwise(state["known"]),
+                    F.when(same, state["added"]), row["edition"],
+                    F.when(renewed & state["known"].isNotNull(), push(state["closed"], state["known"]))
+                    .otherwise(state["closed"]))
+
+    def settle(state: Column, row: Column, rule: Column) -> Column:
+        number = F.coalesce(state["known"]["record_number"], F.lit(0)) + 1
+        fresh = row.withField("record_number", number)
+        more = (rule == "new") & state["added"].isNotNull()
+        return pack(F.when(rule == "absorb", _absorbed(state["known"], row, check)).otherwise(state["known"]),
+                    F.when((rule == "new") & state["added"].isNull(), fresh).otherwise(state["added"]), state["edition"],
+                    F.when(more, push(state["closed"], fresh)).otherwise(state["closed"]))
+
+    def step(state: Column, row: Column) -> Column:
+        return _let(turn(state, row), lambda s: _let(
+            _rule(s["known"], row, check, numeric, threshold), lambda rule: settle(s, row, rule)))
+
+    start = pack(none, none, F.lit(None).cast(d.schema["edition"].dataType), F.array().cast(ArrayType(record)))
+    rows = F.array_sort(F.collect_list(F.struct(*columns).cast(record)))
+    linked = d.where(~unnamed).groupBy(F.col(country).alias("_country"), F.col("call").alias("_call")) \
+        .agg(rows.alias("rows"))
+    final = F.aggregate("rows", start, step, lambda s: F.filter(
+        F.concat(s["closed"], F.array(s["known"], s["added"])), lambda r: r.isNotNull()))
+    linked = linked.select(F.explode(final).alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])
     first = df.groupBy(F.col(country).alias("_c")).agg(F.min("edition").alias("_first"))
     alone = d.where(unnamed).join(first, F.col(country).eqNullSafe(F.col("_c")) & (F.col("edition") == F.col("_first")))
-    alone = alone.select(*columns, F.lit(1).alias("record_number"), F.lit("").alias("alt_names"))
-    return linked.unionByName(alone)
+    return linked.unionByName(alone.select(*columns))
+
+
+def master_records(linked: DataFrame, country: str = "rcnty", order: str = "line") -> DataFrame:
+    """The linked records as a master file: ``uid`` (call sign, sound code and
+    country joined by '-'), record numbers from 0 by date within a uid, and
+    validity periods closed up (W17)."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING_TEXT)) for c in ("call", "sx", country)]
+    return renumber_intervals(linked.withColumn("uid", F.concat_ws("-", *named)), key="uid", tie=order)
 
 
 # --- C17: instrument identifiers ----------------------------------------------------

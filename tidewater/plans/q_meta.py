@@ -1,9 +1,9 @@
-"""Registered queries: ship-metadata chain (S12, S14, S15, C12, C15, J15, J20,
-W17-W19)."""
+"""Registered queries: ship-metadata chain (S12, S14, S15, C12, C13, C15, C17, J15,
+J20, O4, W17-W19)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators import metadata as MD
@@ -152,12 +152,128 @@ def q_edition_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("line", "call", "kept", *CHECK)
 
 
-@register("link_editions")
+# longest common subsequence of the pairs (a, b) of a table ``pairs``, one character of ``a`` a step
+_LCS_SQL = """lcs(a, b, i, cells) AS (
+  SELECT a, b, 0, list_transform(range(0, length(b) + 1), lambda x: 0) FROM pairs
+  UNION ALL
+  SELECT a, b, i + 1, list_concat([0], list_transform(range(1, length(b) + 1), lambda j: list_max(
+    list_transform(range(1, j + 1), lambda k: CASE WHEN substr(b, k, 1) = substr(a, i + 1, 1) THEN cells[k] + 1
+                                                   ELSE cells[k + 1] END))))
+  FROM lcs WHERE i < length(a)),
+likeness AS (SELECT a, b, 2.0 * cells[length(b) + 1] / (length(a) + length(b)) AS ratio FROM lcs WHERE i = length(a))"""
+
+
+@register("name_similarity", f"""WITH RECURSIVE e AS ({_ED}),
+n AS (SELECT line, name, lag(name) OVER (PARTITION BY rcnty, call ORDER BY edition, line) AS before FROM e),
+pairs AS (SELECT DISTINCT name AS a, before AS b FROM n WHERE before IS NOT NULL), {_LCS_SQL}
+SELECT line, round(ratio, 9) AS ratio, ratio > 0.8 AS alike FROM n JOIN likeness ON name = a AND before = b""")
+def q_name_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """Similarity of every ship name with the one before it under the same call sign."""
+    w = Window.partitionBy("rcnty", "call").orderBy("edition", "line")
+    n = editions(spark, sf).select("line", "name", F.lag("name").over(w).alias("before")).where("before IS NOT NULL")
+    name, before = F.col("name"), F.col("before")
+    return n.select("line", F.round(MD.name_similarity(name, before), 9).alias("ratio"),
+                    MD.names_alike(name, before, 0.8).alias("alike"))
+
+
+_LINKED = ["line", "call", "rcnty", "sx", "record_number", "name", "alt_names", "source_file", "valid_from", "valid_to",
+           *CHECK]
+
+
+def _linked_sql() -> str:
+    """The linkage with one state row per call sign: step n takes the n-th row
+    of every call sign; a record leaves in the column ``closed`` of the step
+    after which no row can reach it."""
+    def gone(c: str) -> str:
+        return f"({c} IS NULL OR CAST({c} AS VARCHAR) IN ('NULL', '-999999', '-999999.0'))"
+
+    def clash(columns: list[str]) -> str:
+        return " OR ".join(f"(r.{c} IS DISTINCT FROM known.{c} AND NOT {gone('r.' + c)} AND NOT {gone('known.' + c)})"
+                           for c in columns)
+
+    def struct(values: dict[str, str]) -> str:
+        return "{" + ", ".join(f"'{c}': {v}" for c, v in values.items()) + "}"
+
+    texts = [c for c in CHECK if c not in NUMERIC]
+    plain = {c: f"r.{c}" for c in _LINKED}
+    merged = {c: f"known.{c}" for c in _LINKED} | {
+        c: f"CASE WHEN {gone('known.' + c)} THEN r.{c} ELSE known.{c} END" for c in CHECK} | {
+        "valid_from": "least(known.valid_from, r.valid_from)", "valid_to": "greatest(known.valid_to, r.valid_to)",
+        "alt_names": "CASE WHEN r.name = known.name OR contains(known.alt_names, r.name) THEN known.alt_names "
+                     "ELSE known.alt_names || ';' || r.name END",
+        "source_file": "known.source_file || ';' || r.source_file"}
+    fresh = struct(plain | {"record_number": "coalesce(known.record_number, 0) + 1"})
+    out = ", ".join(f"x.{c} AS {c}" for c in _LINKED)
+    return f"""e AS (SELECT * EXCLUDE (line, packed, brm, anDC), min(line) AS line FROM ({_ED}) GROUP BY ALL),
+d AS (SELECT *, {_phonetic_sql('name')} AS sx, 1 AS record_number, '' AS alt_names,
+             CAST(edition AS VARCHAR) AS source_file FROM e),
+q AS (SELECT edition, {struct({c: c for c in _LINKED})} AS r, rcnty AS country, call AS callsign,
+             row_number() OVER k AS pos, count(*) OVER (PARTITION BY rcnty, call) AS n
+      FROM d WHERE NOT {gone('call')} WINDOW k AS (PARTITION BY rcnty, call ORDER BY edition, line)),
+pairs AS (SELECT DISTINCT x.r.name AS a, y.r.name AS b FROM q x JOIN q y
+          ON x.country = y.country AND x.callsign = y.callsign AND x.r.sx <> y.r.sx), {_LCS_SQL},
+alike AS (SELECT a, b FROM likeness WHERE ratio > 0.8),
+fold(country, callsign, pos, n, edition, known, added, closed) AS (
+  SELECT country, callsign, pos, n, edition, CASE WHEN false THEN r END, r, CASE WHEN false THEN r END FROM q WHERE pos = 1
+  UNION ALL
+  SELECT country, callsign, pos, n, edition, CASE rule WHEN 'absorb' THEN {struct(merged)} ELSE known END,
+    CASE WHEN rule = 'new' AND added IS NULL THEN {fresh} ELSE added END,
+    CASE WHEN rule = 'new' AND added IS NOT NULL THEN {fresh} ELSE closed END
+  FROM (SELECT t.*, CASE WHEN known IS NULL THEN 'new' WHEN NOT (known.sx = r.sx OR alike.a IS NOT NULL) THEN 'new'
+                         WHEN {clash(NUMERIC)} THEN 'drop' WHEN {clash(texts)} THEN 'new' ELSE 'absorb' END AS rule
+        FROM (SELECT q.*, CASE WHEN q.edition <> f.edition AND f.added IS NOT NULL THEN f.added ELSE f.known END AS known,
+                     CASE WHEN q.edition = f.edition THEN f.added END AS added,
+                     CASE WHEN q.edition <> f.edition AND f.added IS NOT NULL THEN f.known END AS closed
+              FROM fold f JOIN q ON q.country = f.country AND q.callsign = f.callsign AND q.pos = f.pos + 1) t
+        LEFT JOIN alike ON known.name = alike.a AND r.name = alike.b)),
+linked AS (SELECT {out} FROM (SELECT closed AS x FROM fold UNION ALL SELECT known FROM fold WHERE pos = n
+                              UNION ALL SELECT added FROM fold WHERE pos = n) WHERE x IS NOT NULL
+  UNION ALL SELECT {', '.join('d.' + c for c in _LINKED)} FROM d
+  JOIN (SELECT rcnty, min(edition) AS edition FROM d GROUP BY rcnty) f USING (rcnty, edition) WHERE {gone('call')})"""
+
+
+def _linked(spark: SparkSession, sf: str) -> DataFrame:
+    return MD.link_editions(editions(spark, sf).drop("packed", "brm", "anDC"), CHECK, NUMERIC)
+
+
+@register("link_editions", f"WITH RECURSIVE {_linked_sql()} SELECT * EXCLUDE (line) FROM linked")
 def q_link_editions(spark: SparkSession, sf: str) -> DataFrame:
     """J20 + C13: master records linked across the yearly editions per
-    (country, call sign)."""
-    out = MD.link_editions(editions(spark, sf).drop("packed", "brm", "anDC"), CHECK, NUMERIC)
-    return out.select("rcnty", "call", "record_number", "name", "alt_names", "valid_from", "valid_to", *CHECK)
+    (country, call sign), with their sources."""
+    return _linked(spark, sf).select(*[c for c in _LINKED if c != "line"])
+
+
+@register("master_records", f"""WITH RECURSIVE {_linked_sql()},
+u AS (SELECT *, coalesce(call, 'NULL') || '-' || coalesce(sx, 'NULL') || '-' || coalesce(rcnty, 'NULL') AS uid FROM linked),
+w AS (SELECT *, row_number() OVER k - 1 AS rn, count(*) OVER (PARTITION BY uid) AS n, lead(valid_from) OVER k AS nx
+      FROM u WINDOW k AS (PARTITION BY uid ORDER BY valid_from, line)),
+v AS (SELECT *, CASE WHEN datediff('day', nx, valid_to) BETWEEN -3625 AND 0 THEN nx ELSE valid_to END AS vt FROM w)
+SELECT uid, rn AS record_number, name, alt_names, source_file, {', '.join(CHECK)},
+  CAST(CASE WHEN rn = 0 THEN valid_from - INTERVAL 12 MONTH ELSE valid_from END AS DATE) AS valid_from,
+  CAST(CASE WHEN rn = n - 1 THEN vt + INTERVAL 60 MONTH ELSE vt END AS DATE) AS valid_to FROM v""")
+def q_master_records(spark: SparkSession, sf: str) -> DataFrame:
+    """J20 + W17: the master file, linked records under uids, renumbered by
+    date, validity periods closed up."""
+    return MD.master_records(_linked(spark, sf)).select(
+        "uid", "record_number", "name", "alt_names", "source_file", *CHECK, "valid_from", "valid_to")
+
+
+@register("anemometer_side", f"""WITH e AS ({_ED}), s AS (SELECT line, CASE WHEN starts_with(anDC, 's') THEN NULL ELSE 'C' END AS side,
+  CASE WHEN anDC = 'X' THEN 'PORT' ELSE anDC END AS dist FROM e)
+SELECT line, CASE WHEN regexp_matches(coalesce(dist, ''), '^[a-zA-Z]') THEN dist ELSE side END AS side,
+       CASE WHEN regexp_matches(coalesce(dist, ''), '^[a-zA-Z]') THEN NULL ELSE dist END AS dist FROM s""")
+def q_anemometer_side(spark: SparkSession, sf: str) -> DataFrame:
+    """C17: a side that stands in the distance of the second anemometer moves to the first one's side."""
+    e = editions(spark, sf).selectExpr("line", "CASE WHEN startswith(anDC, 's') THEN NULL ELSE 'C' END AS side",
+                                       "CASE WHEN anDC = 'X' THEN 'PORT' ELSE anDC END AS dist")
+    return MD.repair_anemometer_side(e, dist2="dist", side1="side")
+
+
+@register("distinct_descriptions", f"""SELECT call, name, rcnty, vsslM, vssl, min(line) AS line FROM ({_ED})
+GROUP BY ALL""")
+def q_distinct_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact duplicates of ship descriptions, the first one kept."""
+    return MD.keep_first(editions(spark, sf).select("call", "name", "rcnty", "vsslM", "vssl", "line"), "line")
 
 
 _SPECS = {"thermometer1_id": ("TH1", ["platH_n"], []), "hygrometer1_id": ("HY1", [], ["vssl"]),
