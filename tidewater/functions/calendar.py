@@ -1,9 +1,11 @@
 """Calendar expressions (C9): month lengths, 365-day day-of-year, pentads,
-report timestamps and month arithmetic.  Integer arithmetic only, so the same
+report timestamps, month arithmetic, and steps to other days and months.  Integer arithmetic only, so the same
 rules are easy to state in SQL."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,3 +94,43 @@ def season(mo) -> Column:
         .when(mo.isin(6, 7, 8), F.lit("JJA"))
         .when(mo.isin(9, 10, 11), F.lit("SON"))
     )
+
+
+def previous_day(yr, mo, dy) -> Column:
+    """Struct (yr, mo, dy) of the day before; its fields are NULL for a day that does not exist."""
+    before = F.date_sub(_date(yr, mo, dy), 1)
+    return F.struct(F.year(before).alias("yr"), F.month(before).alias("mo"), F.day(before).alias("dy"))
+
+
+def month_step(yr, mo, n: int) -> Column:
+    """Struct (yr, mo) of the month ``n`` months on (-1: last month, 1: next month)."""
+    return month_of_key(month_key(yr, mo) + n)
+
+
+def month_of_key(key) -> Column:
+    """Struct (yr, mo) of a ``month_key``."""
+    key = _c(key)
+    return F.struct(F.floor(key / 12).cast("int").alias("yr"), (F.pmod(key, F.lit(12)) + 1).cast("int").alias("mo"))
+
+
+def months_through(yr1, mo1, yr2, mo2) -> Column:
+    """Array of (yr, mo) from one month to another, both included; empty if the second is earlier."""
+    first, last = month_key(yr1, mo1), month_key(yr2, mo2)
+    return F.when(first <= last, F.transform(F.sequence(first, last), month_of_key)) \
+        .when(first > last, F.array().cast("array<struct<yr:int,mo:int>>"))
+
+
+def julian_day(yr, mo, dy) -> Column:
+    """Astronomical day number (1970-01-01 is 2440588); NULL for a day that does not exist."""
+    return F.date_diff(_date(yr, mo, dy), F.lit("1970-01-01").cast("date")) + 2440588
+
+
+def hours_between(yr1, mo1, dy1, hr1, yr2, mo2, dy2, hr2) -> Column:
+    """Hours from the first time to the second, negative if it is earlier;
+    NULL for a day that does not exist or an hour outside 0 <= h < 24."""
+    ok = reduce(lambda a, b: a & b, [(_c(h) >= 0) & (_c(h) < 24) for h in (hr1, hr2)])
+    return F.when(ok, (julian_day(yr2, mo2, dy2) - julian_day(yr1, mo1, dy1)) * 24.0 + (_c(hr2) - _c(hr1)))
+
+
+def _date(yr, mo, dy) -> Column:
+    return F.when(valid_day(yr, mo, dy), F.make_date(_c(yr), _c(mo), _c(dy)))

@@ -82,14 +82,19 @@ def grid_lookup(df: DataFrame, field: DataFrame, values: dict[str, str], n: int
     return out.drop(f"{k}t", f"{k}y", f"{k}x")
 
 
-def as_grid_table(df: DataFrame, n: int, res: float, value: str = "value",
-                  flip_lat: bool = False, roll_lon: bool = False) -> DataFrame:
+def as_grid_table(df: DataFrame, n: int, res: float, value: str = "value", flip_lat: bool = False,
+                  roll_lon: bool = False, transpose: bool = False, level: str | None = None) -> DataFrame:
     """Re-index a tabular field to the (t, y, x) convention (S17): y = 0 at
-    the north, x = 0 at 180W.  ``flip_lat`` for fields stored south-first,
-    ``roll_lon`` for fields whose first column is at 0E."""
+    the north, x = 0 at 180W.  ``transpose`` for fields whose y and x are
+    swapped, ``flip_lat`` for fields stored south-first, ``roll_lon`` for
+    fields whose first column is at 0E; of a field with a ``level`` column
+    the first level (0) is taken.  Missing values and steps from ``n`` on are left out."""
     ny, nx = int(round(180 / res)), int(round(360 / res))
-    y = (F.lit(ny - 1) - F.col("y")) if flip_lat else F.col("y")
-    x = F.pmod(F.col("x") + nx // 2, F.lit(nx)) if roll_lon else F.col("x")
+    row, col = (F.col("x"), F.col("y")) if transpose else (F.col("y"), F.col("x"))
+    y = (F.lit(ny - 1) - row) if flip_lat else row
+    x = F.pmod(col + nx // 2, F.lit(nx)) if roll_lon else col
+    if level is not None:
+        df = df.where(F.col(level) == 0)
     return df.select(F.col("t").cast("int").alias("t"), y.cast("int").alias("y"),
                      x.cast("int").alias("x"), F.col(value).alias("value")).where(
         F.col("value").isNotNull() & (F.col("t") < n))

@@ -12,6 +12,7 @@ from tidewater.plans import q_meta  # noqa: F401
 from tidewater.plans import q_ingest  # noqa: F401
 from tidewater.plans import q_files  # noqa: F401
 from tidewater.plans import q_runs  # noqa: F401
+from tidewater.plans import q_blocks  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES

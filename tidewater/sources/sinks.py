@@ -11,6 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.anomaly import anomaly
+from tidewater.functions.calendar import pentad, valid_day_2004
+from tidewater.functions.text import MISSING, date_text
 from tidewater.session import stage_table
 
 PIPE = "|"
@@ -102,18 +105,26 @@ def write_flags(block: DataFrame, path: str) -> None:
     _replace(block).csv(path, header=True)
 
 
-def variable_block(df: DataFrame, variables: list[str], missing: str = "\\N") -> DataFrame:
-    """K7: values and anomalies with date and pentad; text sink writes
-    ``missing`` for NULL (pass it as ``nullValue``)."""
-    from tidewater.functions.calendar import pentad
-
-    cols = [F.col("uid").alias("UID"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("DATE"),
-            pentad("mo", "dy").alias("PENTAD")]
+def variable_block(df: DataFrame, variables: list[str]) -> DataFrame:
+    """K7: a report's identity, date, pentad (NULL for a day no year has) and position, and for every
+    variable its value and, where the column ``<variable>_norm`` is there, its anomaly."""
+    cols = [F.col("uid").alias("UID"), F.trim("id").alias("ID"), date_text("yr", "mo", "dy").alias("DATE"),
+            F.when(valid_day_2004("mo", "dy"), pentad("mo", "dy")).alias("PENTAD"), F.col("hr").alias("HR"), F.col("lat").alias("LAT"), F.col("lon").alias("LON")]
     for v in variables:
         cols.append(F.col(v).alias(v.upper()))
         if f"{v}_norm" in df.columns:
-            cols.append((F.col(v) - F.col(f"{v}_norm")).alias(f"{v.upper()}_ANOM"))
-    return df.select(*cols)
+            cols.append(anomaly(v, f"{v}_norm").alias(f"{v.upper()}_ANOM"))
+    return df.select(*cols, *[F.col(c).alias(f"f_{c}") for c in ("yr", "mo")])
+
+
+def write_variable_block(block: DataFrame, path: str) -> None:
+    """K7: variable blocks as comma text, a folder a month, the missing mark for NULL."""
+    _replace(block).partitionBy("f_yr", "f_mo").csv(path, header=True, nullValue=MISSING)
+
+
+def read_variable_block(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Variable blocks as ``write_variable_block`` leaves them."""
+    return spark.read.csv(path, header=True, schema=schema, nullValue=MISSING)
 
 
 def write_metadata(df: DataFrame, path: str, by: str | None = "rcnty") -> None:
