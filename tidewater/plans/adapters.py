@@ -143,7 +143,7 @@ def sql_for_duckdb(text: str, **kw) -> str:
 _MATERIALISED: dict[tuple, str] = {}
 
 
-def _materialise(spark: SparkSession, key: tuple, build) -> DataFrame:
+def _materialise(spark: SparkSession, key: tuple, build, spread: bool = True) -> DataFrame:
     """Write an adapter's output once per session as a parquet table in the
     shared checkpoint folder and read it back.  Operators then see plain
     columns (as they would reading the archive), instead of the adapter's
@@ -165,8 +165,10 @@ def _materialise(spark: SparkSession, key: tuple, build) -> DataFrame:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/tidewater_inputs/{uuid.uuid4().hex}"
         # several files, as an archive has: the scan then runs in parallel
-        n = max(1, spark.sparkContext.defaultParallelism)
-        build().repartition(n).write.mode("overwrite").parquet(path)
+        out = build()
+        if spread:
+            out = out.repartition(max(1, spark.sparkContext.defaultParallelism))
+        out.write.mode("overwrite").parquet(path)
         _MATERIALISED[k] = path
     return spark.read.parquet(path)
 
@@ -196,8 +198,9 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _static(spark: SparkSession, name: str, sql: str) -> DataFrame:
     """Static reference fields (climatology, background): generated from a
-    deterministic range once per session and stored as a table."""
-    return _materialise(spark, ("static", name), lambda: spark.sql(sql))
+    deterministic range once per session and stored as a table.  The range is
+    dealt to all cores already, so its rows are not shuffled."""
+    return _materialise(spark, ("static", name), lambda: spark.sql(sql), spread=False)
 
 
 def stored(spark: SparkSession, name: str, build) -> DataFrame:

@@ -164,13 +164,15 @@ likeness AS (SELECT a, b, 2.0 * cells[length(b) + 1] / (length(a) + length(b)) A
 
 
 @register("name_similarity", f"""WITH RECURSIVE e AS ({_ED}),
-n AS (SELECT line, name, lag(name) OVER (PARTITION BY rcnty, call ORDER BY edition, line) AS before FROM e),
+n AS (SELECT line, name, lag(name) OVER (PARTITION BY rcnty, call ORDER BY edition, line) AS before FROM e
+      WHERE call <> 'NULL'),
 pairs AS (SELECT DISTINCT name AS a, before AS b FROM n WHERE before IS NOT NULL), {_LCS_SQL}
 SELECT line, round(ratio, 9) AS ratio, ratio > 0.8 AS alike FROM n JOIN likeness ON name = a AND before = b""")
 def q_name_similarity(spark: SparkSession, sf: str) -> DataFrame:
     """Similarity of every ship name with the one before it under the same call sign."""
     w = Window.partitionBy("rcnty", "call").orderBy("edition", "line")
-    n = editions(spark, sf).select("line", "name", F.lag("name").over(w).alias("before")).where("before IS NOT NULL")
+    named = editions(spark, sf).where("call <> 'NULL'")  # reports without a call sign would be one group
+    n = named.select("line", "name", F.lag("name").over(w).alias("before")).where("before IS NOT NULL")
     name, before = F.col("name"), F.col("before")
     return n.select("line", F.round(MD.name_similarity(name, before), 9).alias("ratio"),
                     MD.names_alike(name, before, 0.8).alias("alike"))
