@@ -58,3 +58,29 @@ def test_numbers_as_a_cast_reads_them(spark):
                          F.when(F.trim(raw).rlike("^[0-9A-Za-z]+$"), F.conv(F.trim(raw), 36, 10).try_cast("double")).alias("b36_want"))
         for r in rows.collect():
             assert (r.got, r.b36) == (r.want, r.b36_want), (width, r)
+
+
+def test_linkage_of_a_long_call_sign_streams(spark):
+    """A call sign's rows are sorted and streamed, not collected into one value that grows with them."""
+    import datetime
+
+    from tidewater.operators import metadata as MD
+
+    day = datetime.date(2000, 1, 1)
+    rows = [(i, 1990 + i % 20, "C1", "SEA STAR", "GB", 1, "MN"[i % 2], 5.0, day, day + datetime.timedelta(days=i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "line long, edition int, call string, name string, rcnty string, cls int, kind string, "
+                                     "height double, valid_from date, valid_to date")
+    out = MD.link_editions(df, ["cls", "kind", "height"], ["cls", "height"])
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.collect()
+    # odd editions hold kind N only, even ones M: the newest record absorbs its own kind, others are new
+    assert sum(len(r.source_file.split(";")) for r in got) == 6000
+
+
+def test_name_similarity_builds_no_table_of_columns(spark):
+    from tidewater.operators import metadata as MD
+
+    df = spark.createDataFrame([("SEA STAR", "SEA STARR"), (None, ""), ("é😀x", "😀é"), ("A", None)], "a string, b string")
+    out = df.select(MD.name_similarity("a", "b").alias("r"), MD.names_alike(F.col("a"), F.col("b"), 0.8).alias("s"))
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.r, r.s) for r in out.collect()] == [(16 / 17, True), (1.0, True), (2 / 5, False), (0.0, False)]

@@ -8,11 +8,17 @@ a window, and hot call signs are handled by aggregate rules.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType
+
+from tidewater.session import ship_package
 
 MISSING_TEXT = "NULL"
 
@@ -48,42 +54,39 @@ def phonetic(name) -> Column:
 
 
 # --- C13: name similarity -------------------------------------------------------------
-def _common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two non-empty texts: the
-    usual table, a row for each character of ``a``, folded in the JVM."""
-    letters = F.split(b, "")
+def _common(a: str, b: str) -> int:
+    """Length of the longest common subsequence: the usual table, a row at a
+    time as the bits of one integer (a zero where the row rises)."""
+    places: dict[str, int] = {}
+    for j, char in enumerate(b):
+        places[char] = places.get(char, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for char in a:
+        hit = row & places.get(char, 0)
+        row = (row + hit | row - hit) & full
+    return len(b) - row.bit_count()
+
 
-    def row(above: Column, char: Column) -> Column:
-        def cell(left: Column, j: Column) -> Column:
-            best = F.when(F.element_at(letters, j) == char, F.element_at(above, j) + 1) \
-                .otherwise(F.greatest(F.element_at(above, j + 1), F.element_at(left, -1)))
-            return F.concat(left, F.array(best))
+def _ratio(a: str, b: str) -> float:
+    total = len(a) + len(b)
+    return 1.0 if a == b else 2.0 * _common(a, b) / total
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), F.array(F.lit(0)), cell)
 
-    first = F.array_repeat(F.lit(0), F.length(b) + 1)
-    return F.aggregate(F.split(a, ""), first, row, lambda last: F.element_at(last, -1))
+@F.pandas_udf(DoubleType())
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def name_similarity(a, b) -> Column:
     """Indel ratio of two names, 2 * common subsequence / total length; 1 for
     two empty names (a null name is empty)."""
-    a, b = F.coalesce(_c(a), F.lit("")), F.coalesce(_c(b), F.lit(""))
-    total = F.length(a) + F.length(b)
-    return (F.when(a == b, F.lit(1.0)).when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0))
-            .otherwise(2.0 * _common_length(a, b) / total))
+    return _ratios(F.coalesce(_c(a), F.lit("")), F.coalesce(_c(b), F.lit("")))
 
 
 def names_alike(a: Column, b: Column, threshold: float) -> Column:
-    """``name_similarity(a, b) > threshold``.  Insertions and deletions are
-    at least the Levenshtein distance and at most twice as many, which
-    settles most pairs; only those in between build the table."""
-    total = F.length(a) + F.length(b)
-    edits = F.levenshtein(a, b)
-    return (F.when(a == b, F.lit(1.0 > threshold))
-            .when((total - edits) / total <= threshold, F.lit(False))
-            .when((total - 2 * edits) / total > threshold, F.lit(True))
-            .otherwise(name_similarity(a, b) > threshold))
+    """``name_similarity(a, b) > threshold``."""
+    return name_similarity(a, b) > threshold
 
 
 def regular_name(col) -> Column:
@@ -255,12 +258,20 @@ def resolve_edition_duplicates(df: DataFrame, check: list[str], all_cols: list[s
 
 
 # --- J20: record linkage of successive editions --------------------------------------
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once (a one-element transform)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _gone(v) -> bool:
+    return v is None or str(v) in (MISSING_TEXT, "-999999", "-999999.0")
+
+
+def _clash(known: dict, row: dict, columns: list[str]) -> bool:
+    """Two values that are there and differ (NaN equals NaN, as in Spark)."""
+    for c in columns:
+        a, b = known[c], row[c]
+        if a != b and not (a != a and b != b) and not _gone(a) and not _gone(b):
+            return True
+    return False
 
 
-def _rule(known: Column, row: Column, check: list[str], numeric: list[str], threshold: float) -> Column:
+def _rule(known: dict | None, row: dict, texts: list[str], numeric: list[str], threshold: float) -> str:
     """What becomes of a row held against the newest record of earlier editions:
 
     ============  =======================  ==========
@@ -272,29 +283,73 @@ def _rule(known: Column, row: Column, check: list[str], numeric: list[str], thre
     other         any                      'new'
     ============  =======================  ==========
     """
-    def clash(c: str) -> Column:
-        gap = _missing(known[c]) | _missing(row[c])
-        return ~known[c].eqNullSafe(row[c]) & ~gap
+    if known is None or not (known["sx"] == row["sx"] or _ratio(known["name"], row["name"]) > threshold):
+        return "new"
+    if _clash(known, row, numeric):
+        return "drop"
+    return "new" if _clash(known, row, texts) else "absorb"
 
-    def any_of(columns: list[str]) -> Column:
-        return reduce(lambda a, b: a | b, [clash(c) for c in columns], F.lit(False))
 
-    alike = known["sx"].eqNullSafe(row["sx"]) | names_alike(known["name"], row["name"], threshold)
-    return (F.when(known.isNull(), F.lit("new")).when(~alike, F.lit("new"))
-            .when(any_of([c for c in check if c in numeric]), F.lit("drop"))
-            .when(any_of([c for c in check if c not in numeric]), F.lit("new")).otherwise(F.lit("absorb")))
-
-
-def _absorbed(known: Column, row: Column, check: list[str]) -> Column:
-    """The record with the row's values where it has none, wider dates, the
+def _absorb(known: dict, row: dict, check: list[str]) -> None:
+    """The record gets the row's values where it has none, wider dates, the
     row's source and, if unknown so far, its name."""
-    heard = (row["name"] == known["name"]) | F.contains(known["alt_names"], row["name"])
-    out = {c: F.when(_missing(known[c]), row[c]).otherwise(known[c]) for c in check}
-    out["valid_from"] = F.least(known["valid_from"], row["valid_from"])
-    out["valid_to"] = F.greatest(known["valid_to"], row["valid_to"])
-    out["alt_names"] = F.when(heard, known["alt_names"]).otherwise(F.concat(known["alt_names"], F.lit(";"), row["name"]))
-    out["source_file"] = F.concat_ws(";", known["source_file"], row["source_file"])
-    return reduce(lambda r, c: r.withField(c, out[c]), out, known)
+    for c in check:
+        if _gone(known[c]):
+            known[c] = row[c]
+    for c, pick in (("valid_from", min), ("valid_to", max)):
+        if known[c] is None or row[c] is None:
+            known[c] = row[c] if known[c] is None else known[c]
+        else:
+            known[c] = pick(known[c], row[c])
+    if row["name"] != known["name"] and row["name"] not in known["alt_names"]:
+        known["alt_names"] += ";" + row["name"]
+    known["_sources"].append(row["source_file"])
+
+
+def _fold(batches: Iterator[pa.RecordBatch], schema: pa.Schema, country: str, check: list[str], numeric: list[str],
+          threshold: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (country, call sign, edition, order) to linked records.
+    The state is one call sign's: its newest ``known`` record of earlier
+    editions and the first record ``added`` by the edition at hand; a record
+    that no later row can reach leaves at once."""
+    texts = [c for c in check if c not in numeric]
+    numbers = [c for c in check if c in numeric]
+    group = edition = known = added = None
+    done: list[dict] = []
+
+    def leave(*records: dict | None) -> None:
+        for r in records:
+            if r is not None:
+                done.append(r | {"source_file": ";".join(r["_sources"])})
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_pylist(done, schema=schema)
+        done.clear()
+        return out
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if group != (row[country], row["call"]):
+                leave(known, added)
+                group, edition, known, added = (row[country], row["call"]), None, None, None
+            if edition != row["edition"]:  # a new edition closes the one before
+                if added is not None:
+                    leave(known)
+                    known, added = added, None
+                edition = row["edition"]
+            rule = _rule(known, row, texts, numbers, threshold)
+            if rule == "absorb":
+                _absorb(known, row, check)
+            elif rule == "new":
+                fresh = row | {"record_number": (known["record_number"] if known else 0) + 1, "_sources": [row["source_file"]]}
+                if added is None:
+                    added = fresh
+                else:
+                    leave(fresh)
+        if len(done) > 1000:
+            yield flush()
+    leave(known, added)
+    yield flush()
 
 
 def keep_first(df: DataFrame, order: str) -> DataFrame:
@@ -309,13 +364,12 @@ def link_editions(df: DataFrame, check: list[str], numeric: list[str], threshold
     ``record_number``, ``alt_names`` and ``source_file`` (the sources of all
     rows in the record, joined by ';').
 
-    The rows of a call sign are folded in order of (edition, ``order``) by
-    one ``aggregate`` expression.  Its state is the newest ``known`` record
-    of earlier editions, the first record ``added`` by the edition at hand,
-    which is the newest one from the next edition on, and the records that
-    no later row can reach.  Rows of an edition only see earlier editions, so several
-    new rows of one edition share a record number.  Exact duplicates are
-    dropped first; a group is the distinct descriptions of one call sign.
+    The rows of a call sign are sorted by (edition, ``order``) and folded as
+    they stream by: the state is the newest ``known`` record of earlier
+    editions and the first record ``added`` by the edition at hand, which is
+    the newest one from the next edition on.  Rows of an edition only see
+    earlier editions, so several new rows of one edition share a record
+    number.  Exact duplicates are dropped first.
 
     Rows without a call sign are never linked: those of the country's first
     edition are records of their own, later ones have no place, and none of
@@ -327,44 +381,17 @@ def link_editions(df: DataFrame, check: list[str], numeric: list[str], threshold
     d = d.withColumns({"record_number": F.lit(1), "alt_names": F.lit(""),
                        "source_file": F.coalesce(F.col(source).cast("string"), F.lit(MISSING_TEXT))})
     columns = ["edition", order] + [c for c in d.columns if c not in ("edition", order)]
-    record = StructType([StructField(c, d.schema[c].dataType) for c in columns])
-    none = F.lit(None).cast(record)
+    d = d.select(*columns)
     unnamed = _missing(F.col("call"))
+    ship_package(df.sparkSession)
+    schema, fold = to_arrow_schema(d.schema), _fold
+
+    def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fold(batches, schema, country, check, numeric, threshold)
 
-    def pack(known: Column, added: Column, edition: Column, closed: Column) -> Column:
-        return F.struct(known.alias("known"), added.alias("added"), edition.alias("edition"), closed.alias("closed"))
-
-    def push(closed: Column, r: Column) -> Column:
-        return F.concat(closed, F.array(r))
-
-    def turn(state: Column, row: Column) -> Column:
-        """The state as the row finds it: a new edition closes the one before."""
-        same = state["edition"].eqNullSafe(row["edition"])
-        renewed = ~same & state["added"].isNotNull()
-        return pack(F.when(renewed, state["added"]).otherwise(state["known"]),
-                    F.when(same, state["added"]), row["edition"],
-                    F.when(renewed & state["known"].isNotNull(), push(state["closed"], state["known"]))
-                    .otherwise(state["closed"]))
-
-    def settle(state: Column, row: Column, rule: Column) -> Column:
-        number = F.coalesce(state["known"]["record_number"], F.lit(0)) + 1
-        fresh = row.withField("record_number", number)
-        more = (rule == "new") & state["added"].isNotNull()
-        return pack(F.when(rule == "absorb", _absorbed(state["known"], row, check)).otherwise(state["known"]),
-                    F.when((rule == "new") & state["added"].isNull(), fresh).otherwise(state["added"]), state["edition"],
-                    F.when(more, push(state["closed"], fresh)).otherwise(state["closed"]))
-
-    def step(state: Column, row: Column) -> Column:
-        return _let(turn(state, row), lambda s: _let(
-            _rule(s["known"], row, check, numeric, threshold), lambda rule: settle(s, row, rule)))
-
-    start = pack(none, none, F.lit(None).cast(d.schema["edition"].dataType), F.array().cast(ArrayType(record)))
-    rows = F.array_sort(F.collect_list(F.struct(*columns).cast(record)))
-    linked = d.where(~unnamed).groupBy(F.col(country).alias("_country"), F.col("call").alias("_call")) \
-        .agg(rows.alias("rows"))
-    final = F.aggregate("rows", start, step, lambda s: F.filter(
-        F.concat(s["closed"], F.array(s["known"], s["added"])), lambda r: r.isNotNull()))
-    linked = linked.select(F.explode(final).alias("r")).select(*[F.col("r")[c].alias(c) for c in columns])
+    # a call sign's rows arrive one after the other, sorted on disk where they do not fit memory
+    linked = d.where(~unnamed).repartition(country, "call").sortWithinPartitions(country, "call", *columns) \
+        .mapInArrow(linked_rows, d.schema)
     first = df.groupBy(F.col(country).alias("_c")).agg(F.min("edition").alias("_first"))
     alone = d.where(unnamed).join(first, F.col(country).eqNullSafe(F.col("_c")) & (F.col("edition") == F.col("_first")))
     return linked.unionByName(alone.select(*columns))
