@@ -84,3 +84,31 @@ def test_name_similarity_builds_no_table_of_columns(spark):
     out = df.select(MD.name_similarity("a", "b").alias("r"), MD.names_alike(F.col("a"), F.col("b"), 0.8).alias("s"))
     assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.r, r.s) for r in out.collect()] == [(16 / 17, True), (1.0, True), (2 / 5, False), (0.0, False)]
+
+
+def test_wide_scans_are_not_shuffled(spark, tmp_path):
+    from tidewater.plans import adapters as A
+
+    path = str(tmp_path / "lineitem.parquet")
+    spark.range(0, 64, 1, 16).selectExpr("id AS l_orderkey").write.parquet(path)
+    text = "SELECT l_orderkey AS k FROM $lineitem"
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))  # a task for every few files
+    try:
+        assert A._wide_scan(spark, str(tmp_path), text)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    narrow = tmp_path / "narrow"
+    spark.range(0, 64, 1, 1).selectExpr("id AS l_orderkey").write.parquet(str(narrow / "lineitem.parquet"))
+    assert not A._wide_scan(spark, str(narrow), text)
+    assert sorted(r.k for r in A.view(spark, str(narrow), text).collect()) == list(range(64))
+    assert sorted(r.k for r in A.view(spark, str(tmp_path), text).collect()) == list(range(64))
+
+
+def test_tagged_lines_are_written_compressed_without_a_sort(spark, tmp_path):
+    line = " " * 108 + " 165" + " " * 6 + "926101 5" + " " * 45 + "12"
+    lines = spark.createDataFrame([(line,), (line,), (" " * 108,)], "value string")
+    FW.partition_lines(lines, str(tmp_path / "t"), compression="gzip")
+    assert list((tmp_path / "t").glob("tag=*/*.txt.gz"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "t") + "/*").collect()) == sorted([line, line, " " * 108])
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

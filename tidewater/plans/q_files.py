@@ -69,9 +69,10 @@ def q_report_files(spark: SparkSession, sf: str) -> DataFrame:
 def q_tagged_line_files(spark: SparkSession, sf: str) -> DataFrame:
     """K10 + S1: raw lines written by 'SID-DCK' tag and read from the files."""
     out = _folder(spark, "tags")
-    FW.partition_lines(A.view(spark, sf, A.LINES_SQL), out)
+    FW.partition_lines(A.view_once(spark, sf, A.LINES_SQL), out, compression="gzip")
     d = FW.read_fixed_width(spark, f"{out}/*")
-    return d.groupBy(F.rtrim("value").alias("line")).agg(F.count("*").alias("n"))
+    # lines hardly repeat: counting them before the shuffle would only fill memory and spill
+    return d.select(F.rtrim("value").alias("line")).repartition("line").groupBy("line").agg(F.count("*").alias("n"))
 
 
 _FLAGS = ["clim", "noval"]
