@@ -112,3 +112,28 @@ def test_tagged_lines_are_written_compressed_without_a_sort(spark, tmp_path):
     assert list((tmp_path / "t").glob("tag=*/*.txt.gz"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "t") + "/*").collect()) == sorted([line, line, " " * 108])
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_months_keep_the_record_that_began_last(spark, tmp_path):
+    import datetime as dt
+
+    from tidewater.sources import sinks
+
+    d = dt.date
+    rows = [(4, "C1", "GB", d(2000, 1, 1), d(2000, 3, 1)), (3, "C1", "GB", d(2000, 1, 1), d(2000, 2, 10)),
+            (9, "C1", "GB", d(2000, 1, 20), d(2000, 2, 10)), (9, "C1", "NL", d(2000, 1, 20), d(2000, 2, 10)),
+            (None, "C2", "GB", d(2000, 1, 1), d(2000, 1, 5)), (5, "NULL", "GB", d(2000, 1, 1), d(2000, 1, 5))]
+    df = spark.createDataFrame(rows, "line long, call string, rcnty string, valid_from date, valid_to date")
+    sinks.write_layouts(df, str(tmp_path / "l"), "v4")
+    got = spark.read.csv(str(tmp_path / "l/monthly"), sep="|", header=True).collect()
+    assert sorted((str(r.month), r.line, r.rcnty) for r in got) == [
+        ("2000-01", "3", "GB"), ("2000-02", "9", "GB"), ("2000-02", "9", "NL"), ("2000-03", "4", "GB")]
+
+
+def test_records_are_dealt_before_they_merge(spark):
+    """Parts of the shuffle's size, and not of the files', are sorted to merge station records."""
+    from tidewater.operators import summaries as SU
+    from tidewater.plans import adapters as A, q_runs
+
+    plan = SU.station_state(A.view(spark, SF_SMALL, q_runs._records_sql()), ["year"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan

@@ -255,6 +255,8 @@ def station_state(records: DataFrame, by: list[str] | None = None) -> DataFrame:
     name = F.when(F.coalesce(F.col("station_name"), F.lit("")) != "", F.array(F.struct(
         F.col("start_date").alias("first"), F.col("station_name").alias("name"))))
     empty = F.array().cast("array<struct<first:string,name:string>>")
+    # small parts, dealt by date too for the sake of long stations: what a task sorts to merge stays in memory
+    records = records.repartition(*(by or []), *RECORD_KEYS, "start_date")
     return merge_stations(records.select(
         *(by or []), *RECORD_KEYS, *_EXTENT, F.coalesce(name, empty).alias("names"), _list_of("alternative_name").alias("others"),
         F.transform(_list_of("observed_variables"), lambda c: c.cast("int")).alias("codes"), *[field(f) for f in UNIQUE_FIELDS]), by)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidewater.functions.anomaly import anomaly
 from tidewater.functions.calendar import pentad, valid_day_2004
 from tidewater.functions.text import MISSING, date_text
-from tidewater.session import stage_table
+from tidewater.operators.util import sized_broadcast
+from tidewater.session import open_folders, stage_table
 
 PIPE = "|"
 
@@ -132,7 +133,8 @@ def write_metadata(df: DataFrame, path: str, by: str | None = "rcnty") -> None:
     w = _replace(df)
     if by:
         w = w.partitionBy(by)
-    w.csv(path, sep=PIPE, header=True, nullValue="NULL")
+    with open_folders(df.sparkSession):
+        w.csv(path, sep=PIPE, header=True, nullValue="NULL")
 
 
 def write_periods(df: DataFrame, columns: list[str], path: str, period: str = "period", source: str = "source_period") -> None:
@@ -165,8 +167,12 @@ def write_layouts(df: DataFrame, path: str, schema_version: str, call: str = "ca
     first = F.when(F.dayofmonth("valid_from") == 1, F.col("valid_from")).otherwise(F.add_months(F.trunc("valid_from", "month"), 1))
     days = F.sequence(first, F.col("valid_to"), F.expr("interval 1 month"))
     monthly = rows.where(named).withColumn("_first", first).where(F.col("_first") <= F.col("valid_to")).withColumn("month", F.explode(days))
-    last = monthly.groupBy("month", call).agg(F.max(F.struct("valid_from", (-F.col("line")).alias("l"))).alias("_m")).select(
-        "month", F.col(call).alias("_c"), (-F.col("_m.l")).alias("_l"))
+    # dates and numbers are compared in place in a hash map; a struct would sort all months of all records
+    top = monthly.groupBy(F.col("month").alias("_d"), F.col(call).alias("_k")).agg(F.max("valid_from").alias("_v"))
+    top = sized_broadcast(stage_table(top, "layout-dates"))
+    ties = monthly.join(top, (F.col("month") == F.col("_d")) & (F.col(call) == F.col("_k")) & (F.col("valid_from") == F.col("_v")))
+    last = ties.groupBy("month", F.col(call).alias("_c")).agg(F.min("line").alias("_l"))
+    last = sized_broadcast(stage_table(last, "layout-lines"))
     own = monthly.alias("a").join(last.alias("b"), (F.col("a.month") == F.col("b.month")) & (F.col(f"a.{call}") == F.col("_c"))
                                   & (F.col("line") == F.col("_l")), "left_semi")
     write_metadata(own.drop("_first").withColumn("month", F.date_format("month", "yyyy-MM")), f"{path}/monthly", "month")
