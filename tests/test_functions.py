@@ -57,3 +57,28 @@ def test_mds_lon(spark, lon, x):
 @pytest.mark.parametrize("yr,mo,n", [(2024, 2, 29), (2023, 2, 28), (1900, 2, 28), (2000, 2, 29), (2024, 4, 30)])
 def test_month_length(spark, yr, mo, n):
     assert _one(spark, CAL.month_length(F.lit(yr), F.lit(mo))) == n
+
+
+def test_track_terms_fit_compiled_methods(spark):
+    """Course and midpoint are staged: no generated method of the track check
+    is longer than the 8,000 bytes that the JVM compiles."""
+    import re
+
+    from tidewater.operators import track as TR
+
+    rows = [(f"u{i}", "A", 2000, 1, 1 + i // 4, 6.0 * (i % 4), 10.0 + (i // 2), 190.0, 1, 2, 5, 700) for i in range(12)]
+    df = spark.createDataFrame(rows, "uid string, id string, yr int, mo int, dy int, hr double, lat double, lon double, ds int, vs int, "
+                                     "pt int, dck int").withColumn("ts", F.make_timestamp("yr", "mo", "dy", F.col("hr").cast("int"), F.lit(0), F.lit(0)))
+    feats = TR.voyage_features(df, TR.default_parameters(None))
+    got = {r["uid"]: r for r in feats.select("uid", "course", "distance", "midpoint_diff").collect()}
+    assert got["u1"]["course"] == 0.0 and got["u1"]["distance"] == 0.0  # no way between two reports at one place
+    assert abs(got["u2"]["course"]) % 360 < 1e-9 and abs(got["u2"]["distance"] - 111.195) < 0.01
+    assert abs(got["u2"]["midpoint_diff"] - 111.195 / 2) < 0.01
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the final plan, without running it
+    try:
+        plan = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(
+            TR.voyage_features(df, TR.default_parameters(None))._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) < 8000

@@ -17,6 +17,7 @@ hand on the last positions of the recursion, so memory does not grow with it
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -28,6 +29,7 @@ _LITERAL = 0x110000
 LONG = 1 << 15
 #: Code points of one batch.
 BATCH = 1 << 17
+MARK_BITS = 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Weight of the vocabulary's own scores against expected counts, in pieces.
 PRIOR_PIECES = 1000.0
@@ -43,6 +45,13 @@ class Pieces:
     log_p: np.ndarray
     longest: int
 
+    @cached_property
+    def marks(self) -> np.ndarray:
+        """By the first ``MARK_BITS`` bits of a hash: whether a piece has them.  Most substrings are no piece."""
+        marks = np.zeros(1 << MARK_BITS, bool)
+        marks[self.hashes >> np.uint64(64 - MARK_BITS)] = True
+        return marks
+
 
 def _hash(points: np.ndarray) -> np.uint64:
     h = np.zeros(1, np.uint64)
@@ -83,10 +92,20 @@ def refit(pieces: Pieces, counts: np.ndarray, prior: np.ndarray) -> Pieces:
 
 def code_points(word: bytes) -> np.ndarray:
     """Mark and code points of a UTF-8 word."""
-    points = np.frombuffer(word.decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = np.empty(len(points) + 1, np.int64)
-    out[0], out[1:] = MARK, np.where(points == MARK, _LITERAL, points)
-    return out
+    return all_code_points([word])[0]
+
+
+def all_code_points(words: list[bytes]) -> list[np.ndarray]:
+    """The same of many words, none of which holds a space, decoded together."""
+    if not words:
+        return []
+    text = b" " + b" ".join(words)
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
+    gap = points == 0x20
+    out = np.where(points == MARK, _LITERAL, points).astype(np.int64)
+    out[gap] = MARK
+    cut = np.flatnonzero(gap).tolist() + [len(out)]
+    return [out[i:j] for i, j in zip(cut, cut[1:], strict=False)]
 
 
 def _edges(pieces: Pieces, points: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +125,8 @@ def _edges(pieces: Pieces, points: np.ndarray, room: np.ndarray) -> tuple[np.nda
         if not len(fits):
             break
         key = mix(h[fits] + np.uint64(length))
+        known = pieces.marks[key >> np.uint64(64 - MARK_BITS)]
+        key, fits = key[known], fits[known]
         at = np.minimum(np.searchsorted(pieces.hashes, key), len(pieces.hashes) - 1)
         hit = pieces.hashes[at] == key
         number[length - 1, fits[hit]] = pieces.numbers[at[hit]]

@@ -126,7 +126,7 @@ def fit(words: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> latti
         def run(batches: Iterator[pa.RecordBatch], pieces: lattice.Pieces = pieces) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(len(pieces.log_p))
             for b in batches:
-                counts += lattice.expected(pieces, [lattice.code_points(w.as_py()) for w in b.column(0)])
+                counts += lattice.expected(pieces, lattice.all_code_points(b.column(0).to_pylist()))
             at = np.flatnonzero(counts)
             yield pa.record_batch([pa.array(at, pa.int64()), pa.array(counts[at])], names=["piece", "used"])
 
@@ -142,7 +142,7 @@ def log10_word(pieces: lattice.Pieces, t: Totals, words: list[bytes], c: np.ndar
     d, share = t.discount(), t.end_share()
     is_end = np.array([w == END for w in words], bool)
     low = np.full(len(words), np.log(share) if share > 0 else -np.inf)
-    marginal = lattice.forward(pieces, [lattice.code_points(w) for w in words if w != END])
+    marginal = lattice.forward(pieces, lattice.all_code_points([w for w in words if w != END]))
     low[~is_end] = marginal + np.log1p(-share) if share < 1 else marginal
     low = low + np.log1p(d * t.v)
     own = np.where(c > 0, np.maximum(c - d, 0.0), 0.0)
