@@ -1,6 +1,7 @@
 """Operator 13: lattices against listed segmentations, scores against a plain
 model, and odd rows."""
 
+import itertools
 import math
 import random
 import zlib
@@ -158,3 +159,16 @@ def test_known_text_is_likelier_than_shuffled_letters(spark):
     held = [i for i in range(100, 200) if not learned(i)][:2]
     got = {r.doc_id: r for r in run(spark, [*docs, (held[0], "the tide goes out"), (held[1], "hte dtie geso uto")])}
     assert got[held[0]].score > got[held[1]].score + 3
+
+
+def test_words_are_decoded_together():
+    """Code points of many words at once are those of each, broken UTF-8 included, and the
+    marks that pass over substrings leave out no piece."""
+    parts = [b"\xe2", b"\x82", b"\xac", b"a", b"\xf0\x9f", b"\xe2\x96\x81", b"\xed\xa0\x80", "é".encode(), b"\xff"]
+    words = [b"".join(p) for n in range(4) for p in itertools.product(parts, repeat=n)]
+    for word, got in zip(words, lattice.all_code_points(words), strict=True):
+        points = [0x110000 if c == "▁" else ord(c) for c in word.decode("utf-8", "replace")]
+        assert got.tolist() == [0x2581, *points]
+    assert lattice.all_code_points([]) == []
+    pieces = lattice.from_ranks(["a", "b", "ab", "▁a"], np.arange(4.0))
+    assert pieces.marks[pieces.hashes >> np.uint64(64 - lattice.MARK_BITS)].all() and pieces.marks.sum() <= 4
