@@ -497,3 +497,16 @@ def test_components(spark):
     linked = {x for a, b in pairs if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_listed_blocks_are_not_broadcast(spark):
+    """Operator 10: the 2,788 listed blocks of every item are joined by a shuffle, not held by the driver."""
+    from tidewater.llm import decontam
+
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, "x " + text + " y"), (2, "nothing here")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    found = decontam.leaking_texts(docs, items)
+    joins = [x for x in found._jdf.queryExecution().analyzed().toString().split("\n") if "strategy=merge" in x]
+    assert len(joins) == 1
+    assert [(r["doc"], r["item_id"]) for r in found.collect()] == [(1, 7)]

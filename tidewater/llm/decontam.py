@@ -164,7 +164,8 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text: str = "text", hundred
     asked = marks.select(
         *key, "mark",
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("mark"), i).alias("v")) for i in range(BLOCKS)])).alias("b"))
-    met = asked.select(*key, "mark", "b.block", "b.v").join(listed, ["size", "block", "v"])
+    # not broadcast: 2,788 rows an item, small as they are written, would stand in the driver's memory
+    met = asked.select(*key, "mark", "b.block", "b.v").join(listed.hint("merge"), ["size", "block", "v"])
     near_pairs = met.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("i_mark"))) <= RADIUS).select(*key, "item")
 
     # matches outside the radius: at least one of the rarest shingles of the item lies in the window

@@ -166,6 +166,7 @@ def _log_loss(sparse: DataFrame, r: np.ndarray, v: np.ndarray) -> tuple[float, n
     total = np.zeros(len(v) + 1)
     for part in sparse.mapInArrow(run, "sum binary").collect():  # one row a partition, TRAIN_PARTS of them
         total += np.frombuffer(part["sum"])
+    sent.destroy()  # one for every step, which driver and executors would keep
     return float(total[-1]), total[:-1]
 
 
