@@ -407,6 +407,31 @@ def test_search_block_stops_only_on_proof():
         assert [(j, s) for a, j, s in got if a == i] == [(j, -s) for s, j in best]
 
 
+def test_top_k_joins_and_broadcasts_nothing(spark, monkeypatch):
+    """The blocks of a query chunk once came back to the driver as a broadcast."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(-300, 300, (400, 6))
+    vectors = spark.createDataFrame([(i, [v / 256 for v in r.tolist()]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    for name, most in (("BLOCK_VALUES", 6 * 20), ("SPAN_VALUES", 6 * 50), ("ASKED_VALUES", 6 * 7), ("SPREAD", 2)):
+        monkeypatch.setattr(topk, name, most, raising=False)  # several chunks and spans, several blocks each
+    out = topk.top_k(vectors, F.col("vec_id") % 10 == 0, 3)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    want = {}
+    for q in range(0, 400, 10):
+        best = sorted((-int(x[q] @ x[i]), i) for i in range(400) if i != q)[:3]
+        want |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(best)}
+    assert got == want
+
+
+def test_search_block_leaves_out_what_is_below_the_floor():
+    x = np.array([[5, 0], [4, 0], [3, 0], [1, 0]])
+    q, ids = np.array([[1, 0], [2, 0]]), np.arange(4)
+    got = topk.search_block(np.array([-1, -2]), q, ids, x, 2, floor=np.array([4.0, 11.0]))
+    assert got.tolist() == [[0, 0, 5], [0, 1, 4]]
+
+
 # -- operator 10 ------------------------------------------------------------
 
 def leaks(docs, items, k=5, hundredths=80):

@@ -9,8 +9,12 @@ the vector`` of its partial score, so the scan stops as soon as every query
 has k vectors that nothing else can pass; vectors whose upper bound reaches
 the k-th lower bound are rescored exactly in integers.
 
-Queries and vectors meet block by block in an equi-join on the block pair;
-every block pair returns k rows a query, and a window ranks them.
+Blocks of vectors are dealt to spans and blocks of queries to chunks; a cell
+is a span and a chunk, and its blocks meet in one task, whose memory bounds
+both.  There the queries stay and the vectors pass block by block: a block is
+indexed once for all queries of the cell, and the k-th best score so far is the
+threshold of the next block.  A cell returns k rows a query, and a window ranks
+them.  Nothing is joined, so nothing is broadcast.
 
 Edge cases: vectors that are null or hold null or non-finite components take
 no part; an empty vector has score 0 with everything; of vectors of different
@@ -34,8 +38,11 @@ from .common import materialise, ready
 
 BLOCK = 4096
 QUERIES = 512
-#: Block numbers beyond the full blocks, so that a small table still spreads.
-SPREAD = 32
+#: Components of a block of vectors, of a cell's vectors and of a cell's queries
+#: at most, whatever the number of dimensions.
+BLOCK_VALUES, SPAN_VALUES, ASKED_VALUES = 2**19, 2**24, 2**22
+#: Cells at least, so that a small table still spreads.
+SPREAD = 128
 #: Segments of a block: the shares of its largest components they hold.
 SEGMENTS = (0.25, 0.25, 0.25, 0.25)
 
@@ -47,6 +54,12 @@ def scaled(vector: Column, scale: int = 256) -> Column:
     return F.when(~bad, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
 
 
+def _kind(data: np.ndarray) -> type:
+    """Smallest integer type that holds the components."""
+    most = int(np.abs(data).max(initial=0))
+    return next((t for t in (np.int16, np.int32) if most <= np.iinfo(t).max), np.int64)
+
+
 def _pack(rows: DataFrame, size: int) -> DataFrame:
     """(id, x) -> blocks (ids, width, data) of up to ``size`` vectors each."""
 
@@ -59,6 +72,7 @@ def _pack(rows: DataFrame, size: int) -> DataFrame:
             data = np.zeros((len(rows), width), np.int64)
             for i, r in enumerate(rows):
                 data[i, : len(r)] = r
+            data = data.astype(_kind(data))
             return pa.record_batch([pa.array([np.array(ids, np.int64).tobytes()]), pa.array([width], pa.int32()),
                                     pa.array([data.tobytes()])], names=["ids", "width", "data"])
 
@@ -77,7 +91,8 @@ def _pack(rows: DataFrame, size: int) -> DataFrame:
 
 def _read(ids: bytes, width: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(data, np.int64).reshape(len(ids), width)
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(data) // (len(ids) * width) if width else 8]
+    return ids, np.frombuffer(data, kind).reshape(len(ids), width).astype(np.int64)
 
 
 def index_block(x: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -95,34 +110,81 @@ def index_block(x: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return segments, left
 
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, id, score) of the k best rows of the block for each query, exactly."""
-    both = min(q.shape[1], x.shape[1])
-    q, x = q[:, :both], x[:, :both]
-    segments, left = index_block(x)
+def best_of(found: np.ndarray, k: int) -> np.ndarray:
+    """The k best rows (query row, id, score) of each query row, best first."""
+    found = found[np.lexsort((found[:, 1], -found[:, 2], found[:, 0]))]
+    new = np.flatnonzero(np.diff(found[:, 0], prepend=-1))
+    place = np.arange(len(found)) - np.repeat(new, np.diff(np.append(new, len(found))))
+    return found[place < k]
+
+
+def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
+                 index: tuple[list[np.ndarray], list[np.ndarray]] | None = None,
+                 floor: np.ndarray | None = None) -> np.ndarray:
+    """Rows (query row, id, score) of the k best rows of the block for each
+    query, exactly.  ``index``: what ``index_block`` made of the block;
+    ``floor``: scores below which a query needs no rows."""
+    segments, left = index_block(x) if index is None else index
+    q = np.pad(q[:, : x.shape[1]], ((0, 0), (0, max(0, x.shape[1] - q.shape[1]))))
+    floor = np.full(len(q), -np.inf) if floor is None else floor
     qf = q.astype(np.float64)
     q_len = np.sqrt((qf * qf).sum(axis=1))
     rounding = 1e-12 * q_len[:, None] * np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))[None, :]
     own = q_ids[:, None] == ids[None, :]
     score = np.zeros((len(q), len(x)))
-    found: list[tuple[int, int, int]] = []
+    found: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
     open_ = np.arange(len(q))
+    part = max(1, 2**20 // max(1, x.shape[1]))
     for here, rest in zip(segments, left, strict=True):
-        score[open_] += qf[open_] @ here.T
-        bound = q_len[open_, None] * rest[None, :] * (1 + 1e-12) + rounding[open_]
-        low = np.where(own[open_], -np.inf, score[open_] - bound)
-        kth = -np.partition(-low, min(k, low.shape[1]) - 1, axis=1)[:, min(k, low.shape[1]) - 1]
-        maybe = (score[open_] + bound >= kth[:, None]) & ~own[open_]
+        score += qf[open_] @ here.T
+        bound = q_len[open_, None] * rest[None, :] * (1 + 1e-12) + rounding
+        low = floor[open_]
+        if np.isneginf(low).any():
+            at = min(k, len(x)) - 1
+            low = np.maximum(low, -np.partition(np.where(own, np.inf, bound - score), at, axis=1)[:, at])
+        maybe = (score + bound >= low[:, None]) & ~own
         few = maybe.sum(axis=1) <= 4 * k if rest.any() else np.ones(len(open_), bool)
-        for row in np.flatnonzero(few):  # proven: nothing else can be among the k
-            at = np.flatnonzero(maybe[row])
-            exact = x[at] @ q[open_[row]]
-            best = np.lexsort((ids[at], -exact))[:k]
-            found += [(int(q_ids[open_[row]]), int(ids[at[b]]), int(exact[b])) for b in best]
-        open_ = open_[~few]
-        if not len(open_):
+        rows, at = np.nonzero(maybe & few[:, None])  # proven: nothing else can be among the k
+        rows = open_[rows]
+        for i in range(0, len(rows), part):
+            r, c = rows[i : i + part], at[i : i + part]
+            found.append(np.column_stack([r, ids[c], np.einsum("ij,ij->i", x[c], q[r])]))
+        if few.all():
             break
-    return found
+        if few.any():
+            open_, score, rounding, own = open_[~few], score[~few], rounding[~few], own[~few]
+    return best_of(np.concatenate(found), k)
+
+
+class _Cell:
+    """Queries of a cell, and their k best rows of the vectors that passed."""
+
+    def __init__(self, k: int) -> None:
+        self.k = k
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.found: list[np.ndarray] = []
+        self.floor: list[np.ndarray] = []
+
+    def ask(self, ids: np.ndarray, q: np.ndarray) -> None:
+        self.parts.append((ids, q.astype(_kind(q))))
+        self.found.append(np.zeros((0, 3), np.int64))
+        self.floor.append(np.full(len(ids), -np.inf))
+
+    def search(self, ids: np.ndarray, x: np.ndarray) -> None:
+        index = index_block(x) if self.parts else None
+        for n, (q_ids, q) in enumerate(self.parts):
+            new = search_block(q_ids, q.astype(np.int64), ids, x, self.k, index, self.floor[n])
+            if not len(new):
+                continue
+            self.found[n] = best = best_of(np.concatenate([self.found[n], new]), self.k)
+            last = np.flatnonzero(np.bincount(best[:, 0], minlength=len(q_ids)) == self.k)
+            # rows are in the order of the queries, best first: the k-th of each that has k
+            self.floor[n][last] = best[np.searchsorted(best[:, 0], last, "right") - 1, 2]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for (q_ids, _), best in zip(self.parts, self.found, strict=True):
+            cols = (q_ids[best[:, 0]], best[:, 1], best[:, 2])
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding") -> DataFrame:
@@ -132,28 +194,36 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embed
         vectors.select(F.col("vec_id").cast("long").alias("id"), scaled(F.col(vector)).alias("x"), is_query.alias("ask"))
         .where("id is not null and x is not null"), "vectors")
     asked = rows.where("ask").select("id", "x")
-    n, n_asked = rows.count(), asked.count()
-    # every block gets one of these numbers; a pair of numbers is a unit of work
-    numbers, q_numbers = n // BLOCK + SPREAD, n_asked // QUERIES + 1
+    n, n_asked, width = rows.agg(F.count(F.lit(1)), F.count_if("ask"), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
+    width = max(1, width)
+    block = max(1, min(BLOCK, BLOCK_VALUES // width, n // SPREAD + 1))
+    some = max(1, min(QUERIES, ASKED_VALUES // width))
+    # a cell is a span of the vectors and a chunk of the queries
+    chunks = -(-n_asked // max(some, ASKED_VALUES // width)) or 1
+    spans = max(-(-SPREAD // chunks), -(-n // max(block, SPAN_VALUES // width)))
     number = F.xxhash64("ids", "data")
-    x = _pack(rows.select("id", "x"), BLOCK).withColumn("c", F.pmod(number, F.lit(numbers)))
-    q = _pack(asked.repartition(q_numbers), QUERIES).withColumn("qc", F.pmod(number, F.lit(q_numbers)))
-    pairs = (
-        x.withColumn("qc", F.explode(F.sequence(F.lit(0), F.lit(q_numbers - 1)).cast("array<bigint>")))
-        .join(q.toDF("q_ids", "q_width", "q_data", "qc")
-              .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(numbers - 1)).cast("array<bigint>"))), ["c", "qc"])
-        .select("ids", "width", "data", "q_ids", "q_width", "q_data")
+    x = (_pack(rows.select("id", "x"), block).withColumn("span", F.pmod(number, F.lit(spans)))
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>"))))
+    q = (_pack(asked.repartition(n_asked // some + 1), some).withColumn("chunk", F.pmod(number, F.lit(chunks)))
+         .withColumn("span", F.explode(F.sequence(F.lit(0), F.lit(spans - 1)).cast("array<bigint>"))))
+    cells = (
+        q.withColumn("vectors", F.lit(False)).unionByName(x.withColumn("vectors", F.lit(True)))
+        .select((F.col("span") * chunks + F.col("chunk")).alias("cell"), "vectors", "ids", "width", "data")
+        .repartition(spans * chunks, "cell").sortWithinPartitions("cell", "vectors")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, cell = None, _Cell(k)
         for b in batches:
             for i in range(len(b)):
-                row = [c[i].as_py() for c in b.columns]
-                got = search_block(*_read(*row[3:]), *_read(*row[:3]), k)
-                cols = list(zip(*got, strict=True)) if got else [(), (), ()]
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
-
-    best = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+                here, of_vectors, *data = [c[i].as_py() for c in b.columns]
+                if here != number:
+                    yield from cell.rows()
+                    number, cell = here, _Cell(k)
+                (cell.search if of_vectors else cell.ask)(*_read(*data))
+        yield from cell.rows()
+
+    best = cells.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
